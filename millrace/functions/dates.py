@@ -9,7 +9,7 @@ from millrace.functions.text import strip_all
 
 _YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$"
 _DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-_TOLERANT = r"^\d{4}([-/ \\])\d{1,2}\1\d{1,2}(?:[ T]|$)"
+_ANY_SEPARATOR = r"^(\d{4})([-/ \\])(\d{1,2})\2(\d{1,2})((?:[ T].*)?)$"
 
 
 def parse_mixed_date(col: Column) -> Column:
@@ -25,10 +25,14 @@ def parse_mixed_date(col: Column) -> Column:
 
 
 def tolerant_date(col: Column) -> Column:
-    """Year-month-day text to a date; blank, partial or impossible values become null."""
+    """Year-month-day text, with or without a time, to a date; blank, partial or impossible values become null.
+
+    A bare ``try_cast`` would also take a year or a month for a date, and anything for a time.
+    """
     text = F.trim(col.cast("string"))
-    return F.when(text.rlike(_TOLERANT), F.regexp_replace(text, r"^(\d{4})[/ \\](\d{1,2})[/ \\]", "$1-$2-")).try_cast(
-        "date"
+    unusual = F.when(text.rlike(_ANY_SEPARATOR), F.regexp_replace(text, _ANY_SEPARATOR, "$1-$3-$4$5"))
+    return F.when(text.rlike(_YEAR_FIRST), text.try_cast("date")).otherwise(
+        unusual.try_cast("timestamp_ntz").cast("date")
     )
 
 

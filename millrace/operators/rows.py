@@ -15,6 +15,14 @@ from pyspark.sql.window import Window
 ColumnLike = Column | str
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that Catalyst will not copy into every filter and expression reading it.
+
+    Predicates on the output of a generator stay above it, so one regex match or JSON parse per row serves them all.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def first_n_per_key(df: DataFrame, keys: Sequence[ColumnLike], order: Sequence[ColumnLike], n: int) -> DataFrame:
     """The first ``n`` rows of every key; null keys form one group."""
     ranking = Window.partitionBy(*keys).orderBy(*order)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import percent, run_status
-from millrace.operators.rows import keep_latest
+from millrace.operators.rows import compute_once, keep_latest
 from millrace.session import write_once
 from millrace.sources.warehouse import Change, Warehouse
 
@@ -38,7 +38,7 @@ def _number(field: str) -> Column:
 def parse_readings(landed: DataFrame) -> DataFrame:
     """Add the reading columns and ``reject_reason`` (null for a good reading) to landed payload rows."""
     payload = F.from_json("payload", schemas.READING_PAYLOAD)
-    parsed = landed.withColumn("_w", payload["current_weather"]).select(
+    parsed = compute_once(landed, "_w", payload["current_weather"]).select(
         "*",
         _number("temperature").alias("temperature_c"),
         _number("windspeed").alias("windspeed_kmh"),

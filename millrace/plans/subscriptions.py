@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from millrace.functions import as_month, cents_to_dollars, months_crossed, percent, tolerant_date
 from millrace.operators.quality import accepted_values, not_null, relationships, run_tests, unique
-from millrace.operators.rows import frequency, keep_latest, top_k
+from millrace.operators.rows import compute_once, frequency, keep_latest, top_k
 from millrace.sources.warehouse import save_layer
 
 # Fixed values.
@@ -134,13 +134,9 @@ def fct_mrr(subscriptions: DataFrame, as_of: date) -> DataFrame:
     Prices are summed in whole cents, so adding and subtracting leaves no residue. Rows repeating a subscription id
     count once per month but add each of their prices.
     """
-    spans = subscriptions.filter(F.col("start_date").isNotNull()).select(
-        "subscription_id",
-        "plan_type",
-        "monthly_price_usd",
-        as_month(F.col("start_date")).alias("lo"),
-        F.least(as_month(F.coalesce("end_date", F.lit(as_of))), as_month(F.lit(as_of))).alias("hi"),
-    ).filter(F.col("lo") <= F.col("hi"))
+    spans = _spans(subscriptions, as_month(F.col("start_date")), as_of).select(
+        "subscription_id", "plan_type", "monthly_price_usd", "lo", "hi"
+    )
     price = F.floor(F.col("monthly_price_usd") * 100 + 0.5)
     priced = F.col("monthly_price_usd").isNotNull().cast("bigint")
     amounts = _span_changes(
@@ -165,6 +161,14 @@ def fct_mrr(subscriptions: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def _spans(subscriptions: DataFrame, first: Column, as_of: date) -> DataFrame:
+    """Subscriptions with the first and last month they count in, ``lo`` and ``hi``; those that never count are left out."""
+    this_month = as_month(F.lit(as_of))
+    last = F.least(as_month(F.coalesce("end_date", F.lit(as_of))), this_month)
+    months = F.struct(first.alias("lo"), last.alias("hi"))
+    return compute_once(subscriptions, "_span", months).select("*", "_span.*").filter(F.col("lo") <= F.col("hi"))
+
+
 def _span_changes(spans: DataFrame, by: Sequence[str], amounts: dict[str, Column]) -> DataFrame:
     """Per group and month: what starts minus what ended in the month before. Summed map-side before any shuffle."""
     both = F.array(
@@ -263,19 +267,9 @@ def churn_rate(subscriptions: DataFrame, as_of: date) -> DataFrame:
 
     Active at the start of a month: begun in an earlier month and not ended before this one.
     """
-    last = as_month(F.lit(as_of))
-    spans = (
-        subscriptions.select(
-            _next_month(as_month(F.col("start_date"))).alias("lo"),
-            as_month(F.coalesce("end_date", F.lit(as_of))).alias("hi"),
-            (F.col("end_date") <= F.lit(as_of)).alias("ended"),
-        )
-        .withColumn("hi", F.least("hi", last))
-        .filter(F.col("lo") <= F.col("hi"))
-    )
-    leaving = (
-        spans.filter("ended").groupBy(F.col("hi").alias("month_start")).agg(F.count(F.lit(1)).alias("churned"))
-    )
+    spans = _spans(subscriptions, _next_month(as_month(F.col("start_date"))), as_of)
+    ended = spans.filter(F.col("end_date") <= F.lit(as_of))
+    leaving = ended.groupBy(F.col("hi").alias("month_start")).agg(F.count(F.lit(1)).alias("churned"))
     # No partition columns: the rows below are monthly totals.
     levels = _running_by_month(_span_changes(spans, [], {"active_at_start": F.lit(1)}), [], ["active_at_start"], as_of)
     return (

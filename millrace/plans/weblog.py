@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.functions import percent, status_class, strip_all
+from millrace.functions import percent, status_class
 from millrace.functions.text import WHITESPACE
 from millrace.operators.calendar import fill_hours
-from millrace.operators.rows import frequency
+from millrace.operators.rows import compute_once, frequency
 from millrace.session import write_once
 from millrace.sources.warehouse import Change, Warehouse
 
@@ -19,7 +19,7 @@ _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 _WORD = f"[^{WHITESPACE}]+"
 # Anchored at the start only: whatever follows the size (referrer, agent) is free text.
 _COMBINED = (
-    rf"^({_WORD}) {_WORD} {_WORD} "
+    rf"^[{WHITESPACE}]*({_WORD}) {_WORD} {_WORD} "
     r"\[(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})"
     rf"[{WHITESPACE}]+(Z|[+-]\d{{2}}:?[0-5]\d)\] "
     rf'"([A-Z]+) ({_WORD}) HTTP/[\d.]+" (\d{{3}}) (\d+|-)'
@@ -33,50 +33,50 @@ def parse_combined(lines: DataFrame) -> DataFrame:
 
     One match decides, one rewrite extracts all parts at once. A time that does not exist makes the line malformed.
     """
-    line = strip_all(F.col("raw_line"))
-    rewritten = F.regexp_replace(line, f"(?s){_COMBINED}.*$", "$1 $7 $8 $9 $10 $4 $3 $2 $5 $6")
-    token = F.when(line.rlike(_COMBINED), F.split(rewritten, " "))
+    rewritten = F.regexp_replace("raw_line", f"(?s){_COMBINED}.*$", "$1 $7 $8 $9 $10 $4 $3 $2 $5 $6")
+    tokens = F.when(F.col("raw_line").rlike(_COMBINED), F.split(rewritten, " "))
     part = {name: F.get("_t", F.lit(i)) for i, name in enumerate(_PARTS)}
-    return lines.withColumn("_t", token).transform(_events, part)
+    at = F.position(F.lower(part["month"]), F.lit(_MONTHS))
+    part["month"] = F.when(at > 0, ((at + 3) / 4).cast("int").cast("string"))
+    return compute_once(lines, "_t", tokens).transform(_events, part)
 
 
 def parse_json(lines: DataFrame) -> DataFrame:
     """The same columns from JSON lines with ``ip, time, method, path, status, size`` (time as ISO text with offset)."""
-    fields = F.from_json("raw_line", "ip STRING, time STRING, method STRING, path STRING, status STRING, size STRING")
+    names = ["ip", "method", "path", "status", "size"]
+    fields = F.from_json("raw_line", ", ".join(f"{name} STRING" for name in [*names, "time"]))
     iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}:\d{1,2}:\d{1,2})(Z|[+-]\d{2}:?[0-5]\d)$"
-    time = F.col("_t.time")
-    piece = {name: F.regexp_extract(time, iso, i) for name, i in (("year", 1), ("day", 3), ("time", 4), ("offset", 5))}
-    month = F.regexp_extract(time, iso, 2)
-    part = {name: F.col(f"_t.{name}") for name in ("ip", "method", "path", "status", "size")} | piece
-    return lines.withColumn("_t", fields).transform(_events, part, month)
-
-
-def _events(lines: DataFrame, part: dict[str, Column], month: Column | None = None) -> DataFrame:
-    if month is None:
-        at = F.position(F.lower(part["month"]), F.lit(_MONTHS))
-        month = F.when(at > 0, ((at + 3) / 4).cast("int").cast("string"))
-    offset = F.regexp_replace(
-        F.when(part["offset"] == "Z", "+00:00").otherwise(part["offset"]), r"^([+-]\d{2}):?(\d{2})$", "$1:$2"
+    time = F.col("_j.time")
+    valid = time.rlike(iso) & F.col("_j.status").rlike(r"^\d{3}$")
+    tokens = F.when(valid, F.split(F.regexp_replace(time, iso, "$1 $2 $3 $4 $5"), " "))
+    part = {name: F.col(f"_j.{name}") for name in names}
+    part |= {name: F.get("_t", F.lit(i)) for i, name in enumerate(["year", "month", "day", "time", "offset"])}
+    parsed = lines.transform(compute_once, "_j", fields).transform(compute_once, "_t", tokens).transform(_events, part)
+    return parsed.drop("_j")
+
+
+def _events(lines: DataFrame, part: dict[str, Column]) -> DataFrame:
+    offset = F.when(part["offset"] == "Z", "+00:00").otherwise(
+        F.concat(F.substring(part["offset"], 1, 3), F.lit(":"), F.right(part["offset"], F.lit(2)))
     )
-    local = F.concat(part["year"], F.lit("-"), month, F.lit("-"), part["day"], F.lit(" "), part["time"])
-    status = F.when(part["status"].rlike(r"^\d{3}$"), part["status"]).try_cast("int")
+    local = F.concat_ws(" ", F.concat_ws("-", part["year"], part["month"], part["day"]), part["time"])
+    complete = F.lit(True)
+    for name in ("ip", "method", "path", "month", "offset"):
+        complete = complete & part[name].isNotNull()
+    status = part["status"].try_cast("int")
     events = lines.select(
         "*",
         part["ip"].alias("ip_address"),
-        local.try_cast("timestamp_ntz").alias("event_time_local"),
-        F.concat(local, offset).try_cast("timestamp").alias("event_time"),
+        F.when(complete, F.concat(local, offset)).try_cast("timestamp").alias("event_time"),
+        F.when(complete, local).try_cast("timestamp_ntz").alias("event_time_local"),
         offset.alias("utc_offset"),
         part["method"].alias("http_method"),
         part["path"].alias("path"),
         status.alias("status_code"),
         F.nullif(part["size"], F.lit("-")).try_cast("bigint").alias("response_size"),
         F.when(status.isNotNull(), status_class(status)).alias("status_class"),
-    ).drop("_t")
-    required = ["ip_address", "event_time", "event_time_local", "http_method", "path", "status_code"]
-    parsed = F.lit(True)
-    for name in required:
-        parsed = parsed & F.col(name).isNotNull()
-    return events.withColumn("parsed", parsed)
+    )
+    return events.withColumn("parsed", F.col("event_time").isNotNull()).drop("_t")
 
 
 def events(parsed: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace import schemas
-from millrace.functions import missing_markers_to_null, strip_all
+from millrace.functions import missing_markers_to_null
+from millrace.functions.text import WHITESPACE
 
 
 def ingest_order() -> Column:
@@ -49,7 +50,7 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 def as_log_lines(text: DataFrame) -> DataFrame:
     """The same for an already opened text source, batch or streaming."""
     lines = text.select(F.make_valid_utf8("value").alias("raw_line"), F.col("_metadata.file_name").alias("source_file"))
-    return lines.filter(strip_all(F.col("raw_line")) != "")
+    return lines.filter(F.col("raw_line").rlike(f"[^{WHITESPACE}]"))
 
 
 def flatten_price_payload(payloads: DataFrame) -> DataFrame:
