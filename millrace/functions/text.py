@@ -20,8 +20,13 @@ MISSING_MARKERS = [
 
 
 def strip_all(col: Column) -> Column:
-    """Strip every kind of white space from both ends (``trim`` alone strips spaces only)."""
-    return F.btrim(col, F.lit(WHITESPACE))
+    """Strip every kind of white space from both ends (``trim`` alone strips spaces only).
+
+    Most values need no more than ``trim``, which is several times faster than trimming a set of characters. It has
+    done the job when the text now begins and ends with a printable ASCII character.
+    """
+    trimmed = F.trim(col)
+    return F.when(trimmed.rlike(r"^[!-~](?s:.*)[!-~]\z"), trimmed).otherwise(F.btrim(col, F.lit(WHITESPACE)))
 
 
 def default_if_blank(col: Column, default: str) -> Column:

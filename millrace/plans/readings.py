@@ -44,12 +44,11 @@ def parse_readings(landed: DataFrame) -> DataFrame:
         _number("windspeed").alias("windspeed_kmh"),
         _number("weathercode").alias("_code"),
         F.try_element_at("_w", F.lit("time")).alias("observed_at"),
-        F.filter(F.array(*map(F.lit, REQUIRED_FIELDS)), lambda f: ~F.map_contains_key("_w", f)).alias("_missing"),
     )
     return (
         parsed.withColumn("reject_reason", _reject_reason())
         .withColumn("weather_code", F.when(_whole_code(), F.col("_code").cast("int")))
-        .drop("_w", "_code", "_missing")
+        .drop("_w", "_code")
     )
 
 
@@ -59,10 +58,11 @@ def _whole_code() -> Column:
 
 def _reject_reason() -> Column:
     temperature = F.col("temperature_c")
+    absent = [F.when(~F.map_contains_key("_w", F.lit(f)), f) for f in REQUIRED_FIELDS]
     unreadable = temperature.isNull() | F.col("windspeed_kmh").isNull() | ~F.coalesce(_whole_code(), F.lit(False))
     return (
         F.when(F.col("_w").isNull() | (F.size("_w") == 0), "no current_weather")
-        .when(F.size("_missing") > 0, F.concat(F.lit("missing "), F.array_join("_missing", ", ")))
+        .when(F.coalesce(*absent).isNotNull(), F.concat(F.lit("missing "), F.concat_ws(", ", *absent)))
         .when(unreadable, "unreadable value")
         # NaN lies above every number, so the upper bound rejects it too.
         .when(~temperature.between(-90, 60), "temperature out of range")

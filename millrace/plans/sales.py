@@ -63,8 +63,12 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def clean_sales(raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> DataFrame:
-    """The whole cleaning step; keeps the ingest-order columns for the dimensions."""
-    return raw.transform(clean_text).transform(first_orders, seq).transform(typed)
+    """The whole cleaning step; keeps the ingest-order columns for the dimensions.
+
+    Repeated orders are recognised by their raw id, which cleaning does not touch, so they go first and only the
+    remaining rows are cleaned.
+    """
+    return raw.transform(first_orders, seq).transform(clean_text).transform(typed)
 
 
 def sales_gate(clean: DataFrame) -> DataFrame:

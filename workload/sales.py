@@ -45,9 +45,8 @@ def _spoilt_quantity():
 
 
 def _spoilt_name():
-    return F.when(_every("c_custkey", 11), F.lit(" ")).when(
-        ~_every("c_custkey", 13), F.concat(F.lit("　 "), F.col("c_name"), F.lit("\t"))
-    )
+    text = F.when(_every("c_custkey", 4), F.concat(F.lit("\u3000 "), F.col("c_name"), F.lit("\t"))).otherwise(F.col("c_name"))
+    return F.when(_every("c_custkey", 11), F.lit(" ")).when(~_every("c_custkey", 13), text)
 
 
 def _email():
@@ -61,7 +60,7 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
         _spoilt_date().alias("order_date"),
         _spoilt_name().alias("customer_name"),
         F.concat(F.lit(" "), _email(), F.lit(" ")).alias("customer_email"),
-        F.concat(F.lit("\t"), F.col("p_name")).alias("product_name"),
+        F.when(_every("p_partkey", 5), F.concat(F.lit("\t"), F.col("p_name"))).otherwise(F.col("p_name")).alias("product_name"),
         F.concat(F.col("p_type"), F.lit(" ")).alias("category"),
         _spoilt_quantity().alias("quantity"),
         F.col("p_retailprice").cast("string").alias("unit_price"),
