@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -30,25 +30,43 @@ DEFAULT_CITIES = [
 ]
 
 
+def requested_cities(spark: SparkSession, run_id: str, cities: Sequence[str] | None = None) -> DataFrame:
+    """The request list of a run: the given cities or the default ones."""
+    names = list(cities or [name for name, _, _ in DEFAULT_CITIES])
+    return spark.createDataFrame([(run_id, name) for name in names], "run_id string, city_name string")
+
+
+def match_requests(landed: DataFrame, requested: DataFrame) -> DataFrame:
+    """The payloads a run asked for, and a row without payload for each city that sent none, so that it counts as failed.
+
+    The landed rows shrink to their distinct keys before they meet the request list; a city sending most of the payloads
+    stays where it is.
+    """
+    key = ["run_id", "city_name"]
+    silent = requested.join(landed.select(*key).distinct(), key, "left_anti")
+    return landed.join(requested, key, "left_semi").unionByName(silent, allowMissingColumns=True)
+
+
 def _number(field: str) -> Column:
+    text = F.try_element_at("_w", F.lit(field))
     # The JSON reader hands over a bare NaN or Infinity as quoted text.
-    return F.btrim(F.try_element_at("_w", F.lit(field)), F.lit('"')).try_cast("double")
+    return F.when(text.startswith('"'), F.btrim(text, F.lit('"'))).otherwise(text).try_cast("double")
 
 
 def parse_readings(landed: DataFrame) -> DataFrame:
     """Add the reading columns and ``reject_reason`` (null for a good reading) to landed payload rows."""
     payload = F.from_json("payload", schemas.READING_PAYLOAD)
-    parsed = compute_once(landed, "_w", payload["current_weather"]).select(
-        "*",
+    numbers = F.struct(
         _number("temperature").alias("temperature_c"),
         _number("windspeed").alias("windspeed_kmh"),
         _number("weathercode").alias("_code"),
-        F.try_element_at("_w", F.lit("time")).alias("observed_at"),
     )
+    parsed = landed.transform(compute_once, "_w", payload["current_weather"]).transform(compute_once, "_n", numbers)
     return (
-        parsed.withColumn("reject_reason", _reject_reason())
+        parsed.select("*", "_n.*", F.try_element_at("_w", F.lit("time")).alias("observed_at"))
+        .withColumn("reject_reason", _reject_reason())
         .withColumn("weather_code", F.when(_whole_code(), F.col("_code").cast("int")))
-        .drop("_w", "_code")
+        .drop("_w", "_n", "_code")
     )
 
 
@@ -61,7 +79,8 @@ def _reject_reason() -> Column:
     absent = [F.when(~F.map_contains_key("_w", F.lit(f)), f) for f in REQUIRED_FIELDS]
     unreadable = temperature.isNull() | F.col("windspeed_kmh").isNull() | ~F.coalesce(_whole_code(), F.lit(False))
     return (
-        F.when(F.col("_w").isNull() | (F.size("_w") == 0), "no current_weather")
+        F.when(F.col("payload").isNull(), "no payload")
+        .when(F.col("_w").isNull() | (F.size("_w") == 0), "no current_weather")
         .when(F.coalesce(*absent).isNotNull(), F.concat(F.lit("missing "), F.concat_ws(", ", *absent)))
         .when(unreadable, "unreadable value")
         # NaN lies above every number, so the upper bound rejects it too.

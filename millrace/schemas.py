@@ -36,6 +36,7 @@ SALES_COLUMNS = [
 RAW_SALES = _table(", ".join(f"{c} STRING" for c in SALES_COLUMNS))
 
 PRICE_PAYLOAD = "MAP<STRING, STRUCT<usd: DOUBLE, usd_market_cap: DOUBLE>>"
+LANDED_PRICES = _table("payload STRING, fetched_at_utc TIMESTAMP")
 RAW_PRICES = _table(
     "coin_id STRING, price_usd DOUBLE, market_cap_usd DOUBLE, fetched_at_utc TIMESTAMP"
 )

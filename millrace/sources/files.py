@@ -64,6 +64,15 @@ def flatten_price_payload(payloads: DataFrame) -> DataFrame:
     )
 
 
-def restrict_to_keys(df: DataFrame, key: str, keys: Sequence[str] | None, default: Sequence[str]) -> DataFrame:
-    """Only the listed keys, or the default list when none are given."""
+def read_landed_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Landed API responses, one JSON object per line: the payload as text beside what is known about its fetch."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def restrict_to_keys(
+    df: DataFrame, key: str, keys: Sequence[str] | DataFrame | None, default: Sequence[str]
+) -> DataFrame:
+    """Only the wanted keys: a short list, a frame of any size with a column ``key``, or the default when empty."""
+    if isinstance(keys, DataFrame):
+        return df.join(keys.select(key), key, "left_semi")
     return df.filter(F.col(key).isin(list(keys or default)))

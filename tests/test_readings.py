@@ -93,6 +93,15 @@ def test_insert_twice_and_one_bad_city(spark, warehouse):
     assert (health.runs, health.healthy_runs, health.partial_runs, health.latest_status) == (3, 1, 1, "failed")
 
 
+def test_a_city_that_sends_nothing_counts_as_failed(spark, warehouse):
+    landed = land(spark, ("Oslo", payload()), ("Rome", payload()))
+    requested = readings.requested_cities(spark, "r1", ["Oslo", "Bern"])
+    ingest(warehouse, readings.match_requests(landed, requested))
+    assert read(warehouse, "city_name") == [("Oslo",)], "a city nobody asked for is left out"
+    assert run_log(warehouse) == [("r1", 2, 1, 1, "partial_failure")]
+    assert readings.requested_cities(spark, "r1").count() == 5
+
+
 def test_a_repeated_run_replaces_its_log_row(spark, warehouse):
     for text in ("{}", payload()):
         ingest(warehouse, land(spark, ("Oslo", text)))

@@ -60,6 +60,14 @@ def insert_if_absent(s, d):
     return stored.unionByName(absent_rows(stored, arriving, readings.READING_KEY, ORDER, readings.NOT_NULL))
 
 
+def requested_run_log(s, d):
+    """Every daily run asks for the five cities and for one that never answers."""
+    rows = landed(table(s, d, "events"))
+    wanted = F.explode(F.array(*[F.lit(c) for c in [*CITIES, "harbour"]]))
+    requested = rows.select("run_id").distinct().select("run_id", wanted.alias("city_name"))
+    return readings.run_log(readings.parse_readings(readings.match_requests(rows, requested)))
+
+
 QUERIES = {
     "wx_parse_validate": lambda s, d: parsed(s, d).drop("payload"),
     "wx_rejects": lambda s, d: readings.rejects(parsed(s, d)).drop("payload"),
@@ -67,6 +75,7 @@ QUERIES = {
     "wx_latest_per_city": lambda s, d: readings.latest_per_city(fact(s, d)),
     "wx_temperature_pivot": lambda s, d: readings.temperature_pivot(fact(s, d), CITIES),
     "wx_run_log": lambda s, d: readings.run_log(parsed(s, d)),
+    "wx_requested_run_log": requested_run_log,
     "wx_run_health": lambda s, d: readings.run_health(readings.run_log(parsed(s, d))),
 }
 
@@ -119,6 +128,18 @@ SELECT * FROM fact
 QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY fetched_at_utc DESC, observed_at DESC) = 1""",
     "wx_temperature_pivot": _PARSED + f"SELECT observed_at, {_PIVOT} FROM fact GROUP BY 1",
     "wx_run_log": _PARSED + "SELECT * FROM run_log",
+    "wx_requested_run_log": _PARSED + f"""
+, asked AS (
+  SELECT * FROM parsed WHERE city_name <> ''
+  UNION ALL BY NAME SELECT run_id, city AS city_name, 'no payload' AS reject_reason
+  FROM (SELECT DISTINCT run_id FROM parsed) r, (SELECT unnest({[*CITIES, "harbour"]}) AS city)
+  WHERE NOT EXISTS (SELECT 1 FROM parsed p WHERE p.run_id = r.run_id AND p.city_name = city)
+)
+SELECT run_id, min(fetched_at_utc) AS started_at_utc, max(fetched_at_utc) AS finished_at_utc,
+  count(*) AS cities_requested, count(*) FILTER (reject_reason IS NULL) AS cities_succeeded,
+  count(reject_reason) AS cities_failed,
+  CASE WHEN count(reject_reason) < count(*) THEN 'partial_failure' ELSE 'failed' END AS status
+FROM asked GROUP BY 1""",
     "wx_run_health": _PARSED + """
 SELECT count(*) AS runs, count(*) FILTER (status = 'success') AS healthy_runs,
   count(*) FILTER (status = 'partial_failure') AS partial_runs,
