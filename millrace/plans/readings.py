@@ -119,7 +119,10 @@ def run_log(parsed: DataFrame) -> DataFrame:
 
 def ingest(warehouse: Warehouse, landed: DataFrame) -> list[Change]:
     """Readings inserted if absent, rejects appended, run-log rows replaced. Returns the unpublished changes."""
-    parsed = write_once(parse_readings(landed), "parsed-readings")
+    parsed = parse_readings(landed)
+    # Only rejects need their payload again.
+    payload = F.when(F.col("reject_reason").isNotNull(), F.col("payload"))
+    parsed = write_once(parsed.withColumn("payload", payload), "parsed-readings")
     readings = valid_readings(parsed)
     return [
         warehouse.insert_if_absent(

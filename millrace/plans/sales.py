@@ -127,18 +127,14 @@ def fact_sales(clean: DataFrame, customers: DataFrame, products: DataFrame) -> D
 
 
 def load_star(warehouse: Warehouse, raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> int:
-    """Clean, gate, build and publish all four tables with one commit. Nothing is published if the gate fails."""
+    """Clean, gate, build and publish all four tables with one commit. Nothing is published if a gate fails."""
     clean = write_once(clean_sales(raw, seq), "clean-sales")
     enforce(sales_gate(clean))
-    customers, products = dim_customer(clean, seq), dim_product(clean, seq)
-    fact = write_once(fact_sales(clean, customers, products), "fact-sales")
-    enforce(gate_report(fact, [Check("product_id is found", F.col("product_id").isNull())]))
-    return warehouse.commit(
-        warehouse.replace("dim_customer", customers),
-        warehouse.replace("dim_product", products),
-        warehouse.replace("dim_date", dim_date(clean)),
-        warehouse.replace("fact_sales", fact),
-    )
+    customers = warehouse.replace("dim_customer", dim_customer(clean, seq))
+    products = warehouse.replace("dim_product", dim_product(clean, seq))
+    fact = warehouse.replace("fact_sales", fact_sales(clean, customers.rows, products.rows))
+    enforce(gate_report(fact.rows, [Check("product_id is found", F.col("product_id").isNull())]))
+    return warehouse.commit(customers, products, warehouse.replace("dim_date", dim_date(clean)), fact)
 
 
 # Reports ---------------------------------------------------------------------------------------------------------

@@ -10,7 +10,6 @@ from millrace.functions import percent, status_class
 from millrace.functions.text import WHITESPACE
 from millrace.operators.calendar import fill_hours
 from millrace.operators.rows import compute_once, frequency
-from millrace.session import write_once
 from millrace.sources.warehouse import Change, Warehouse
 
 # Month names of the log format, four characters apart.
@@ -117,25 +116,33 @@ def ingest(
     warehouse: Warehouse, lines: DataFrame, run_id: str, run_at: Column, source: str | None = None,
     refresh: bool = False,
 ) -> list[Change]:
-    """Parse once, then derive events, dead letters and summary from the stored result.
+    """Parse and write once, dealing the lines out to events and dead letters; the summary counts what was written.
 
     Returns the unpublished changes. With ``refresh`` they replace the tables of earlier runs. ``source`` names the file
     of a run; without it there is one summary line per file, and none for a file without lines.
     """
-    parsed = write_once(parse_combined(lines), "parsed-log")
+    parsed = parse_combined(lines)
+    stored = parsed.select(
+        *schemas.LOG_EVENTS.names,
+        "parsed",
+        "source_file",
+        F.lit(run_id).alias("run_id"),
+        F.when(~F.col("parsed"), F.col("raw_line")).alias("raw_line"),
+    )
+    day = F.date_format("event_time_local", "yyyy-MM-dd")
+    routes = {"fact_log_event": (F.col("parsed"), day), "parse_error_log": (~F.col("parsed"), None)}
+    good, bad = warehouse.deal_out(stored, routes, refresh)
+
+    written = good.rows.select("source_file", "parsed").unionAll(bad.rows.select("source_file", "parsed"))
     if source is not None:
-        summary = run_summary(parsed, run_id).withColumn("source_file", F.lit(source))
+        summary = run_summary(written, run_id).withColumn("source_file", F.lit(source))
     else:
-        summary = run_summary(parsed, run_id, "source_file")
+        summary = run_summary(written, run_id, "source_file")
     summary = summary.withColumn("run_at_utc", run_at).select(
         *[F.col(f.name).cast(f.dataType) for f in schemas.LOG_SUMMARY]
     )
     write = warehouse.replace if refresh else warehouse.append
-    return [
-        write("fact_log_event", events(parsed), F.date_format("event_time_local", "yyyy-MM-dd")),
-        write("parse_error_log", dead_letters(parsed, run_id)),
-        write("pipeline_run_summary", summary),
-    ]
+    return [good, bad, write("pipeline_run_summary", summary)]
 
 
 # Traffic ---------------------------------------------------------------------------------------------------------

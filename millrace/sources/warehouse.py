@@ -22,8 +22,8 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from millrace.operators.rows import keep_first
 
-_PART = "_part"
-_WHOLE = ""  # the single partition of a table without partitions
+_TABLE, _PART = "_table", "_part"
+_WHOLE = "all"  # the single partition of a table without partitions
 
 
 @dataclass
@@ -113,6 +113,9 @@ class Warehouse:
             return {_WHOLE: [path]}
         # The hint lets AQE gather small partitions into few files and split a large one over many tasks.
         df.withColumn(_PART, partition).hint("rebalance", _PART).write.partitionBy(_PART).parquet(path)
+        return self._parts(path)
+
+    def _parts(self, path: str) -> dict[str, list[str]]:
         prefix = f"{_PART}="
         return {n[len(prefix):]: [f"{path}/{n}"] for n in self._names(path) if n.startswith(prefix)}
 
@@ -122,12 +125,46 @@ class Warehouse:
 
     def replace(self, table: str, df: DataFrame, partition: Column | None = None) -> Change:
         """Full refresh."""
-        return Change(table, self._write(table, df, partition), replaces_table=True)
+        new = self._write(table, df, partition)
+        return Change(table, new, replaces_table=True, rows=self._open(_all(new), df.schema))
 
     def append(self, table: str, df: DataFrame, partition: Column | None = None) -> Change:
         new = self._write(table, df, partition)
+        return Change(table, self._added(table, new), rows=self._open(_all(new), df.schema))
+
+    def _added(self, table: str, new: dict[str, list[str]]) -> dict[str, list[str]]:
         old = self._published(table, list(new))
-        return Change(table, {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}, rows=self._rows(new, df))
+        return {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}
+
+    def deal_out(
+        self, df: DataFrame, routes: dict[str, tuple[Column, Column | None]], refresh: bool = False
+    ) -> list[Change]:
+        """Write ``df`` once and give each row to the first table whose condition it meets, as an append or a refresh.
+
+        ``routes`` maps a table to its condition and its partition. The files keep all columns of ``df``; a reader of a
+        table names the ones it wants.
+        """
+        target, part = F.lit(None), F.lit(None)
+        for table, (condition, partition) in reversed(routes.items()):
+            target = F.when(condition, table).otherwise(target)
+            part = F.when(condition, F.lit(_WHOLE) if partition is None else partition).otherwise(part)
+        path = f"{self._job}/{uuid.uuid4().hex}"
+        dealt = df.withColumns({_TABLE: target, _PART: part}).filter(F.col(_TABLE).isNotNull())
+        dealt.hint("rebalance", _TABLE, _PART).write.partitionBy(_TABLE, _PART).parquet(path)
+        changes = []
+        for table in routes:
+            new = self._parts(f"{path}/{_TABLE}={table}")
+            parts = new if refresh else self._added(table, new)
+            changes.append(Change(table, parts, replaces_table=refresh, rows=self._open(_all(new), df.schema)))
+        return changes
+
+    def compact(self, table: str, schema: StructType, partition: Column | None = None, max_dirs: int = 16) -> Change:
+        """Rewrite the partitions that many small writes have spread over more than ``max_dirs`` directories."""
+        parts = self._state()["tables"].get(table, {})
+        scattered = {v: dirs for v, dirs in parts.items() if len(dirs) > max_dirs}
+        if not scattered:
+            return Change(table, {})
+        return Change(table, self._write(table, self._open(_all(scattered), schema), partition))
 
     def insert_if_absent(
         self,
@@ -164,15 +201,11 @@ class Warehouse:
         new = self._write(table, keep_first(df, keys, [_descending(c) for c in order]), partition)
         old = self._published(table, list(new))
         arrived = self._open(_all(new), df.schema)
-        parts = dict(new)
-        if old:
+        # Only if a stored key is hit do the partitions concerned have to be rewritten.
+        if old and not self._open(_all(old), df.schema).join(arrived.select(*keys), list(keys), "left_semi").isEmpty():
             kept = self._open(_all(old), df.schema).join(arrived.select(*keys), list(keys), "left_anti")
-            for value, dirs in self._write(table, kept.select(*df.columns), partition).items():
-                parts[value] = [*dirs, *parts.get(value, [])]
-        return Change(table, parts, rows=arrived)
-
-    def _rows(self, parts: dict[str, list[str]], df: DataFrame) -> DataFrame:
-        return self._open(_all(parts), df.schema)
+            old = self._write(table, kept.select(*df.columns), partition)
+        return Change(table, {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}, rows=arrived)
 
 
 def _all(parts: dict[str, list[str]]) -> list[str]:

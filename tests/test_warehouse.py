@@ -62,6 +62,40 @@ def test_upsert_replaces_whole_rows_and_the_last_of_a_batch_wins(spark, warehous
     assert warehouse._state()["tables"]["t"]["d2"] == untouched
 
 
+def test_an_upsert_that_hits_no_key_rewrites_nothing(spark, warehouse):
+    def upsert(*data):
+        return warehouse.upsert("t", frame(spark, *data).drop("seq"), KEYS, ["v"], F.col("day"))
+
+    warehouse.commit(upsert(("a", "d1", 1.0, 0)))
+    first = warehouse._state()["tables"]["t"]["d1"]
+    warehouse.commit(upsert(("b", "d1", 2.0, 0)))
+    assert warehouse._state()["tables"]["t"]["d1"][:1] == first
+    assert stored(warehouse) == [("a", "d1", 1.0), ("b", "d1", 2.0)]
+
+
+def test_rows_are_dealt_out_to_the_first_table_that_takes_them(spark, warehouse):
+    df = frame(spark, ("a", "d1", 1.0, 1), ("b", "d2", 2.0, 1), ("c", "d1", 9.0, 1), (None, "d1", 0.0, 1)).drop("seq")
+    routes = {"t": (F.col("v") < 5, F.col("day")), "u": (F.col("k").isNotNull(), None)}
+    for _ in range(2):
+        warehouse.commit(*warehouse.deal_out(df, routes))
+    assert stored(warehouse, since="d2") == [("b", "d2", 2.0)] * 2
+    assert rows(warehouse.read("u", df.schema)) == [("c", "d1", 9.0)] * 2
+    warehouse.commit(*warehouse.deal_out(df.filter("v > 5"), routes, refresh=True))
+    assert stored(warehouse) == [] and warehouse.read("u", df.schema).count() == 1
+
+
+def test_compaction_changes_directories_not_rows(spark, warehouse):
+    df = frame(spark, ("a", "d1", 1.0, 1), ("b", "d2", 2.0, 1)).drop("seq")
+    for _ in range(3):
+        warehouse.commit(warehouse.append("t", df, F.col("day")))
+    warehouse.commit(warehouse.append("t", df.filter("day = 'd1'"), F.col("day")))
+    before = stored(warehouse)
+    warehouse.commit(warehouse.compact("t", df.schema, F.col("day"), max_dirs=3))
+    assert {v: len(dirs) for v, dirs in warehouse._state()["tables"]["t"].items()} == {"d1": 1, "d2": 3}
+    assert stored(warehouse) == before
+    assert not warehouse.compact("t", df.schema, F.col("day")).parts
+
+
 def test_nothing_shows_before_the_commit(spark, warehouse):
     """A job that dies between writing and publishing leaves the last commit in force."""
     warehouse.commit(insert(warehouse, frame(spark, ("a", "d1", 1.0, 1))))
