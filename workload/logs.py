@@ -50,7 +50,8 @@ def json_lines(events: DataFrame) -> DataFrame:
     time = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("time")
     line = F.to_json(F.struct("ip", time, "method", "path", "status", "size"))
     return _fields(events).select(
-        F.when(_every(17), F.substring(line, 1, 30)).otherwise(line).alias("raw_line"), F.lit("api.json").alias("source_file")
+        F.when(_every(17), F.concat(F.lit("{broken "), line)).otherwise(line).alias("raw_line"),
+        F.lit("api.json").alias("source_file"),
     )
 
 
