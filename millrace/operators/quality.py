@@ -46,6 +46,11 @@ def gate_report(df: DataFrame, checks: Sequence[Check], unique_key: str | None =
         totals = per_key.agg(*counts)
     else:
         totals = df.agg(*counts)
+    return _as_lines(totals, names)
+
+
+def _as_lines(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The one row of counts ``_c0, _c1, ...`` as a line per check."""
     lines = [
         F.struct(F.lit(name).alias("check_name"), F.coalesce(F.col(f"_c{i}"), F.lit(0)).alias("violations"))
         for i, name in enumerate(names)
@@ -107,6 +112,26 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame
     return df.filter(~F.col(col).isin(list(values)))
 
 
+def model_report(
+    df: DataFrame,
+    model: str,
+    unique_col: str | None = None,
+    required: Sequence[str] = (),
+    accepted: dict[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """The first, second and last of these tests for a whole model in one pass: number of failing results per test."""
+    accepted = accepted or {}
+    names = [f"not_null {model}.{c}" for c in required] + [f"accepted_values {model}.{c}" for c in accepted]
+    failing = [F.col(c).isNull() for c in required] + [~F.col(c).isin(list(v)) for c, v in accepted.items()]
+    counts = [F.count_if(f).alias(f"_c{i}") for i, f in enumerate(failing)]
+    if unique_col is not None:
+        names.append(f"unique {model}.{unique_col}")
+        per_value = df.groupBy(unique_col).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        repeated = F.count_if((F.col("_n") > 1) & F.col(unique_col).isNotNull()).alias(f"_c{len(counts)}")
+        return _as_lines(per_value.agg(*[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(counts))], repeated), names)
+    return _as_lines(df.agg(*counts), names)
+
+
 def run_tests(tests: dict[str, DataFrame]) -> DataFrame:
     """Number of failing rows per test, all tests in one job."""
     report = None

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import as_month, cents_to_dollars, months_crossed, percent, tolerant_date
-from millrace.operators.quality import accepted_values, not_null, relationships, run_tests, unique
+from millrace.operators.quality import model_report, relationships, run_tests
 from millrace.operators.rows import compute_once, frequency, keep_latest, top_k
 from millrace.sources.warehouse import save_layer
 
@@ -347,37 +348,32 @@ def save_models(raw: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    """The declarative tests of all models: violations per test."""
+    """The declarative tests of all models: violations per test. Each model is read once, and once per parent test."""
     m = models
-    keys = {
-        "stg_customers": "customer_id",
-        "stg_subscriptions": "subscription_id",
-        "stg_payments": "payment_id",
-        "dim_customers": "customer_id",
-        "fct_subscriptions": "subscription_id",
-    }
-    required = [
-        *keys.items(),
-        ("stg_customers", "email"),
-        ("stg_subscriptions", "customer_id"),
-        ("stg_payments", "subscription_id"),
-        ("fct_subscriptions", "total_paid_usd"),
-        ("fct_mrr", "mrr_usd"),
-    ]
-    tests = {f"unique {model}.{col}": unique(m[model], col) for model, col in keys.items()}
-    tests |= {f"not_null {model}.{col}": not_null(m[model], col) for model, col in required}
-    tests |= {
-        "relationships stg_subscriptions.customer_id": relationships(
-            m["stg_subscriptions"], "customer_id", m["stg_customers"], "customer_id"
+    reports = [
+        model_report(m["stg_customers"], "stg_customers", "customer_id", ["customer_id", "email"]),
+        model_report(
+            m["stg_subscriptions"], "stg_subscriptions", "subscription_id", ["subscription_id", "customer_id"],
+            {"status": SUBSCRIPTION_STATUSES},
         ),
-        "relationships stg_payments.subscription_id": relationships(
-            m["stg_payments"], "subscription_id", m["stg_subscriptions"], "subscription_id"
+        model_report(
+            m["stg_payments"], "stg_payments", "payment_id", ["payment_id", "subscription_id"],
+            {"payment_status": PAYMENT_STATUSES},
         ),
-        "accepted_values stg_subscriptions.status": accepted_values(
-            m["stg_subscriptions"], "status", SUBSCRIPTION_STATUSES
+        model_report(m["dim_customers"], "dim_customers", "customer_id", ["customer_id"]),
+        model_report(
+            m["fct_subscriptions"], "fct_subscriptions", "subscription_id", ["subscription_id", "total_paid_usd"]
         ),
-        "accepted_values stg_payments.payment_status": accepted_values(
-            m["stg_payments"], "payment_status", PAYMENT_STATUSES
+        model_report(m["fct_mrr"], "fct_mrr", required=["mrr_usd"]),
+        run_tests(
+            {
+                "relationships stg_subscriptions.customer_id": relationships(
+                    m["stg_subscriptions"], "customer_id", m["stg_customers"], "customer_id"
+                ),
+                "relationships stg_payments.subscription_id": relationships(
+                    m["stg_payments"], "subscription_id", m["stg_subscriptions"], "subscription_id"
+                ),
+            }
         ),
-    }
-    return run_tests(tests)
+    ]
+    return reduce(DataFrame.unionAll, reports)

@@ -169,6 +169,11 @@ def test_declarative_tests(spark):
     assert rows(quality.unique(df, "id")) == [(1, 2)]
     assert rows(quality.relationships(df, "id", parent, "pid"), "id") == [(4,)]
     assert rows(quality.accepted_values(df, "v", ["a", "b", "c"]), "v") == [("d",)]
+    in_one_pass = quality.model_report(df, "m", "id", ["id", "v"], {"v": ["a", "b", "c"]})
+    assert rows(in_one_pass, "check_name", "violations") == [
+        ("accepted_values m.v", 1), ("not_null m.id", 2), ("not_null m.v", 1), ("unique m.id", 1)
+    ]
+    assert {r.violations for r in quality.model_report(df.limit(0), "m", "id", ["v"]).collect()} == {0}
     report = quality.run_tests({"n": quality.not_null(df, "id"), "none": df.limit(0)})
     assert rows(report) == [("n", 2, False), ("none", 0, True)]
 
