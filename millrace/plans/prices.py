@@ -183,6 +183,13 @@ def snapshot_counts(fact: DataFrame) -> DataFrame:
     return fact.groupBy(KEY).agg(F.count(F.lit(1)).alias("snapshots"), F.max(TIME).alias("last_refresh"))
 
 
+def overview(fact: DataFrame) -> DataFrame:
+    """One row: keys, snapshots, newest refresh."""
+    return snapshot_counts(fact).agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("snapshots").alias("snapshots"), F.max("last_refresh").alias("last_refresh")
+    )
+
+
 def price_alerts(fact: DataFrame, threshold_pct: float) -> DataFrame:
     """Rows whose move against the row before reaches the threshold, up or down."""
     return fact.filter(F.abs("pct_change_from_prev") >= threshold_pct).withColumn(

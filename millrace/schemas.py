@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -18,6 +19,7 @@ _TYPES = {
     "INT": IntegerType(),
     "BIGINT": LongType(),
     "DOUBLE": DoubleType(),
+    "DATE": DateType(),
     "TIMESTAMP": TimestampType(),
     "TIMESTAMP_NTZ": TimestampNTZType(),
 }
@@ -36,6 +38,14 @@ SALES_COLUMNS = [
 RAW_SALES = _table(", ".join(f"{c} STRING" for c in SALES_COLUMNS))
 
 PRICE_PAYLOAD = "MAP<STRING, STRUCT<usd: DOUBLE, usd_market_cap: DOUBLE>>"
+DIM_CUSTOMER = _table("customer_id BIGINT, customer_name STRING, customer_email STRING, city STRING")
+DIM_PRODUCT = _table("product_id BIGINT, product_name STRING, category STRING, unit_price DOUBLE")
+DIM_DATE = _table("date_id INT, full_date DATE, year INT, month INT, day INT, day_of_week STRING")
+FACT_SALES = _table(
+    "order_id BIGINT, date_id INT, customer_id BIGINT, product_id BIGINT, quantity INT, unit_price DOUBLE,"
+    " total_amount DOUBLE"
+)
+
 LANDED_PRICES = _table("payload STRING, fetched_at_utc TIMESTAMP")
 RAW_PRICES = _table(
     "coin_id STRING, price_usd DOUBLE, market_cap_usd DOUBLE, fetched_at_utc TIMESTAMP"

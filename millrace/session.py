@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Settings the jobs are tuned for. They only steer Spark's own planner; results do not depend on them.
 ENGINE_CONF = {
@@ -58,3 +60,8 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, and Catalyst knows it: joins and unions with it fold away."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).limit(0)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from millrace.operators.rows import keep_first
+from millrace.session import empty_table
 
 _TABLE, _PART = "_table", "_part"
 _WHOLE = "all"  # the single partition of a table without partitions
@@ -96,7 +97,7 @@ class Warehouse:
 
     def _open(self, dirs: Sequence[str], schema: StructType) -> DataFrame:
         if not dirs:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*dirs)
 
     def read(self, table: str, schema: StructType, since: str | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.operators.quality import DataQualityError
 from millrace.plans import sales
 from millrace.sources.files import read_sales_csv
@@ -31,27 +32,13 @@ def raw(spark, tmp_path):
 def load(warehouse, raw):
     sales.load_star(warehouse, raw)
     return {
-        "customers": warehouse.read("dim_customer", CUSTOMERS),
-        "products": warehouse.read("dim_product", PRODUCTS),
-        "dates": warehouse.read("dim_date", DATES),
-        "fact": warehouse.read("fact_sales", FACT),
+        "customers": warehouse.read("dim_customer", schemas.DIM_CUSTOMER),
+        "products": warehouse.read("dim_product", schemas.DIM_PRODUCT),
+        "dates": warehouse.read("dim_date", schemas.DIM_DATE),
+        "fact": warehouse.read("fact_sales", schemas.FACT_SALES),
     }
 
 
-@pytest.fixture(autouse=True)
-def schemas(spark):
-    from pyspark.sql.types import StructType
-
-    global CUSTOMERS, PRODUCTS, DATES, FACT
-    CUSTOMERS = StructType.fromDDL("customer_id bigint, customer_name string, customer_email string, city string")
-    PRODUCTS = StructType.fromDDL("product_id bigint, product_name string, category string, unit_price double")
-    DATES = StructType.fromDDL("date_id int, full_date date, year int, month int, day int, day_of_week string")
-    FACT = StructType.fromDDL(
-        "order_id bigint, date_id int, customer_id bigint, product_id bigint, quantity int, unit_price double,"
-        " total_amount double"
-    )
-
-
 def test_scan_reads_text_in_file_order(raw):
     assert dict(raw.dtypes)["quantity"] == "string"
     assert [r.order_id for r in raw.orderBy("seq").collect()] == ["10", "11", "12", "10", "13"]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.sources.warehouse import absent_rows, replace_on_key
+from millrace.session import scratch_path
+from millrace.sources.warehouse import Warehouse, absent_rows, replace_on_key
 from workload.prices import raw_prices
 
 KEYS = ["coin_id", "fetched_at_utc"]
@@ -35,7 +36,36 @@ def upsert_replace(spark, sf):
     return replace_on_key(stored, valid, KEYS, ["seq"])
 
 
-QUERIES = {"etl_insert_if_absent": insert_if_absent, "etl_upsert_replace": upsert_replace}
+def _day():
+    return F.date_format("fetched_at_utc", "yyyy-MM-dd")
+
+
+def stored_insert(spark, sf):
+    """The same through a warehouse: stored, published, inserted, published, read back."""
+    stored, batch = _batch(spark, sf)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.commit(warehouse.append("prices", stored, _day()))
+    required = ["coin_id", "price_usd", "fetched_at_utc"]
+    warehouse.commit(warehouse.insert_if_absent("prices", batch, KEYS, ["seq"], required, _day()))
+    return warehouse.read("prices", stored.schema)
+
+
+def stored_upsert(spark, sf):
+    """Replace on key through a warehouse; ``seq`` is kept to tell which row of the batch won."""
+    stored, batch = _batch(spark, sf)
+    valid = batch.filter(F.col("price_usd").isNotNull() & ~F.isnan("price_usd"))
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.commit(warehouse.append("prices", stored.withColumn("seq", F.lit(0)), _day()))
+    warehouse.commit(warehouse.upsert("prices", valid, KEYS, ["seq"], _day()))
+    return warehouse.read("prices", valid.schema)
+
+
+QUERIES = {
+    "etl_insert_if_absent": insert_if_absent,
+    "etl_upsert_replace": upsert_replace,
+    "etl_stored_insert": stored_insert,
+    "etl_stored_upsert": stored_upsert,
+}
 
 _BATCH = f"""
 WITH raw AS (
@@ -62,3 +92,8 @@ SELECT {_COLUMNS} FROM (SELECT * FROM batch {_RANK.format('DESC')}) UNION ALL
 SELECT * FROM stored s
 WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE s.coin_id = b.coin_id AND s.fetched_at_utc = b.fetched_at_utc)""",
 }
+ORACLE["etl_stored_insert"] = ORACLE["etl_insert_if_absent"]
+ORACLE["etl_stored_upsert"] = _BATCH + f"""
+SELECT {_COLUMNS}, seq FROM (SELECT * FROM batch {_RANK.format('DESC')}) UNION ALL
+SELECT s.*, 0 FROM stored s
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE s.coin_id = b.coin_id AND s.fetched_at_utc = b.fetched_at_utc)"""

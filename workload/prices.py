@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.rows import keep_latest
 from millrace.plans import prices
-from millrace.session import write_once
-from millrace.sources.files import flatten_price_payload
+from millrace.session import empty_table, write_once
+from millrace.sources.files import flatten_price_payload, restrict_to_keys
 from workload import table
 
 CUT = "2024-01-15"
@@ -29,7 +29,7 @@ def as_prices(events: DataFrame) -> DataFrame:
 
 def _no_state(raw: DataFrame) -> DataFrame:
     schema = prices.state_schema(raw.schema["fetched_at_utc"].dataType, raw.schema["coin_id"].dataType)
-    return raw.sparkSession.createDataFrame([], schema)
+    return empty_table(raw.sparkSession, schema)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -75,13 +75,28 @@ def pct_change(spark, sf):
     return prices.price_metrics(raw_prices(spark, sf)).drop("moving_avg_3", "market_cap_usd")
 
 
+def cut_keys(spark, sf):
+    """The same metrics with nearly every key above the limit, so that all go through cells and halos."""
+    return _rounded(prices.price_metrics(raw_prices(spark, sf), hot_key_rows=20))
+
+
+def selected_keys(spark, sf):
+    """The snapshots of the keys that ever bought for more than 150."""
+    bought = (F.col("event_type") == "purchase") & (F.col("value") > 150)
+    keys = table(spark, sf, "events").filter(bought).select(F.col("user_id").alias("coin_id"))
+    return restrict_to_keys(raw_prices(spark, sf), "coin_id", keys, [])
+
+
 QUERIES = {
     "price_moving_avg": moving_avg,
     "price_pct_change": pct_change,
+    "price_metrics_cut_keys": cut_keys,
+    "price_selected_keys": selected_keys,
     "price_incremental": incremental,
     "price_last_two": lambda s, d: keep_latest(raw_prices(s, d), ["coin_id"], ["fetched_at_utc"], n=2),
     "price_watermark_state": lambda s, d: prices.state_after(raw_prices(s, d)),
     "price_latest": lambda s, d: prices.latest_prices(prices.price_metrics(raw_prices(s, d))),
+    "price_overview": lambda s, d: prices.overview(raw_prices(s, d)),
     "price_snapshot_counts": lambda s, d: prices.snapshot_counts(raw_prices(s, d)),
     "price_json_flatten": json_flatten,
     "price_late_rows": late_rows,
@@ -108,6 +123,11 @@ _DIRECTION = """CASE WHEN pct_change_from_prev > 0 THEN 'up' WHEN pct_change_fro
 ORACLE = {
     "price_moving_avg": METRICS + "SELECT coin_id, price_usd, fetched_at_utc, moving_avg_3 FROM metrics",
     "price_pct_change": METRICS + "SELECT coin_id, price_usd, fetched_at_utc, pct_change_from_prev FROM metrics",
+    "price_metrics_cut_keys": METRICS + "SELECT * FROM metrics",
+    "price_selected_keys": f"""
+SELECT * FROM ({RAW}) WHERE coin_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 150)""",
+    "price_overview": """
+SELECT count(DISTINCT user_id) AS keys, count(*) AS snapshots, max(ts) AS last_refresh FROM events""",
     "price_incremental": METRICS + "SELECT * FROM metrics",
     "price_last_two": f"""SELECT * FROM ({RAW})
 QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY fetched_at_utc DESC) <= 2""",
