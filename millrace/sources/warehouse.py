@@ -29,10 +29,11 @@ _WHOLE = "all"  # the single partition of a table without partitions
 
 @dataclass
 class Change:
-    """New directories of one table, written but not yet published."""
+    """New directories of one table, written but not yet published, and the version of the table they build on."""
 
     table: str
     parts: dict[str, list[str]]
+    base: int
     replaces_table: bool = False
     rows: DataFrame | None = field(default=None, repr=False)
 
@@ -56,7 +57,7 @@ class Warehouse:
     def _state(self) -> dict:
         commits = [n for n in self._names(f"{self.root}/commits") if n.endswith(".json")]
         if not commits:
-            return {"version": 0, "tables": {}, "batches": {}}
+            return {"version": 0, "tables": {}, "changed": {}, "batches": {}}
         fs, path = self._fs(f"{self.root}/commits/{commits[-1]}")
         stream = fs.open(path)
         try:
@@ -70,14 +71,17 @@ class Warehouse:
     def commit(self, *changes: Change, batch: tuple[str, int] | None = None) -> int:
         """Publish the changes together. ``batch`` records a stream's batch number with them (see ``seen``)."""
         state = self._state()
+        state["version"] += 1
         for change in changes:
+            if state["changed"].get(change.table, 0) > change.base:
+                raise RuntimeError(f"{change.table} has changed since these rows were written")
+            state["changed"][change.table] = state["version"]
             if change.replaces_table:
                 state["tables"][change.table] = change.parts
             else:
                 state["tables"].setdefault(change.table, {}).update(change.parts)
         if batch:
             state["batches"][batch[0]] = batch[1]
-        state["version"] += 1
         # Written aside and renamed, so that a commit appears whole; the target is new unless a second writer is active.
         fs, target = self._fs(f"{self.root}/commits/{state['version']:010d}.json")
         _, draft = self._fs(f"{self.root}/commits/{uuid.uuid4().hex}.draft")
@@ -120,22 +124,21 @@ class Warehouse:
         prefix = f"{_PART}="
         return {n[len(prefix):]: [f"{path}/{n}"] for n in self._names(path) if n.startswith(prefix)}
 
-    def _published(self, table: str, values: Sequence[str]) -> dict[str, list[str]]:
-        parts = self._state()["tables"].get(table, {})
-        return {v: parts[v] for v in values if v in parts}
+    def _change(self, state: dict, table: str, new: dict, schema: StructType, kept: dict | None = None) -> Change:
+        """Adds ``new`` to what its partitions hold in ``state``, or to ``kept`` in its place."""
+        old = _held(state, table, new) if kept is None else kept
+        parts = {value: [*old.get(value, []), *dirs] for value, dirs in new.items()}
+        return Change(table, parts, state["version"], rows=self._open(_all(new), schema))
 
     def replace(self, table: str, df: DataFrame, partition: Column | None = None) -> Change:
         """Full refresh."""
+        state = self._state()
         new = self._write(table, df, partition)
-        return Change(table, new, replaces_table=True, rows=self._open(_all(new), df.schema))
+        return Change(table, new, state["version"], replaces_table=True, rows=self._open(_all(new), df.schema))
 
     def append(self, table: str, df: DataFrame, partition: Column | None = None) -> Change:
-        new = self._write(table, df, partition)
-        return Change(table, self._added(table, new), rows=self._open(_all(new), df.schema))
-
-    def _added(self, table: str, new: dict[str, list[str]]) -> dict[str, list[str]]:
-        old = self._published(table, list(new))
-        return {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}
+        state = self._state()
+        return self._change(state, table, self._write(table, df, partition), df.schema)
 
     def deal_out(
         self, df: DataFrame, routes: dict[str, tuple[Column, Column | None]], refresh: bool = False
@@ -145,6 +148,7 @@ class Warehouse:
         ``routes`` maps a table to its condition and its partition. The files keep all columns of ``df``; a reader of a
         table names the ones it wants.
         """
+        state = self._state()
         target, part = F.lit(None), F.lit(None)
         for table, (condition, partition) in reversed(routes.items()):
             target = F.when(condition, table).otherwise(target)
@@ -154,19 +158,11 @@ class Warehouse:
         dealt.hint("rebalance", _TABLE, _PART).write.partitionBy(_TABLE, _PART).parquet(path)
         changes = []
         for table in routes:
-            new = self._parts(f"{path}/{_TABLE}={table}")
-            parts = new if refresh else self._added(table, new)
-            changes.append(Change(table, parts, replaces_table=refresh, rows=self._open(_all(new), df.schema)))
+            change = self._change(state, table, self._parts(f"{path}/{_TABLE}={table}"), df.schema, {} if refresh else None)
+            change.replaces_table = refresh
+            changes.append(change)
         return changes
 
-    def compact(self, table: str, schema: StructType, partition: Column | None = None, max_dirs: int = 16) -> Change:
-        """Rewrite the partitions that many small writes have spread over more than ``max_dirs`` directories."""
-        parts = self._state()["tables"].get(table, {})
-        scattered = {v: dirs for v, dirs in parts.items() if len(dirs) > max_dirs}
-        if not scattered:
-            return Change(table, {})
-        return Change(table, self._write(table, self._open(_all(scattered), schema), partition))
-
     def insert_if_absent(
         self,
         table: str,
@@ -177,18 +173,16 @@ class Warehouse:
         partition: Column | None = None,
     ) -> Change:
         """Append the rows whose key is new; see ``absent_rows`` for the rules."""
+        state = self._state()
         schema = df.drop("seq").schema
         candidates = self._write(table, admissible_rows(df, keys, order, required).drop("seq"), partition)
-        old = self._published(table, list(candidates))
-        known = {v: dirs for v, dirs in candidates.items() if v in old}
-        new = {v: dirs for v, dirs in candidates.items() if v not in old}
-        if known:
-            arrived = self._open(_all(known), schema)
-            stored = self._open(_all(old), schema).select(*keys)
-            new.update(self._write(table, arrived.join(stored, list(keys), "left_anti").select(*schema.names), partition))
-        return Change(
-            table, {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}, rows=self._open(_all(new), schema)
-        )
+        old = _held(state, table, candidates)
+        new = {value: dirs for value, dirs in candidates.items() if value not in old}
+        if old:
+            arrived = self._open(_all({value: candidates[value] for value in old}), schema)
+            absent = arrived.join(self._open(_all(old), schema).select(*keys), list(keys), "left_anti")
+            new.update(self._write(table, absent.select(*schema.names), partition))
+        return self._change(state, table, new, schema)
 
     def upsert(
         self,
@@ -199,14 +193,27 @@ class Warehouse:
         partition: Column | None = None,
     ) -> Change:
         """Replace on key: an incoming row takes the place of the whole stored row, the last of a batch wins."""
+        state = self._state()
         new = self._write(table, keep_first(df, keys, [_descending(c) for c in order]), partition)
-        old = self._published(table, list(new))
-        arrived = self._open(_all(new), df.schema)
+        kept = _held(state, table, new)
+        arrived, stored = self._open(_all(new), df.schema).select(*keys), self._open(_all(kept), df.schema)
         # Only if a stored key is hit do the partitions concerned have to be rewritten.
-        if old and not self._open(_all(old), df.schema).join(arrived.select(*keys), list(keys), "left_semi").isEmpty():
-            kept = self._open(_all(old), df.schema).join(arrived.select(*keys), list(keys), "left_anti")
-            old = self._write(table, kept.select(*df.columns), partition)
-        return Change(table, {v: [*old.get(v, []), *dirs] for v, dirs in new.items()}, rows=arrived)
+        if kept and not stored.join(arrived, list(keys), "left_semi").isEmpty():
+            kept = self._write(table, stored.join(arrived, list(keys), "left_anti").select(*df.columns), partition)
+        return self._change(state, table, new, df.schema, kept)
+
+    def compact(self, table: str, schema: StructType, partition: Column | None = None, max_dirs: int = 16) -> Change:
+        """Rewrite the partitions that many small writes have spread over more than ``max_dirs`` directories."""
+        state = self._state()
+        scattered = {value: dirs for value, dirs in state["tables"].get(table, {}).items() if len(dirs) > max_dirs}
+        new = self._write(table, self._open(_all(scattered), schema), partition) if scattered else {}
+        return self._change(state, table, new, schema, {})
+
+
+def _held(state: dict, table: str, values: Sequence[str]) -> dict[str, list[str]]:
+    """Directories of the named partitions of a table, as far as it has them."""
+    parts = state["tables"].get(table, {})
+    return {value: parts[value] for value in values if value in parts}
 
 
 def _all(parts: dict[str, list[str]]) -> list[str]:

@@ -84,6 +84,16 @@ def test_rows_are_dealt_out_to_the_first_table_that_takes_them(spark, warehouse)
     assert stored(warehouse) == [] and warehouse.read("u", df.schema).count() == 1
 
 
+def test_a_change_built_on_an_older_version_is_refused(spark, warehouse):
+    one, two = (insert(warehouse, frame(spark, (k, "d1", 1.0, 1))) for k in "ab")
+    with pytest.raises(RuntimeError, match="has changed"):
+        warehouse.commit(one, two)
+    warehouse.commit(one)
+    with pytest.raises(RuntimeError, match="has changed"):
+        warehouse.commit(two)
+    assert stored(warehouse) == [("a", "d1", 1.0)]
+
+
 def test_compaction_changes_directories_not_rows(spark, warehouse):
     df = frame(spark, ("a", "d1", 1.0, 1), ("b", "d2", 2.0, 1)).drop("seq")
     for _ in range(3):
