@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.functions import percent, run_status
+from millrace.functions import percent, real_number, run_status
 from millrace.operators.rows import compute_once, keep_latest
 from millrace.session import write_once
 from millrace.sources.warehouse import Change, Warehouse
@@ -50,7 +50,7 @@ def match_requests(landed: DataFrame, requested: DataFrame) -> DataFrame:
 def _number(field: str) -> Column:
     text = F.try_element_at("_w", F.lit(field))
     # The JSON reader hands over a bare NaN or Infinity as quoted text.
-    return F.when(text.startswith('"'), F.btrim(text, F.lit('"'))).otherwise(text).try_cast("double")
+    return real_number(F.when(text.startswith('"'), F.btrim(text, F.lit('"'))).otherwise(text))
 
 
 def parse_readings(landed: DataFrame) -> DataFrame:

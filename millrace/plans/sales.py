@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions import date_key, default_if_blank, parse_mixed_date, ratio, strip_all, whole_number
+from millrace.functions import date_key, default_if_blank, parse_mixed_date, ratio, real_number, strip_all, whole_number
 from millrace.operators.keys import dense_ids, lookup_key
 from millrace.operators.quality import Check, enforce, gate_report, not_positive
 from millrace.operators.rows import keep_first, top_k
@@ -49,7 +49,7 @@ def first_orders(raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> Data
 def typed(raw: DataFrame) -> DataFrame:
     """Dates, defaults and numbers. Values that cannot be converted become null for the gate to find."""
     quantity = whole_number(F.col("quantity"), default="1")
-    price = F.col("unit_price").try_cast("double")
+    price = real_number(F.col("unit_price"))
     return raw.withColumns(
         {
             "order_id": whole_number(F.col("order_id"), type_name="bigint"),

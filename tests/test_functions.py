@@ -68,6 +68,15 @@ def test_quantity_defaults_to_one(spark, text, expected):
     assert one(spark, text, "string", lambda c: fn.whole_number(c, "1")) == expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [(" 80.5\t", 80.5), ("1e3", 1000.0), ("-inf", -math.inf), ("5d", None), ("5.f", None), ("0x1p3", None), ("", None),
+     ("1,5", None), (None, None)],
+)
+def test_real_number(spark, text, expected):
+    assert one(spark, text, "string", fn.real_number) == expected
+
+
 def test_cents(spark):
     assert one(spark, 49900, "bigint", fn.cents_to_dollars) == 499.0
     assert one(spark, 12345, "bigint", lambda c: fn.cents_to_dollars(c, 1)) == 123.5
