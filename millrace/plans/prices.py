@@ -46,7 +46,7 @@ STATE = state_schema(schemas.RAW_PRICES[TIME].dataType, schemas.RAW_PRICES[KEY].
 
 def day_of(col: str = TIME) -> Column:
     """Partition of the price tables: the day of the timestamp, which is part of the key."""
-    return F.date_format(col, "yyyy-MM-dd")
+    return F.to_date(col).cast("string")
 
 
 # Metrics ---------------------------------------------------------------------------------------------------------

@@ -15,14 +15,15 @@ from millrace.sources.warehouse import Change, Warehouse
 # Month names of the log format, four characters apart.
 _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 
-# A run of anything but white space. Printable ASCII has a branch of its own: testing a character against the full set
-# is slow. Nothing is given back, since a space must follow.
-_WORD = f"(?:[!-~]++|[^{WHITESPACE}])++"
+# White space and runs of anything else. Testing a character against the full set is slow, so the usual characters, a
+# space and printable ASCII, are told apart before. Nothing is given back, since a space must follow a run.
+_SPACE = f"(?: |(?![!-~])[{WHITESPACE}])"
+_WORD = f"(?:[!-~]++|(?! )[^{WHITESPACE}])++"
 # Anchored at the start only: whatever follows the size (referrer, agent) is free text.
 _COMBINED = (
-    rf"^[{WHITESPACE}]*({_WORD}) {_WORD} {_WORD} "
+    rf"^{_SPACE}*+({_WORD}) {_WORD} {_WORD} "
     r"\[(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})"
-    rf"[{WHITESPACE}]+(Z|[+-]\d{{2}}:?[0-5]\d)\] "
+    rf"{_SPACE}++(Z|[+-]\d{{2}}:?[0-5]\d)\] "
     rf'"([A-Z]+) ({_WORD}) HTTP/[\d.]+" (\d{{3}}) (\d+|-)'
 )
 # The captured parts, none of which can contain a space, in the order the rewrite below puts them.
@@ -69,20 +70,27 @@ def _events(lines: DataFrame, part: dict[str, Column]) -> DataFrame:
     complete = F.lit(True)
     for name in ("ip", "method", "path", "month", "offset"):
         complete = complete & part[name].isNotNull()
-    status = part["status"].try_cast("int")
-    events = lines.select(
-        "*",
-        part["ip"].alias("ip_address"),
+    times = F.struct(
         F.when(complete, F.concat(local, offset)).try_cast("timestamp").alias("event_time"),
         F.when(complete, local).try_cast("timestamp_ntz").alias("event_time_local"),
         offset.alias("utc_offset"),
-        part["method"].alias("http_method"),
-        part["path"].alias("path"),
-        status.alias("status_code"),
-        F.nullif(part["size"], F.lit("-")).try_cast("bigint").alias("response_size"),
-        F.when(status.isNotNull(), status_class(status)).alias("status_class"),
     )
-    return events.withColumn("parsed", F.col("event_time").isNotNull()).drop("_t")
+    status = part["status"].try_cast("int")
+    return (
+        compute_once(lines, "_e", times)
+        .select(
+            "*",
+            part["ip"].alias("ip_address"),
+            "_e.*",
+            part["method"].alias("http_method"),
+            part["path"].alias("path"),
+            status.alias("status_code"),
+            F.nullif(part["size"], F.lit("-")).try_cast("bigint").alias("response_size"),
+            F.when(status.isNotNull(), status_class(status)).alias("status_class"),
+            F.col("_e.event_time").isNotNull().alias("parsed"),
+        )
+        .drop("_t", "_e")
+    )
 
 
 def events(parsed: DataFrame) -> DataFrame:
@@ -129,7 +137,7 @@ def ingest(
         F.lit(run_id).alias("run_id"),
         F.when(~F.col("parsed"), F.col("raw_line")).alias("raw_line"),
     )
-    day = F.date_format("event_time_local", "yyyy-MM-dd")
+    day = F.to_date("event_time_local").cast("string")
     routes = {"fact_log_event": (F.col("parsed"), day), "parse_error_log": (~F.col("parsed"), None)}
     good, bad = warehouse.deal_out(stored, routes, refresh)
 

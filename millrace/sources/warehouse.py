@@ -116,7 +116,8 @@ class Warehouse:
         if partition is None:
             df.write.parquet(path)
             return {_WHOLE: [path]}
-        # The hint lets AQE gather small partitions into few files and split a large one over many tasks.
+        # Keyed writes come out of a shuffle by key with every partition in every task. The hint lets AQE gather small
+        # partitions into few files and split a large one over many tasks.
         df.withColumn(_PART, partition).hint("rebalance", _PART).write.partitionBy(_PART).parquet(path)
         return self._parts(path)
 
@@ -146,7 +147,8 @@ class Warehouse:
         """Write ``df`` once and give each row to the first table whose condition it meets, as an append or a refresh.
 
         ``routes`` maps a table to its condition and its partition. The files keep all columns of ``df``; a reader of a
-        table names the ones it wants.
+        table names the ones it wants. Rows are written by the task that has them, without a shuffle: this is for input
+        straight from files, which cover few partitions each.
         """
         state = self._state()
         target, part = F.lit(None), F.lit(None)
@@ -155,7 +157,7 @@ class Warehouse:
             part = F.when(condition, F.lit(_WHOLE) if partition is None else partition).otherwise(part)
         path = f"{self._job}/{uuid.uuid4().hex}"
         dealt = df.withColumns({_TABLE: target, _PART: part}).filter(F.col(_TABLE).isNotNull())
-        dealt.hint("rebalance", _TABLE, _PART).write.partitionBy(_TABLE, _PART).parquet(path)
+        dealt.write.partitionBy(_TABLE, _PART).parquet(path)
         changes = []
         for table in routes:
             change = self._change(state, table, self._parts(f"{path}/{_TABLE}={table}"), df.schema, {} if refresh else None)

@@ -37,7 +37,7 @@ def upsert_replace(spark, sf):
 
 
 def _day():
-    return F.date_format("fetched_at_utc", "yyyy-MM-dd")
+    return F.to_date("fetched_at_utc").cast("string")
 
 
 def stored_insert(spark, sf):
