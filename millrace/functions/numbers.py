@@ -16,8 +16,7 @@ def whole_number(col: Column, default: str | None = None, type_name: str = "int"
 
 def real_number(col: Column) -> Column:
     """Text to double; what is no number becomes null. A bare cast would also take ``5d``, ``5f`` and hexadecimals."""
-    text = strip_all(col)
-    return F.when(~text.rlike(r"[0-9.][dDfF]$|[xX]"), text).try_cast("double")
+    return F.when(~col.rlike(r"[0-9.][dDfF]\s*$|[xX]"), col).try_cast("double")
 
 
 def cents_to_dollars(col: Column, precision: int = 2) -> Column:

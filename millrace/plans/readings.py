@@ -48,7 +48,7 @@ def match_requests(landed: DataFrame, requested: DataFrame) -> DataFrame:
 
 
 def _number(field: str) -> Column:
-    text = F.try_element_at("_w", F.lit(field))
+    text = F.col(f"_x.{field}")
     # The JSON reader hands over a bare NaN or Infinity as quoted text.
     return real_number(F.when(text.startswith('"'), F.btrim(text, F.lit('"'))).otherwise(text))
 
@@ -61,12 +61,15 @@ def parse_readings(landed: DataFrame) -> DataFrame:
         _number("windspeed").alias("windspeed_kmh"),
         _number("weathercode").alias("_code"),
     )
-    parsed = landed.transform(compute_once, "_w", payload["current_weather"]).transform(compute_once, "_n", numbers)
+    texts = F.struct(*[F.try_element_at("_w", F.lit(f)).alias(f) for f in REQUIRED_FIELDS])
+    parsed = landed
+    for name, value in (("_w", payload["current_weather"]), ("_x", texts), ("_n", numbers)):
+        parsed = compute_once(parsed, name, value)
     return (
-        parsed.select("*", "_n.*", F.try_element_at("_w", F.lit("time")).alias("observed_at"))
+        parsed.select("*", "_n.*", F.col("_x.time").alias("observed_at"))
         .withColumn("reject_reason", _reject_reason())
         .withColumn("weather_code", F.when(_whole_code(), F.col("_code").cast("int")))
-        .drop("_w", "_n", "_code")
+        .drop("_w", "_x", "_n", "_code")
     )
 
 

@@ -49,7 +49,7 @@ def first_orders(raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> Data
 def typed(raw: DataFrame) -> DataFrame:
     """Dates, defaults and numbers. Values that cannot be converted become null for the gate to find."""
     quantity = whole_number(F.col("quantity"), default="1")
-    price = real_number(F.col("unit_price"))
+    price = real_number(strip_all(F.col("unit_price")))
     return raw.withColumns(
         {
             "order_id": whole_number(F.col("order_id"), type_name="bigint"),
