@@ -23,7 +23,7 @@ SUBSCRIPTION_STATUSES = ["active", "canceled", "trial"]
 PAYMENT_STATUSES = ["success", "failed", "refunded"]
 
 
-# Staging: rename and type, one to one with the source. Ids are 64 bits wide, so they last. ---------------------------------------------------------------
+# Staging: rename and type, one to one with the source. Ids are 64 bits wide, so they last. ----------------------------
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def _merged_spans(spans: DataFrame) -> DataFrame:
     return numbered.groupBy(*key, "_stretch").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-# Metrics over the marts ------------------------------------------------------------------------------------------------
+# Metrics over the marts -----------------------------------------------------------------------------------------------
 
 
 def mrr_delta(mrr: DataFrame) -> DataFrame:
@@ -318,7 +318,7 @@ def plan_history(subscriptions: DataFrame) -> DataFrame:
     ).withColumn("is_current", F.col("valid_to").isNull())
 
 
-# Build and test ----------------------------------------------------------------------------------------------------------
+# Build and test -------------------------------------------------------------------------------------------------------
 
 
 def build_models(raw: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -33,6 +34,11 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"millrace-{application_id}-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
@@ -43,8 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="millrace-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    return _own_folder(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
