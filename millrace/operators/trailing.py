@@ -25,7 +25,8 @@ def _halo(hot_rows: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     most, never the rows themselves. The two wanted rows may lie in different, far earlier cells.
     """
     newest = Window.partitionBy(key, "_cell").orderBy(F.col(ts).desc())
-    tails = hot_rows.select(key, ts, value, "_cell").withColumn("_rank", F.row_number().over(newest)).filter("_rank <= 2")
+    ranked = hot_rows.select(key, ts, value, "_cell", F.row_number().over(newest).alias("_rank"))
+    tails = ranked.filter(F.col("_rank") <= 2)
     in_time = Window.partitionBy(key).orderBy(ts)
     before = [
         F.struct(F.lag(ts, n).over(in_time).alias(ts), F.lag(value, n).over(in_time).alias(value)) for n in (1, 2)

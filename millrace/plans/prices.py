@@ -68,7 +68,8 @@ def price_metrics(rows: DataFrame, history: DataFrame | None = None, hot_key_row
 def beyond_mark(raw: DataFrame, state: DataFrame) -> DataFrame:
     """Rows newer than the mark of their key; a key without state starts at the epoch. Late rows never pass."""
     mark = F.coalesce("last_processed_utc", F.lit(EPOCH).cast(raw.schema[TIME].dataType))
-    return raw.join(state.select(KEY, "last_processed_utc"), KEY, "left").filter(F.col(TIME) > mark).select(*raw.columns)
+    marked = raw.join(state.select(KEY, "last_processed_utc"), KEY, "left")
+    return marked.filter(F.col(TIME) > mark).select(*raw.columns)
 
 
 def late_rows(raw: DataFrame, state: DataFrame) -> DataFrame:
@@ -186,7 +187,9 @@ def snapshot_counts(fact: DataFrame) -> DataFrame:
 def overview(fact: DataFrame) -> DataFrame:
     """One row: keys, snapshots, newest refresh."""
     return snapshot_counts(fact).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("snapshots").alias("snapshots"), F.max("last_refresh").alias("last_refresh")
+        F.count(F.lit(1)).alias("keys"),
+        F.sum("snapshots").alias("snapshots"),
+        F.max("last_refresh").alias("last_refresh"),
     )
 
 

@@ -37,7 +37,7 @@ def requested_cities(spark: SparkSession, run_id: str, cities: Sequence[str] | N
 
 
 def match_requests(landed: DataFrame, requested: DataFrame) -> DataFrame:
-    """The payloads a run asked for, and a row without payload for each city that sent none, so that it counts as failed.
+    """The payloads a run asked for, and a row without payload for each city that sent none, which counts as failed.
 
     The landed rows shrink to their distinct keys before they meet the request list; a city sending most of the payloads
     stays where it is.

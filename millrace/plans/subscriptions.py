@@ -163,7 +163,7 @@ def fct_mrr(subscriptions: DataFrame, as_of: date) -> DataFrame:
 
 
 def _spans(subscriptions: DataFrame, first: Column, as_of: date) -> DataFrame:
-    """Subscriptions with the first and last month they count in, ``lo`` and ``hi``; those that never count are left out."""
+    """Subscriptions with the first and last month they count in, ``lo`` and ``hi``, without those that never do."""
     this_month = as_month(F.lit(as_of))
     last = F.least(as_month(F.coalesce("end_date", F.lit(as_of))), this_month)
     months = F.struct(first.alias("lo"), last.alias("hi"))
@@ -231,7 +231,8 @@ def mrr_pivot(mrr: DataFrame, plans: Sequence[str]) -> DataFrame:
 
 def top_plan(mrr: DataFrame) -> DataFrame:
     """The plan with the highest revenue in the newest month; on a tie the first name."""
-    return top_k(mrr.filter(F.col("mrr_usd").isNotNull()), 1, F.desc("month_start"), F.desc("mrr_usd"), F.asc("plan_type"))
+    priced = mrr.filter(F.col("mrr_usd").isNotNull())
+    return top_k(priced, 1, F.desc("month_start"), F.desc("mrr_usd"), F.asc("plan_type"))
 
 
 def customer_kpis(customers: DataFrame) -> DataFrame:

@@ -160,7 +160,8 @@ class Warehouse:
         dealt.write.partitionBy(_TABLE, _PART).parquet(path)
         changes = []
         for table in routes:
-            change = self._change(state, table, self._parts(f"{path}/{_TABLE}={table}"), df.schema, {} if refresh else None)
+            new = self._parts(f"{path}/{_TABLE}={table}")
+            change = self._change(state, table, new, df.schema, {} if refresh else None)
             change.replaces_table = refresh
             changes.append(change)
         return changes
@@ -253,7 +254,8 @@ def absent_rows(
     Rows with an empty required column are skipped without an error.
     """
     stored = target.select(*keys)
-    return admissible_rows(incoming, keys, order, required).join(stored, list(keys), "left_anti").select(*incoming.columns)
+    candidates = admissible_rows(incoming, keys, order, required)
+    return candidates.join(stored, list(keys), "left_anti").select(*incoming.columns)
 
 
 def replace_on_key(
