@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, mixing
+from . import decontaminate, jaccard_join, language_id, line_dedup, mixing
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -21,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _share(rest: int) -> Column:
+    """Rows whose crc32 of the id leaves this rest; rows without an id are in no share."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == rest, F.lit(False))
+
+
+def language_models(docs: DataFrame) -> language_id.Models:
+    """Two of the four shares of ``documents`` are counted, one calibrates, and one is held out."""
+    return language_id.train(docs, _share(0) | _share(1), _share(3))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_models(docs), keep=["doc_id"])
+    return found.select("doc_id", _share(2).alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=True)
+    return left.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = mixing.deal_copies(mixing.identify(table(spark, sf_dir, "documents")))
     each = dealt.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
@@ -46,6 +67,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_source_mix": op3_source_mix,
     "op4_decontaminate": op4_decontaminate,
     "op9_jaccard_join": op9_jaccard_join,

@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, mixing
-from .queries import table
+from . import decontaminate, jaccard_join, language_id, line_dedup, mixing
+from .queries import language_models, table
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.keep_languages(docs, language_models(docs))
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +29,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", known_languages),
+    ("line dedup", repeated_lines),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_passages),
     ("mixing sources", source_mix),
