@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ..session import write_once
 from .batches import SPACED, Texts, Words, mix, range_hashes, slices, window_hashes
@@ -75,8 +75,8 @@ _SETS = StructType(
         StructField("n", LongType()),
         StructField("k", LongType()),
         StructField("block", IntegerType()),
-        StructField("slots", IntegerType()),
-        StructField("uses", LongType()),
+        StructField("slots", BinaryType()),
+        StructField("uses", BinaryType()),
     ]
 )
 
@@ -98,23 +98,41 @@ def _sets(docs: DataFrame, size: int, slots: int) -> DataFrame:
                 if held > 2_000_000:
                     uses += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=slots)
                     waiting, held = [], 0
-                none = pa.nulls(len(n), pa.int32())
+                none = [pa.nulls(len(n), kind) for kind in (pa.int32(), pa.binary(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [piece["doc_id"], piece["text_key"], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), none, none, pa.nulls(len(n), pa.int64())],
+                    [piece["doc_id"], piece["text_key"], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), *none],
                     names=_SETS.fieldNames(),
                 )
         if waiting:
             uses += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=slots)
-        used = np.flatnonzero(uses)
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(used // _BLOCK_SLOTS, pa.int32()), pa.array(used, pa.int32()), pa.array(uses[used])],
-            names=_SETS.fieldNames(),
-        )
+        blocks = []
+        for block, counts in enumerate(uses.reshape(-1, min(slots, _BLOCK_SLOTS))):
+            if len(used := np.flatnonzero(counts)):
+                blocks.append((block, used.astype(np.int32).tobytes(), counts[used].tobytes()))
+        none = pa.nulls(len(blocks), pa.int64())
+        columns = [pa.array([b[i] for b in blocks], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([none, none, none, none, *columns], names=_SETS.fieldNames())
 
     return docs.mapInArrow(run, _SETS)
 
 
+def _uses(found: DataFrame, slots: int) -> np.ndarray:
+    """How many shingles fall into each slot. Each block of slots is added up in a task of its own."""
+    width = min(slots, _BLOCK_SLOTS)
+
+    def add(parts: pa.Table) -> pa.Table:
+        total = np.zeros(width, dtype=np.int64)
+        for used, counts in zip(parts["slots"], parts["uses"], strict=True):
+            total[np.frombuffer(used.as_py(), dtype=np.int32)] += np.frombuffer(counts.as_py(), dtype=np.int64)
+        return pa.table({"block": parts["block"][:1], "uses": pa.array([total.tobytes()], pa.binary())})
+
+    blocks = found.filter("block IS NOT NULL").select("block", "slots", "uses").groupBy("block")
+    uses = np.zeros(slots, dtype=np.int64)
+    for row in blocks.applyInArrow(add, "block int, uses binary").collect():
+        uses[row.block * width : (row.block + 1) * width] = np.frombuffer(row.uses, dtype=np.int64)
+    return uses
+
+
 def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -331,10 +349,8 @@ def jaccard_classes(
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = write_once(_sets(docs.withColumn("text_key", F.xxhash64("text")), size, slots), "join-sets")
-    sets = found.filter("slots IS NULL").select("doc_id", "text_key", "n", "k")
-    totals = found.filter("slots IS NOT NULL").groupBy("slots").agg(F.sum("uses").alias("uses")).toPandas()
-    uses = np.zeros(slots, dtype=np.int64)
-    uses[totals["slots"].to_numpy(dtype=np.int64)] = totals["uses"].to_numpy(dtype=np.int64)
+    sets = found.filter("block IS NULL").select("doc_id", "text_key", "n", "k")
+    uses = _uses(found, slots)
 
     entries = _entries(docs, size, percent, uses, list_limit)
     members = write_once(_members(entries, percent), "join-members")
