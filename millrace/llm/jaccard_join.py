@@ -120,15 +120,25 @@ def _uses(found: DataFrame, slots: int) -> np.ndarray:
     """How many shingles fall into each slot. Each block of slots is added up in a task of its own."""
     width = min(slots, _BLOCK_SLOTS)
 
-    def add(parts: pa.Table) -> pa.Table:
-        total = np.zeros(width, dtype=np.int64)
-        for used, counts in zip(parts["slots"], parts["uses"], strict=True):
-            total[np.frombuffer(used.as_py(), dtype=np.int32)] += np.frombuffer(counts.as_py(), dtype=np.int64)
-        return pa.table({"block": parts["block"][:1], "uses": pa.array([total.tobytes()], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.zeros(width, dtype=np.int64)
+
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["block", "uses"])
 
-    blocks = found.filter("block IS NOT NULL").select("block", "slots", "uses").groupBy("block")
+        for batch in batches:
+            for now, used, counts in zip(batch["block"].to_pylist(), batch["slots"], batch["uses"], strict=True):
+                if now != block:
+                    if block is not None:
+                        yield sent()
+                    block, total = now, np.zeros(width, dtype=np.int64)
+                total[np.frombuffer(used.as_py(), dtype=np.int32)] += np.frombuffer(counts.as_py(), dtype=np.int64)
+        if block is not None:
+            yield sent()
+
+    blocks = found.filter("block IS NOT NULL").select("block", "slots", "uses")
     uses = np.zeros(slots, dtype=np.int64)
-    for row in blocks.applyInArrow(add, "block int, uses binary").collect():
+    for row in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, uses binary").collect():
         uses[row.block * width : (row.block + 1) * width] = np.frombuffer(row.uses, dtype=np.int64)
     return uses
 

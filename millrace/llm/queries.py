@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, mixing
+from ..session import write_once
+from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, token_counts
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -61,17 +62,47 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+
+
+def piece_model() -> str:
+    """Where this machine has the public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), piece_model, keep=["doc_id"])
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = write_once(quality_classifier.with_statistics(docs, keep=["doc_id"]), "statistics")
+    share = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    marked = labels.filter(F.col("quality").isin(0, 1) & (share != 1))
+    marked = rows.join(marked.select("doc_id", F.col("quality").cast("long").alias("label")), "doc_id")
+    model = quality_classifier.train(marked, F.xxhash64("doc_id"))
+    found = quality_classifier.score(rows, model, ["doc_id"])
+    return found.select("doc_id", F.coalesce(share == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_source_mix": op3_source_mix,
     "op4_decontaminate": op4_decontaminate,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
