@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_once
-from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, token_counts
+from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -62,11 +62,21 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_owned")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    return found.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict", "mined")
+
+
 def piece_model() -> str:
     """Where this machine has the public vocabulary."""
     import public_tokenizers
@@ -99,7 +109,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_source_mix": op3_source_mix,
     "op4_decontaminate": op4_decontaminate,
+    "op5_secret_scan": op5_secret_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op7_url_filter": op7_url_filter,
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
