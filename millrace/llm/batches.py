@@ -28,9 +28,10 @@ def byte_class(separators: bytes) -> np.ndarray:
     return table
 
 
-#: ``[^\x20\x09-\x0D]+`` and ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``; bytes from 0x80 on only occur inside other code points.
+#: ``[^\x20\x09-\x0D]+``, and ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of a text in which A-Z are lower-cased, so that they count
+#: as word bytes before that too. Bytes from 0x80 on only occur inside other code points.
 SPACED = byte_class(bytes([0x20, *range(0x09, 0x0E)]))
-ALPHANUMERIC = byte_class(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
+ALPHANUMERIC = byte_class(bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 

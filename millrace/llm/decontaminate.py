@@ -6,7 +6,7 @@ item that ends at the current word. Wherever that reaches the window (or a whole
 of the match are hit. Hit spans go from the text; a document of which more than a set share is hit goes as a whole.
 
 Defined cases: null and empty texts have no words and are never hit; items that are null or without words match nothing;
-repeated items count once per ``item_id``; repeated rows are judged one by one; with an empty benchmark nothing is hit.
+repeated items count once per ``item_id``, and items without one hit words but are not named; repeated rows are judged one by one; with an empty benchmark nothing is hit.
 Items are split by a hash of their id into shards of bounded size, and an automaton is built for each shard, so that the
 benchmark may grow: each shard costs one more pass over the documents.
 """
@@ -53,7 +53,7 @@ class Automaton:
         sequences = defaultdict(set)
         for i, (item, _) in enumerate(items):
             if sequence := tuple(numbers[words.first[i] : words.first[i + 1]]):
-                sequences[sequence].add(item)
+                sequences[sequence] |= {item} - {None}
         for sequence in sequences:
             last = 0
             for word in sequence:

@@ -151,6 +151,11 @@ _ENTRIES = StructType([StructField(c, LongType()) for c in ("token", "place", "k
 _PLACE = 32
 
 
+def _heavy(uses: np.ndarray, list_limit: int) -> np.ndarray:
+    """Slots whose shingles may have lists too long for one task."""
+    return uses > max(list_limit, 8 * uses.mean())
+
+
 def _entries(docs: DataFrame, size: int, percent: int, uses: np.ndarray, list_limit: int) -> DataFrame:
     """The index: token, set size and position (``place``), set hash. A set that a task meets again is left out.
 
@@ -158,7 +163,7 @@ def _entries(docs: DataFrame, size: int, percent: int, uses: np.ndarray, list_li
     """
     shift = np.uint64(64 - (len(uses) - 1).bit_length())
     magnitude = np.minimum(127, 4 * np.log2(np.maximum(uses, 1))).astype(np.uint64) << np.uint64(56)
-    is_heavy = uses > max(list_limit, 8 * uses.mean())
+    is_heavy = _heavy(uses, list_limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -188,7 +193,7 @@ def _entries(docs: DataFrame, size: int, percent: int, uses: np.ndarray, list_li
 _MEMBERS = StructType([StructField(c, LongType()) for c in ("k", "n", "pivot")])
 
 
-def _members(entries: DataFrame, percent: int) -> DataFrame:
+def _members(entries: DataFrame, percent: int, any_heavy: bool) -> DataFrame:
     """For each block of more than one set: its sets with its pivot, the one with the smallest hash, itself included."""
 
     def blocks(token, place, k):
@@ -225,6 +230,8 @@ def _members(entries: DataFrame, percent: int) -> DataFrame:
 
     light = entries.filter("heavy = 0").select("token", "place", "k")
     light = light.repartition("token").sortWithinPartitions("token", "place", "k").mapInArrow(run, _MEMBERS)
+    if not any_heavy:
+        return light.distinct()
     heavy = entries.filter("heavy = 1").select("token", "k", F.shiftright("place", _PLACE).alias("n")).distinct()
     pivots = heavy.groupBy("token").agg(F.min("k").alias("pivot"), F.max("k").alias("_last")).filter("pivot <> _last")
     heavy = heavy.join(pivots, "token").select("k", "n", "pivot")
@@ -363,7 +370,7 @@ def jaccard_classes(
     uses = _uses(found, slots)
 
     entries = _entries(docs, size, percent, uses, list_limit)
-    members = write_once(_members(entries, percent), "join-members")
+    members = write_once(_members(entries, percent, bool(_heavy(uses, list_limit).any())), "join-members")
     owners = sets.filter("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("owner"))
     links = _links(docs, owners.select("k", "owner"), members, size, percent, family_shingles)
     labels = components(links)

@@ -78,8 +78,9 @@ def source_targets(
         F.sum("_weight").over(everything) - F.coalesce(F.sum("_weight").over(before), none)
     )
     leveled = ranked.withColumn("_level", level)
-    fits = F.when(F.col("_level") <= F.col("_cap") / F.col("_weight"), F.col("_level"))
-    common = F.coalesce(F.min_by(fits, F.when(fits.isNotNull(), F.col("_cap") / F.col("_weight"))).over(everything), F.lit(float("inf")))
+    ratio = F.col("_cap") / F.col("_weight")
+    fitting = F.when(F.col("_level") <= ratio, F.struct(ratio.alias("ratio"), "_rank", "_level"))
+    common = F.coalesce(F.min(fitting).over(everything)["_level"], F.lit(float("inf")))
     target = F.least(F.col("_cap"), F.when(F.col("_cap") > 0, common * F.col("_weight")).otherwise(0.0))
     return leveled.withColumn("target", target).select("source", "source_size", "target")
 
