@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_once
-from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
+from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracles, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -117,4 +117,8 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_decontaminate": oracles.OP4,
+    "op5_secret_scan": oracles.OP5,
+    "op9_jaccard_join": oracles.OP9,
+}
