@@ -4,78 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 from pyspark.sql.window import Window
 
-# A key with more rows than this is cut into one-minute cells.
-HOT_KEY_ROWS = 5_000_000
+from millrace.session import write_once
 
 
-def _minute(df: DataFrame, ts: str) -> Column:
-    """The minute a row falls in, as a value that never merges two separate minutes whatever the session time zone."""
-    if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        return F.struct(F.to_date(ts).alias("d"), F.hour(ts).alias("h"), F.minute(ts).alias("m"))
-    return F.floor(F.unix_seconds(ts) / 60)
+def _halo(rows: DataFrame, key: str, order: list[Column], columns: list[str]) -> DataFrame:
+    """For every range of a key, the two rows of that key just before the range begins.
 
-
-def _halo(hot_rows: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """For every cell of a hot key, the two rows of that key just before the cell begins.
-
-    Each cell first shrinks to its last two rows, so the per-key pass below reads two rows per minute of history at
-    most, never the rows themselves. The two wanted rows may lie in different, far earlier cells.
+    Each range first shrinks to its last two rows, so the per-key pass below reads two rows per range that the key
+    touches, never the rows themselves. The two wanted rows may lie in different, far earlier ranges.
     """
-    newest = Window.partitionBy(key, "_cell").orderBy(F.col(ts).desc())
-    ranked = hot_rows.select(key, ts, value, "_cell", F.row_number().over(newest).alias("_rank"))
-    tails = ranked.filter(F.col("_rank") <= 2)
-    in_time = Window.partitionBy(key).orderBy(ts)
-    before = [
-        F.struct(F.lag(ts, n).over(in_time).alias(ts), F.lag(value, n).over(in_time).alias(value)) for n in (1, 2)
-    ]
-    starts = tails.select(key, "_cell", F.lag("_cell").over(in_time).alias("_before"), F.array(*before).alias("_halo"))
+    newest = Window.partitionBy(key, "_range").orderBy(*[c.desc_nulls_last() for c in order])
+    tails = rows.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= 2)
+    in_time = Window.partitionBy(key).orderBy("_range", F.col("_rank").desc())
+    row = F.struct(*columns)
+    before = F.array(*[F.lag(row, n).over(in_time) for n in (1, 2)])
+    starts = tails.select(key, "_range", F.lag("_range").over(in_time).alias("_before"), before.alias("_halo"))
     return (
-        starts.filter(F.col("_before").isNotNull() & (F.col("_before") != F.col("_cell")))
-        .select(key, "_cell", F.explode("_halo").alias("_row"))
-        .select(key, "_cell", f"_row.{ts}", f"_row.{value}")
-        .filter(F.col(ts).isNotNull())
+        starts.filter(F.col("_before") != F.col("_range"))
+        .select(key, "_range", F.explode("_halo").alias("_row"))
+        .filter(F.col("_row").isNotNull())
+        .select(key, "_range", "_row.*")
     )
 
 
 def trailing_metrics(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    value: str,
-    history: DataFrame | None = None,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    df: DataFrame, key: str, ts: str, value: str, history: DataFrame | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Add ``moving_avg`` (this row and the two before it) and ``previous`` (the value of the row before).
 
-    ``(key, ts)`` must be unique. ``history`` holds earlier rows of a key, which feed the metrics but are not returned.
+    Rows of a key are ordered by ``ts``, a null one first, and then by ``value``; a null key is a key like any other.
+    ``history`` holds earlier rows of a key, which feed the metrics but are not returned.
 
-    A window sorts each key in one task. Keys above ``hot_key_rows`` are therefore cut into minutes, and each minute
-    receives its two preceding rows as a halo; two rows are all the frame looks back, so the result is the same. With
-    microsecond time and unique ``(key, ts)`` a minute can hold 60 million rows at the very most.
+    A window sorts each key in one task. Here no key has to fit into one: all rows are dealt out by ranges of key and
+    time and stored once, whoever their key is, and every range receives the two rows of its key before it as a halo,
+    which is all the frame looks back. Where the ranges are cut, and how many there are (``ranges``, by default what the
+    session's shuffles use), cannot change the result. Rows that agree in key, time and value are interchangeable.
     """
     rows = df.withColumn("_carried", F.lit(False))
     if history is not None:
         earlier = history.select(key, ts, value).withColumn("_carried", F.lit(True))
         rows = rows.unionByName(earlier, allowMissingColumns=True)
+    bounds = [F.col(key).asc_nulls_first(), F.col(ts).asc_nulls_first(), F.col(value).asc_nulls_first()]
+    cut = rows.repartitionByRange(*([ranges] if ranges else []), *bounds)
+    rows = write_once(cut.withColumn("_range", F.spark_partition_id()), "trailing-ranges")
 
-    # At most (all rows / hot_key_rows) keys can pass the filter: that bounds the broadcast.
-    hot_keys = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_key_rows)
-        .select(F.col(key), F.lit(True).alias("_hot"))
-    )
-    rows = rows.join(F.broadcast(hot_keys), key, "left").withColumn("_cell", F.when(F.col("_hot"), _minute(df, ts)))
-    halo = _halo(rows.filter("_hot"), key, ts, value).withColumn("_carried", F.lit(True))
-    rows = rows.drop("_hot").unionByName(halo, allowMissingColumns=True)
-
-    in_time = Window.partitionBy(key, "_cell").orderBy(ts)
+    halo = _halo(rows, key, [F.col(ts), F.col(value)], [ts, value]).withColumn("_carried", F.lit(True))
+    in_time = Window.partitionBy(key, "_range").orderBy(F.col(ts).asc_nulls_first(), F.col(value).asc_nulls_first())
     return (
-        rows.withColumn("moving_avg", F.avg(value).over(in_time.rowsBetween(-2, 0)))
+        rows.unionByName(halo, allowMissingColumns=True)
+        .withColumn("moving_avg", F.avg(value).over(in_time.rowsBetween(-2, 0)))
         .withColumn("previous", F.lag(value).over(in_time))
         .filter(~F.col("_carried"))
-        .drop("_carried", "_cell")
+        .drop("_carried", "_range")
     )

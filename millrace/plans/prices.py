@@ -17,7 +17,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 from millrace import schemas
 from millrace.functions import change_direction, percent_change
 from millrace.operators.rows import keep_latest
-from millrace.operators.trailing import HOT_KEY_ROWS, trailing_metrics
+from millrace.operators.trailing import trailing_metrics
 from millrace.sources.files import restrict_to_keys
 from millrace.sources.warehouse import Change, Warehouse
 
@@ -52,10 +52,10 @@ def day_of(col: str = TIME) -> Column:
 # Metrics ---------------------------------------------------------------------------------------------------------
 
 
-def price_metrics(rows: DataFrame, history: DataFrame | None = None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def price_metrics(rows: DataFrame, history: DataFrame | None = None, ranges: int | None = None) -> DataFrame:
     """Add the trailing three-row mean and the change against the row before, per key in time order."""
     return (
-        trailing_metrics(rows, KEY, TIME, PRICE, history, hot_key_rows)
+        trailing_metrics(rows, KEY, TIME, PRICE, history, ranges)
         .withColumn("pct_change_from_prev", percent_change(F.col(PRICE), F.col("previous")))
         .withColumnRenamed("moving_avg", "moving_avg_3")
         .drop("previous")
@@ -113,9 +113,9 @@ def state_after(rows: DataFrame, state: DataFrame | None = None) -> DataFrame:
     )
 
 
-def next_increment(raw: DataFrame, state: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def next_increment(raw: DataFrame, state: DataFrame, ranges: int | None = None) -> DataFrame:
     """Fact rows for everything beyond the marks; the metrics continue across runs."""
-    return price_metrics(beyond_mark(raw, state), carried_rows(state), hot_key_rows)
+    return price_metrics(beyond_mark(raw, state), carried_rows(state), ranges)
 
 
 def load_snapshots(warehouse: Warehouse, snapshots: DataFrame) -> Change:

@@ -53,53 +53,51 @@ def test_frequency_orders_ties_by_value(spark):
 
 
 def by_hand(points):
-    """Expected (key, ts) -> (moving average, previous), from sorted (key, ts, value) points."""
-    expected, seen = {}, {}
-    for key, ts, value in sorted(points):
+    """Expected multiset of (key, ts, value, moving average, previous) from (key, ts, value) points."""
+    expected, seen = [], {}
+    for key, ts, value in sorted(points, key=lambda p: (p[0] is not None, p[0] or "", p[1] is not None, p[1] or START, p[2])):
         past = seen.setdefault(key, [])
         window = [*past[-2:], value]
-        expected[key, ts] = (sum(window) / len(window), past[-1] if past else None)
+        expected.append((key, ts, value, round(sum(window) / len(window), 9), past[-1] if past else None))
         past.append(value)
-    return expected
+    return sorted(expected, key=repr)
 
 
-def assert_trailing(df, points, history=None, **kwargs):
-    got = trailing_metrics(df, "k", "ts", "v", history, **kwargs).collect()
-    expected = by_hand(points)
-    for r in got:
-        average, previous = expected[r.k, r.ts]
-        assert r.moving_avg == pytest.approx(average) and r.previous == previous, r
-    return len(got)
+def trailing(spark, points, kind="timestamp_ntz", history=None, **kwargs):
+    frames = [
+        spark.createDataFrame(rows_, "k string, ts timestamp_ntz, v double").withColumn("ts", F.col("ts").cast(kind))
+        for rows_ in (points, history or [])
+    ]
+    got = trailing_metrics(frames[0], "k", "ts", "v", frames[1] if history else None, **kwargs)
+    return sorted(((r.k, r.ts, r.v, round(r.moving_avg, 9), r.previous) for r in got.collect()), key=repr)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    points=st.dictionaries(
-        st.tuples(st.sampled_from("ab"), st.integers(0, 400)), st.integers(0, 50), min_size=1, max_size=40
+    points=st.lists(
+        st.tuples(st.sampled_from(["a", "a", "a", "b", None]), st.none() | st.integers(0, 40), st.integers(0, 50)), min_size=1, max_size=40
     ),
-    hot=st.sampled_from([0, 3, 10**9]),
+    ranges=st.sampled_from([None, 1, 3, 40]),
     kind=st.sampled_from(["timestamp", "timestamp_ntz"]),
 )
-def test_cutting_hot_keys_changes_nothing(spark, points, hot, kind):
-    points = [(k, START + timedelta(seconds=s), float(v)) for (k, s), v in points.items()]
-    df = spark.createDataFrame(points, "k string, ts timestamp_ntz, v double").withColumn("ts", F.col("ts").cast(kind))
-    assert assert_trailing(df, points, hot_key_rows=hot) == len(points)
+def test_cuts_null_times_null_keys_and_bursts_change_nothing(spark, points, ranges, kind):
+    points = [(k, None if s is None else START + timedelta(seconds=s), float(v)) for k, s, v in points]
+    assert trailing(spark, points, kind, ranges=ranges) == by_hand(points)
 
 
-@pytest.mark.parametrize("hot", [0, 10**9])
-def test_history_feeds_the_metrics_but_is_not_returned(spark, hot):
-    points = [("a", START + timedelta(minutes=m), float(m)) for m in range(6)]
-    df = spark.createDataFrame(points, "k string, ts timestamp_ntz, v double")
-    cut = START + timedelta(minutes=4)
-    new, old = df.filter(F.col("ts") >= cut), df.filter(F.col("ts") < cut)
-    assert assert_trailing(new, points, old, hot_key_rows=hot) == 2
+@pytest.mark.parametrize("ranges", [None, 50])
+def test_one_key_with_all_rows_in_one_minute_uses_many_tasks(spark, ranges):
+    points = [("a", START + timedelta(milliseconds=n), float(n % 97)) for n in range(2000)]
+    assert trailing(spark, points, ranges=ranges) == by_hand(points)
+    cut = trailing_metrics(spark.createDataFrame(points, "k string, ts timestamp_ntz, v double"), "k", "ts", "v", ranges=50)
+    assert cut.count() == 2000
 
 
-def test_halo_reaches_back_over_sparse_cells(spark):
-    """One row per far-apart cell: both rows of the halo lie in different earlier cells."""
-    points = [("a", START + timedelta(hours=7 * n), float(n * n)) for n in range(8)]
-    df = spark.createDataFrame(points, "k string, ts timestamp, v double")
-    assert assert_trailing(df, points, hot_key_rows=1) == 8
+@pytest.mark.parametrize("ranges", [None, 6])
+def test_history_feeds_the_metrics_but_is_not_returned(spark, ranges):
+    points = [("a", START + timedelta(minutes=m), float(m)) for m in range(6)]
+    got = trailing(spark, points[4:], history=points[:4], ranges=ranges)
+    assert got == [r for r in by_hand(points) if r[1] >= START + timedelta(minutes=4)]
 
 
 # Keys ------------------------------------------------------------------------------------------------------------------

@@ -98,15 +98,15 @@ def test_a_crash_before_publishing_is_repaired_by_the_next_run(spark, warehouse,
 @given(
     values=st.lists(st.integers(0, 9), min_size=1, max_size=10),
     cuts=st.lists(st.integers(0, 10), max_size=2),
-    hot=st.sampled_from([0, 10**9]),
+    ranges=st.sampled_from([None, 7]),
 )
-def test_increments_cut_anywhere_equal_one_run(spark, values, cuts, hot):
+def test_increments_cut_anywhere_equal_one_run(spark, values, cuts, ranges):
     raw = snapshots(spark, *[("bitcoin" if i % 3 else "solana", float(v), i * 5) for i, v in enumerate(values)])
     state = spark.createDataFrame([], prices.STATE)
     parts = []
     for cut in [*sorted(cuts), 99]:
         arrived = raw.filter(F.col("fetched_at_utc") < at(cut * 5))
-        part = prices.next_increment(arrived, state, hot).collect()
+        part = prices.next_increment(arrived, state, ranges).collect()
         parts += [tuple(r) for r in part]
         if part:
             done = spark.createDataFrame(part, schemas.FACT_PRICES)

@@ -76,8 +76,18 @@ def pct_change(spark, sf):
 
 
 def cut_keys(spark, sf):
-    """The same metrics with nearly every key above the limit, so that all go through cells and halos."""
-    return _rounded(prices.price_metrics(raw_prices(spark, sf), hot_key_rows=20))
+    """The same metrics over many small ranges, so that nearly every key is cut several times."""
+    return _rounded(prices.price_metrics(raw_prices(spark, sf), ranges=400))
+
+
+def null_times(spark, sf):
+    """Two rows in a hundred have lost their time, and every ninth one its key; both have a fixed place in the order."""
+    raw = table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 9 != 0, F.col("user_id")).alias("coin_id"),
+        F.col("value").alias("price_usd"),
+        F.when(F.col("event_id") % 50 != 0, F.col("ts")).alias("fetched_at_utc"),
+    )
+    return _rounded(prices.price_metrics(raw, ranges=30))
 
 
 def selected_keys(spark, sf):
@@ -91,6 +101,7 @@ QUERIES = {
     "price_moving_avg": moving_avg,
     "price_pct_change": pct_change,
     "price_metrics_cut_keys": cut_keys,
+    "price_metrics_null_times": null_times,
     "price_selected_keys": selected_keys,
     "price_incremental": incremental,
     "price_last_two": lambda s, d: keep_latest(raw_prices(s, d), ["coin_id"], ["fetched_at_utc"], n=2),
@@ -118,12 +129,18 @@ WITH raw AS ({RAW}), lagged AS (
   FROM lagged
 )
 """
+_SPOILT = """SELECT CASE WHEN event_id % 9 <> 0 THEN user_id END AS coin_id, value AS price_usd,
+  CASE WHEN event_id % 50 <> 0 THEN ts END AS fetched_at_utc FROM events"""
+_ORDER = "ORDER BY fetched_at_utc NULLS FIRST, price_usd"
 _DIRECTION = """CASE WHEN pct_change_from_prev > 0 THEN 'up' WHEN pct_change_from_prev < 0 THEN 'down' ELSE 'flat' END"""
 
 ORACLE = {
     "price_moving_avg": METRICS + "SELECT coin_id, price_usd, fetched_at_utc, moving_avg_3 FROM metrics",
     "price_pct_change": METRICS + "SELECT coin_id, price_usd, fetched_at_utc, pct_change_from_prev FROM metrics",
     "price_metrics_cut_keys": METRICS + "SELECT * FROM metrics",
+    "price_metrics_null_times": METRICS.replace(RAW, _SPOILT).replace("ORDER BY fetched_at_utc", _ORDER).replace(
+        "coin_id, price_usd, market_cap_usd,", "coin_id, price_usd,"
+    ) + "SELECT * FROM metrics",
     "price_selected_keys": f"""
 SELECT * FROM ({RAW}) WHERE coin_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 150)""",
     "price_overview": """
