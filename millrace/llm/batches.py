@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
