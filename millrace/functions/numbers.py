@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from millrace.functions.text import strip_all
 
 
-def whole_number(col: Column, default: str | None = None, type_name: str = "int") -> Column:
-    """Text to integer; blank takes the default, text that is no whole number (``3.0`` too) becomes null."""
-    text = F.nullif(strip_all(col), F.lit(""))
-    return (F.coalesce(text, F.lit(default)) if default is not None else text).try_cast(type_name)
+def whole_number(col: Column, default: str | None = None, type_name: str = "bigint") -> Column:
+    """Text to integer. An absent or empty text takes the default, one of white space alone or any other text that is
+    no whole number (``3.0`` too) becomes null."""
+    text = F.nullif(col, F.lit(""))
+    return strip_all(F.coalesce(text, F.lit(default)) if default is not None else text).try_cast(type_name)
 
 
 def real_number(col: Column) -> Column:

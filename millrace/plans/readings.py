@@ -105,16 +105,23 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 
 def run_log(parsed: DataFrame) -> DataFrame:
-    """One row per run. A reading the insert will ignore as a repeat still succeeded."""
-    good = F.col("reject_reason").isNull()
+    """One row per run. A city counts once, however many payloads it sent, and succeeded if one of them is good.
+
+    A reading the insert will ignore as a repeat still succeeded.
+    """
+    per_city = parsed.groupBy("run_id", "city_name").agg(
+        F.min("fetched_at_utc").alias("started_at_utc"),
+        F.max("fetched_at_utc").alias("finished_at_utc"),
+        F.bool_or(F.col("reject_reason").isNull()).alias("good"),
+    )
     return (
-        parsed.groupBy("run_id")
+        per_city.groupBy("run_id")
         .agg(
-            F.min("fetched_at_utc").alias("started_at_utc"),
-            F.max("fetched_at_utc").alias("finished_at_utc"),
+            F.min("started_at_utc").alias("started_at_utc"),
+            F.max("finished_at_utc").alias("finished_at_utc"),
             F.count(F.lit(1)).alias("cities_requested"),
-            F.count_if(good).alias("cities_succeeded"),
-            F.count_if(~good).alias("cities_failed"),
+            F.count_if("good").alias("cities_succeeded"),
+            F.count_if(~F.col("good")).alias("cities_failed"),
         )
         .withColumn("status", run_status(F.col("cities_succeeded"), F.col("cities_failed")))
     )

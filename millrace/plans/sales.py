@@ -52,7 +52,7 @@ def typed(raw: DataFrame) -> DataFrame:
     price = real_number(strip_all(F.col("unit_price")))
     return raw.withColumns(
         {
-            "order_id": whole_number(F.col("order_id"), type_name="bigint"),
+            "order_id": whole_number(F.col("order_id")),
             "order_date": parse_mixed_date(F.col("order_date")),
             "customer_name": default_if_blank(F.col("customer_name"), "Unknown Customer"),
             "quantity": quantity,

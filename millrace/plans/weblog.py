@@ -19,11 +19,13 @@ _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 # space and printable ASCII, are told apart before. Nothing is given back, since a space must follow a run.
 _SPACE = f"(?: |(?![!-~])[{WHITESPACE}])"
 _WORD = f"(?:[!-~]++|(?! )[^{WHITESPACE}])++"
+# Hours up to 23, then minutes, then seconds, the last with a colon only if the minutes have one.
+_OFFSET = r"Z|[+-](?:[01]\d|2[0-3])(?:[0-5]\d(?:[0-5]\d)?|:[0-5]\d(?::[0-5]\d)?)"
 # Anchored at the start only: whatever follows the size (referrer, agent) is free text.
 _COMBINED = (
     rf"^{_SPACE}*+({_WORD}) {_WORD} {_WORD} "
     r"\[(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})"
-    rf"{_SPACE}++(Z|[+-]\d{{2}}:?[0-5]\d)\] "
+    rf"{_SPACE}++({_OFFSET})\] "
     rf'"([A-Z]+) ({_WORD}) HTTP/[\d.]+" (\d{{3}}) (\d+|-)'
 )
 # The captured parts, none of which can contain a space, in the order the rewrite below puts them.
@@ -52,7 +54,7 @@ def parse_json(lines: DataFrame) -> DataFrame:
     """The same columns from JSON lines with ``ip, time, method, path, status, size`` (time as ISO text with offset)."""
     names = ["ip", "method", "path", "status", "size"]
     fields = F.from_json("raw_line", ", ".join(f"{name} STRING" for name in [*names, "time"]))
-    iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}:\d{1,2}:\d{1,2})(Z|[+-]\d{2}:?[0-5]\d)$"
+    iso = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})[T ](\d{{1,2}}:\d{{1,2}}:\d{{1,2}})(?:\.\d+)?({_OFFSET})$"
     time = F.col("_j.time")
     valid = time.rlike(iso) & F.col("_j.status").rlike(r"^\d{3}$")
     tokens = F.when(valid, F.split(F.regexp_replace(time, iso, "$1 $2 $3 $4 $5"), " "))
@@ -62,16 +64,32 @@ def parse_json(lines: DataFrame) -> DataFrame:
     return parsed.drop("_j")
 
 
+def _size_fits(size: Column) -> Column:
+    """A size beyond 64 bits makes the line malformed; an absent one does not."""
+    return size.isNull() | (size == "-") | size.try_cast("bigint").isNotNull()
+
+
+def _offset_seconds(offset: Column) -> Column:
+    """Seconds east of UTC of ``+hhmm``, ``+hhmmss`` or the same with colons; white space stands for no part."""
+    digits = F.rpad(F.replace(F.substring(offset, 2, 9), F.lit(":"), F.lit("")), 6, "0")
+    part = lambda at: F.substring(digits, at, 2).cast("int")
+    return F.when(offset.startswith("-"), -1).otherwise(1) * (part(1) * 3600 + part(3) * 60 + part(5))
+
+
 def _events(lines: DataFrame, part: dict[str, Column]) -> DataFrame:
-    offset = F.when(part["offset"] == "Z", "+00:00").otherwise(
-        F.concat(F.substring(part["offset"], 1, 3), F.lit(":"), F.right(part["offset"], F.lit(2)))
-    )
+    written = F.when(part["offset"] == "Z", "+00:00").otherwise(part["offset"])
+    digits = F.replace(F.substring(written, 2, 9), F.lit(":"), F.lit(""))
+    pairs = [F.nullif(F.substring(digits, at, 2), F.lit("")) for at in (1, 3, 5)]
+    offset = F.when(written.isNotNull(), F.concat(F.substring(written, 1, 1), F.concat_ws(":", *pairs)))
     local = F.concat_ws(" ", F.concat_ws("-", part["year"], part["month"], part["day"]), part["time"])
     complete = F.lit(True)
     for name in ("ip", "method", "path", "month", "offset"):
         complete = complete & part[name].isNotNull()
     times = F.struct(
-        F.when(complete, F.concat(local, offset)).try_cast("timestamp").alias("event_time"),
+        # Spark's own parser stops at 18 hours, so the instant is the local time, read as UTC, less the offset.
+        F.timestamp_seconds(F.when(complete, F.unix_seconds(F.concat(local, F.lit("Z")).try_cast("timestamp")) - _offset_seconds(written))).alias(
+            "event_time"
+        ),
         F.when(complete, local).try_cast("timestamp_ntz").alias("event_time_local"),
         offset.alias("utc_offset"),
     )
@@ -87,7 +105,7 @@ def _events(lines: DataFrame, part: dict[str, Column]) -> DataFrame:
             status.alias("status_code"),
             F.nullif(part["size"], F.lit("-")).try_cast("bigint").alias("response_size"),
             F.when(status.isNotNull(), status_class(status)).alias("status_class"),
-            F.col("_e.event_time").isNotNull().alias("parsed"),
+            (F.col("_e.event_time").isNotNull() & _size_fits(part["size"])).alias("parsed"),
         )
         .drop("_t", "_e")
     )

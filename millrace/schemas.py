@@ -42,7 +42,7 @@ DIM_CUSTOMER = _table("customer_id BIGINT, customer_name STRING, customer_email
 DIM_PRODUCT = _table("product_id BIGINT, product_name STRING, category STRING, unit_price DOUBLE")
 DIM_DATE = _table("date_id INT, full_date DATE, year INT, month INT, day INT, day_of_week STRING")
 FACT_SALES = _table(
-    "order_id BIGINT, date_id INT, customer_id BIGINT, product_id BIGINT, quantity INT, unit_price DOUBLE,"
+    "order_id BIGINT, date_id INT, customer_id BIGINT, product_id BIGINT, quantity BIGINT, unit_price DOUBLE,"
     " total_amount DOUBLE"
 )
 
@@ -50,6 +50,8 @@ LANDED_PRICES = _table("payload STRING, fetched_at_utc TIMESTAMP")
 RAW_PRICES = _table(
     "coin_id STRING, price_usd DOUBLE, market_cap_usd DOUBLE, fetched_at_utc TIMESTAMP"
 )
+PRICE_REJECTS = _table("payload STRING, fetched_at_utc TIMESTAMP, reject_reason STRING")
+PRICE_RUNS = _table("processed BIGINT, late BIGINT, run_at_utc TIMESTAMP")
 FACT_PRICES = _table(
     "coin_id STRING, price_usd DOUBLE, market_cap_usd DOUBLE, fetched_at_utc TIMESTAMP,"
     " moving_avg_3 DOUBLE, pct_change_from_prev DOUBLE"

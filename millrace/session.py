@@ -20,6 +20,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
+# Partitions a shuffle starts with on a cluster: a ceiling for the largest inputs, as AQE merges those it does not fill.
+CLUSTER_PARTITIONS = "8192"
 
 
 def build_session(app_name: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,7 +33,11 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(initial, None) is None:
+        spark.conf.set(initial, CLUSTER_PARTITIONS)
+    return spark
 
 
 @functools.cache

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
 from millrace.functions import missing_markers_to_null
@@ -26,17 +26,37 @@ def ingest_order() -> Column:
     )
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
+class MissingColumn(ValueError):
+    """A file lacks a column that its readers need."""
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """The named columns of CSV files as text, found by their name in the header, in whatever order it has them.
+
+    Doubled quotes stand for one, a quoted field may hold line breaks, and a row that is too short ends in nulls. Files
+    under one path must agree in their header; a missing column is an error. A file that may hold line breaks can only be
+    read from its start, by one task: land large inputs as many files, or say that no field holds a line break.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    header = reader.csv(path).columns
+    absent = [c for c in columns if c not in header]
+    if absent:
+        raise MissingColumn(f"{path} has no column {', '.join(absent)}")
+    schema = StructType([StructField(c, StringType()) for c in header])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
+
+
+def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Sales rows with every column as text, missing markers as null, and ``seq``, the ingest order."""
-    rows = spark.read.schema(schemas.RAW_SALES).option("header", True).option("mode", "FAILFAST").csv(path)
+    rows = read_csv(spark, path, schemas.SALES_COLUMNS, multi_line)
     return rows.select(
         *[missing_markers_to_null(F.col(c)).alias(c) for c in schemas.SALES_COLUMNS], ingest_order().alias("seq")
     )
 
 
-def read_seed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Typed reference data."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+def read_seed_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """Typed reference data; text that does not fit the type of its column fails the run."""
+    return read_csv(spark, path, schema.names, multi_line).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -54,19 +74,42 @@ def as_log_lines(text: DataFrame) -> DataFrame:
 
 
 def flatten_price_payload(payloads: DataFrame) -> DataFrame:
-    """Landed ``(payload, fetched_at_utc)`` rows to one row per key of the payload; absent fields are null."""
+    """Landed ``(payload, fetched_at_utc)`` rows to one row per key of the payload; absent fields are null.
+
+    Payloads that are no price map have no rows here, see ``price_payload_rejects``. If the landed rows carry their
+    ingest order as ``seq``, each price gets its own: that of the payload, then its place in it.
+    """
     prices = F.from_json("payload", schemas.PRICE_PAYLOAD)
-    return payloads.select("fetched_at_utc", F.explode(prices).alias("coin_id", "_v")).select(
-        "coin_id",
-        F.col("_v.usd").alias("price_usd"),
-        F.col("_v.usd_market_cap").alias("market_cap_usd"),
+    carried = ["seq"] if "seq" in payloads.columns else []
+    flat = payloads.select("fetched_at_utc", *carried, F.posexplode(F.map_entries(prices)).alias("_place", "_v"))
+    return flat.select(
+        F.col("_v.key").alias("coin_id"),
+        F.col("_v.value.usd").alias("price_usd"),
+        F.col("_v.value.usd_market_cap").alias("market_cap_usd"),
         "fetched_at_utc",
+        *[F.struct(F.col(c).alias("landed"), F.col("_place").alias("place")).alias(c) for c in carried],
     )
 
 
+def price_payload_rejects(payloads: DataFrame) -> DataFrame:
+    """Landed rows whose payload yields no price row, as they arrived, with the reason."""
+    prices = F.from_json("payload", schemas.PRICE_PAYLOAD)
+    reason = (
+        F.when(F.col("payload").isNull(), "no payload")
+        .when(prices.isNull(), "no price map")
+        .when(F.size(prices) == 0, "empty price map")
+    )
+    marked = payloads.select("payload", "fetched_at_utc", reason.alias("reject_reason"))
+    return marked.filter(F.col("reject_reason").isNotNull())
+
+
 def read_landed_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Landed API responses, one JSON object per line: the payload as text beside what is known about its fetch."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """Landed API responses, one JSON object per line: the payload as text beside what is known about its fetch.
+
+    ``seq`` is the ingest order.
+    """
+    landed = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return landed.select("*", ingest_order().alias("seq"))
 
 
 def restrict_to_keys(

@@ -200,7 +200,7 @@ WITH lines AS (
     CASE WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN 'Unknown Customer' ELSE c_name END AS customer_name,
     lower(replace(c_name, '#', '.')) || '@mail.example' AS customer_email,
     p_name AS product_name, p_type AS category,
-    CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN 1 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
+    CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN 1 ELSE CAST(l_quantity AS BIGINT) END AS quantity,
     p_retailprice AS unit_price, n_name AS city, {_SEQ_SQL}
   FROM lines
   QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {_SEQ_SQL}) = 1
@@ -228,7 +228,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "sales_default_quantity": """
 SELECT l_orderkey, l_linenumber, l_partkey,
-  CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN 1 ELSE CAST(l_quantity AS INTEGER) END AS quantity
+  CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN 1 ELSE CAST(l_quantity AS BIGINT) END AS quantity
 FROM lineitem""",
     "sales_parse_mixed_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders",
     "sales_dedupe_first": f"""

@@ -107,13 +107,15 @@ WITH landed AS (
   WHERE reject_reason IS NULL
   QUALIFY row_number() OVER (PARTITION BY city_name, observed_at
     ORDER BY fetched_at_utc, temperature_c, windspeed_kmh, weather_code) = 1
+), cities AS (
+  SELECT run_id, city_name, min(fetched_at_utc) AS first_fetch, max(fetched_at_utc) AS last_fetch,
+    count(*) > count(reject_reason) AS good
+  FROM parsed GROUP BY 1, 2
 ), run_log AS (
-  SELECT run_id, min(fetched_at_utc) AS started_at_utc, max(fetched_at_utc) AS finished_at_utc,
-    count(*) AS cities_requested, count(*) FILTER (reject_reason IS NULL) AS cities_succeeded,
-    count(reject_reason) AS cities_failed,
-    CASE WHEN count(reject_reason) = 0 THEN 'success'
-      WHEN count(reject_reason) < count(*) THEN 'partial_failure' ELSE 'failed' END AS status
-  FROM parsed GROUP BY 1
+  SELECT run_id, min(first_fetch) AS started_at_utc, max(last_fetch) AS finished_at_utc,
+    count(*) AS cities_requested, count(*) FILTER (good) AS cities_succeeded, count(*) FILTER (NOT good) AS cities_failed,
+    CASE WHEN bool_and(good) THEN 'success' WHEN bool_or(good) THEN 'partial_failure' ELSE 'failed' END AS status
+  FROM cities GROUP BY 1
 )
 """
 _PIVOT = ", ".join(f"max(temperature_c) FILTER (city_name = '{c}') AS \"{c}\"" for c in CITIES)
@@ -135,11 +137,14 @@ QUALIFY row_number() OVER (PARTITION BY city_name ORDER BY fetched_at_utc DESC,
   FROM (SELECT DISTINCT run_id FROM parsed) r, (SELECT unnest({[*CITIES, "harbour"]}) AS city)
   WHERE NOT EXISTS (SELECT 1 FROM parsed p WHERE p.run_id = r.run_id AND p.city_name = city)
 )
-SELECT run_id, min(fetched_at_utc) AS started_at_utc, max(fetched_at_utc) AS finished_at_utc,
-  count(*) AS cities_requested, count(*) FILTER (reject_reason IS NULL) AS cities_succeeded,
-  count(reject_reason) AS cities_failed,
-  CASE WHEN count(reject_reason) < count(*) THEN 'partial_failure' ELSE 'failed' END AS status
-FROM asked GROUP BY 1""",
+SELECT run_id, min(first_fetch) AS started_at_utc, max(last_fetch) AS finished_at_utc,
+  count(*) AS cities_requested, count(*) FILTER (good) AS cities_succeeded, count(*) FILTER (NOT good) AS cities_failed,
+  CASE WHEN bool_or(good) THEN 'partial_failure' ELSE 'failed' END AS status
+FROM (
+  SELECT run_id, city_name, min(fetched_at_utc) AS first_fetch, max(fetched_at_utc) AS last_fetch,
+    count(*) > count(reject_reason) AS good
+  FROM asked GROUP BY 1, 2
+) GROUP BY 1""",
     "wx_run_health": _PARSED + """
 SELECT count(*) AS runs, count(*) FILTER (status = 'success') AS healthy_runs,
   count(*) FILTER (status = 'partial_failure') AS partial_runs,
