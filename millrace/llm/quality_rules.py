@@ -6,8 +6,8 @@ over the kinds, and no length of text dominates. The model is fitted by adaptive
 logistic curve on labelled rows it has not seen turns scores into probabilities, and documents are scored in Arrow
 batches. A document is kept if the counting rules pass it and its probability reaches ``THRESHOLD``.
 
-Fitting reads at most ``TRAINING_ROWS`` labelled rows of each class, those with the smallest hashes, in one task; the
-counts, rules and scores cover every row.
+Fitting reads about ``TRAINING_ROWS`` labelled rows of each class at most, chosen by a hash of their id with the share that
+makes so many, in one task; the counts, rules and scores cover every row.
 
 Defined cases: a null text has no words and fails the rules; labels that are null or neither 0 nor 1, and labels of unknown
 documents, do not train; without labels of both classes the rules decide alone (probability null); repeated rows are
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
@@ -128,10 +128,11 @@ def logistic_curve(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> Model | None:
     """The model for ``label`` (1: good), or nothing if one of the classes has no row."""
     marked = labels.filter(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("_id"), F.col(label).cast("long").alias("label"))
-    chance = F.xxhash64("_id", F.lit(5))
-    first = F.row_number().over(Window.partitionBy("label").orderBy(chance, "_id"))
-    marked = marked.withColumn("place", first).filter(F.col("place") <= TRAINING_ROWS)
-    marked = marked.withColumn("calibrates", F.pmod(chance, F.lit(CALIBRATION_SHARE)) == 0)
+    counts = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
+    chance, steps = F.xxhash64("_id", F.lit(5)), 1_000_000
+    share = [min(steps, TRAINING_ROWS * steps // max(1, counts.get(label, 0))) for label in (0, 1)]
+    marked = marked.filter(F.pmod(chance, F.lit(steps)) < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
+    marked = marked.withColumn("calibrates", F.pmod(F.xxhash64("_id", F.lit(6)), F.lit(CALIBRATION_SHARE)) == 0)
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(marked), "_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
