@@ -38,7 +38,7 @@ def run_sales(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_prices(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse = Warehouse(spark, args.warehouse)
     landed = files.read_landed_json(spark, args.input, schemas.LANDED_PRICES)
-    warehouse.commit(prices.load_snapshots(warehouse, files.flatten_price_payload(landed)))
+    warehouse.commit(*prices.load_landed(warehouse, landed))
     prices.run_increment(warehouse, args.keys)
 
 
@@ -86,7 +86,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     parser.add_argument("--append", action="store_true", help="keep the log tables of earlier runs")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
+    logging.basicConfig(level=logging.INFO, format="[%(levelname)s] %(asctime)s %(name)s: %(message)s")
     try:
         RUNS[args.pipeline](build_session(), args)
     except DataQualityError as error:

@@ -18,11 +18,14 @@ from millrace import schemas
 from millrace.functions import change_direction, percent_change
 from millrace.operators.rows import keep_latest
 from millrace.operators.trailing import trailing_metrics
-from millrace.sources.files import restrict_to_keys
+from millrace.session import own_scratch
+from millrace.sources.files import flatten_price_payload, price_payload_rejects, restrict_to_keys
 from millrace.sources.warehouse import Change, Warehouse
 
 KEY, TIME, PRICE = "coin_id", "fetched_at_utc", "price_usd"
 EPOCH = datetime(1970, 1, 1)
+JOB = "price-increment"
+STATE_BUCKETS = 16
 
 # Keys processed when a run names none.
 DEFAULT_KEYS = ["bitcoin", "ethereum", "solana"]
@@ -131,20 +134,36 @@ def load_snapshots(warehouse: Warehouse, snapshots: DataFrame) -> Change:
     )
 
 
-def _earliest_day(state: DataFrame, keys: Sequence[str]) -> str | None:
-    """No wanted row is older than the lowest mark; None when some key has no mark yet."""
-    marks = state.agg(F.count(F.lit(1)).alias("n"), F.min(day_of("last_processed_utc")).alias("day")).first()
-    return marks.day if marks.n == len(set(keys)) else None
+def load_landed(warehouse: Warehouse, landed: DataFrame) -> list[Change]:
+    """Append the prices of landed payloads, the first row of a key and time in their ingest order, and keep the payloads
+    that hold none as rejects. Returns the unpublished changes."""
+    rejects = price_payload_rejects(landed).select(*schemas.PRICE_REJECTS.names)
+    rejected = [] if rejects.isEmpty() else [warehouse.append("price_payload_reject", rejects)]
+    return [load_snapshots(warehouse, flatten_price_payload(landed)), *rejected]
 
 
 def run_increment(warehouse: Warehouse, keys: Sequence[str] | None = None) -> int:
-    """Process all keys in one job and publish fact and state together. Without new rows nothing is written."""
+    """Process all keys in one job and publish fact, state and run together. Without new rows nothing is written.
+
+    For every wanted key it is remembered up to which version its rows have been read, whether it had any or not. A run
+    reads the directories added since the lowest of these, so a key that is idle, or that never appears, costs nothing.
+    Rows at or below the mark of their key are left out, and counted in the run.
+    """
     wanted = list(keys or DEFAULT_KEYS)
-    state = restrict_to_keys(warehouse.read("price_state", STATE), KEY, wanted, wanted)
-    raw = warehouse.read("raw_price_snapshot", schemas.RAW_PRICES, since=_earliest_day(state, wanted))
-    raw = restrict_to_keys(raw, KEY, wanted, wanted)
-    changes = _advance(warehouse, raw, state)
-    return warehouse.commit(*changes) if changes else warehouse.version()
+    version, done = warehouse.version(), warehouse.progress(JOB)
+    after = min(done.get(key, 0) for key in wanted)
+    if not warehouse.added("raw_price_snapshot", after):
+        return version
+    with own_scratch(warehouse.spark):
+        state = restrict_to_keys(warehouse.read("price_state", STATE), KEY, wanted, wanted)
+        # A key read further than others was does not meet its rows again.
+        read = {step: [k for k in wanted if done.get(k, 0) == step] for step in {done.get(k, 0) for k in wanted}}
+        raw = None
+        for step, same in read.items():
+            rows = restrict_to_keys(warehouse.read("raw_price_snapshot", schemas.RAW_PRICES, after=step), KEY, same, same)
+            raw = rows if raw is None else raw.unionByName(rows)
+        changes = _advance(warehouse, raw, state)
+        return warehouse.commit(*changes, progress={JOB: dict.fromkeys(wanted, version)})
 
 
 def process_arrivals(warehouse: Warehouse, snapshots: DataFrame, batch: tuple[str, int]) -> int:
@@ -152,16 +171,26 @@ def process_arrivals(warehouse: Warehouse, snapshots: DataFrame, batch: tuple[st
 
     Whatever is new arrives in this batch, so the increment reads the rows just inserted instead of the raw table.
     """
-    loaded = load_snapshots(warehouse, snapshots)
-    state = warehouse.read("price_state", STATE)
-    return warehouse.commit(loaded, *_advance(warehouse, loaded.rows, state), batch=batch)
+    with own_scratch(warehouse.spark):
+        loaded = load_snapshots(warehouse, snapshots)
+        state = warehouse.read("price_state", STATE)
+        return warehouse.commit(loaded, *_advance(warehouse, loaded.rows, state), batch=batch)
 
 
 def _advance(warehouse: Warehouse, raw: DataFrame, state: DataFrame) -> list[Change]:
-    fact = warehouse.upsert("fact_price_hourly", next_increment(raw, state), [KEY, TIME], [TIME], day_of())
+    """Rows beyond a mark are new by definition, so the fact is appended to; the state lies in buckets of keys."""
+    fact = warehouse.append("fact_price_hourly", next_increment(raw, state).select(*schemas.FACT_PRICES.names), day_of())
+    late = late_rows(raw, state).select(F.lit(0).alias("new"))
+    run = fact.rows.select(F.lit(1).alias("new")).unionAll(late).agg(
+        F.count_if(F.col("new") == 1).alias("processed"), F.count_if(F.col("new") == 0).alias("late")
+    )
+    run = run.withColumn("run_at_utc", F.current_timestamp()).filter("processed + late > 0")
+    changes = [] if run.isEmpty() else [warehouse.append("price_run_log", run.select(*schemas.PRICE_RUNS.names))]
     if not fact.parts:
-        return []
-    return [fact, warehouse.upsert("price_state", state_after(fact.rows, state), [KEY], ["last_processed_utc"])]
+        return changes
+    bucket = F.pmod(F.xxhash64(KEY), F.lit(STATE_BUCKETS)).cast("string")
+    after = state_after(fact.rows, state).select(*STATE.names)
+    return [fact, warehouse.upsert("price_state", after, [KEY], ["last_processed_utc"], bucket), *changes]
 
 
 # Reports ---------------------------------------------------------------------------------------------------------

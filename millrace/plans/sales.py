@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import date_key, default_if_blank, parse_mixed_date, ratio, real_number, strip_all, whole_number
-from millrace.operators.keys import dense_ids, lookup_key
+from millrace.operators.keys import dense_ids, hashed_key, key_collisions, lookup_key
 from millrace.operators.quality import Check, enforce, gate_report, not_positive
 from millrace.operators.rows import keep_first, top_k
-from millrace.session import write_once
+from millrace.session import own_scratch, write_once
 from millrace.sources.warehouse import Warehouse
 
 TEXT_COLUMNS = ["customer_name", "customer_email", "product_name", "category", "city"]
@@ -78,24 +78,30 @@ def sales_gate(clean: DataFrame) -> DataFrame:
 # Star schema -----------------------------------------------------------------------------------------------------
 
 
-def dim_customer(clean: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> DataFrame:
+CUSTOMER_KEY = ["customer_email"]
+PRODUCT_KEY = ["product_name", "unit_price"]
+
+
+def dim_customer(clean: DataFrame, seq: Sequence[Column | str] = ("seq",), dense: bool = False) -> DataFrame:
     """One row per email. The first row names the customer, even if a later one knows better."""
-    return _dimension(clean, ["customer_email"], ["customer_name", "customer_email", "city"], "customer_id", seq)
+    return _dimension(clean, CUSTOMER_KEY, ["customer_name", "customer_email", "city"], "customer_id", seq, dense)
 
 
-def dim_product(clean: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> DataFrame:
+def dim_product(clean: DataFrame, seq: Sequence[Column | str] = ("seq",), dense: bool = False) -> DataFrame:
     """One row per name and price, so a new price is a new product."""
-    return _dimension(
-        clean, ["product_name", "unit_price"], ["product_name", "category", "unit_price"], "product_id", seq
-    )
+    return _dimension(clean, PRODUCT_KEY, ["product_name", "category", "unit_price"], "product_id", seq, dense)
 
 
 def _dimension(
-    clean: DataFrame, natural_key: list[str], columns: list[str], id_col: str, seq: Sequence[Column | str]
+    clean: DataFrame, natural_key: list[str], columns: list[str], id_col: str, seq: Sequence[Column | str], dense: bool
 ) -> DataFrame:
+    """The first row per natural key. Its id is a hash of the key, which needs no further shuffle and no look-up later, or
+    with ``dense`` its place in the order of first appearance, which needs both."""
     order = [F.col(c) if isinstance(c, str) else c for c in seq]
     first_seen = keep_first(clean.select(*columns, F.struct(*order).alias("_seq")), natural_key, ["_seq"])
-    return dense_ids(first_seen, id_col, ["_seq", *natural_key]).select(id_col, *columns)
+    if dense:
+        return dense_ids(first_seen, id_col, ["_seq", *natural_key]).select(id_col, *columns)
+    return first_seen.select(hashed_key(*natural_key).alias(id_col), *columns)
 
 
 def dim_date(clean: DataFrame) -> DataFrame:
@@ -111,10 +117,15 @@ def dim_date(clean: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(clean: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Order grain with the keys of the three dimensions; the date key needs no look-up."""
-    keyed = lookup_key(clean, customers, ["customer_email"], "customer_id")
-    keyed = lookup_key(keyed, products, ["product_name", "unit_price"], "product_id")
+def fact_sales(clean: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
+    """Order grain with the keys of the three dimensions. Hashed keys and the date key need no look-up; dimensions with
+    dense ids are given."""
+    keyed = clean
+    for dim, natural_key, id_col in ((customers, CUSTOMER_KEY, "customer_id"), (products, PRODUCT_KEY, "product_id")):
+        if dim is None:
+            keyed = keyed.withColumn(id_col, hashed_key(*natural_key))
+        else:
+            keyed = lookup_key(keyed, dim, natural_key, id_col)
     return keyed.select(
         "order_id",
         date_key(F.col("order_date")).alias("date_id"),
@@ -126,15 +137,25 @@ def fact_sales(clean: DataFrame, customers: DataFrame, products: DataFrame) -> D
     )
 
 
-def load_star(warehouse: Warehouse, raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> int:
-    """Clean, gate, build and publish all four tables with one commit. Nothing is published if a gate fails."""
-    clean = write_once(clean_sales(raw, seq), "clean-sales")
-    enforce(sales_gate(clean))
-    customers = warehouse.replace("dim_customer", dim_customer(clean, seq))
-    products = warehouse.replace("dim_product", dim_product(clean, seq))
-    fact = warehouse.replace("fact_sales", fact_sales(clean, customers.rows, products.rows))
-    enforce(gate_report(fact.rows, [Check("product_id is found", F.col("product_id").isNull())]))
-    return warehouse.commit(customers, products, warehouse.replace("dim_date", dim_date(clean)), fact)
+def load_star(warehouse: Warehouse, raw: DataFrame, seq: Sequence[Column | str] = ("seq",), dense: bool = False) -> int:
+    """Clean, gate, build and publish all four tables with one commit. Nothing is published if a gate fails.
+
+    Keys are hashed; that no two natural keys share one is part of the gate. ``dense`` numbers them instead.
+    """
+    with own_scratch(warehouse.spark):
+        clean = write_once(clean_sales(raw, seq), "clean-sales")
+        enforce(sales_gate(clean))
+        customers = warehouse.replace("dim_customer", dim_customer(clean, seq, dense))
+        products = warehouse.replace("dim_product", dim_product(clean, seq, dense))
+        if dense:
+            fact = warehouse.replace("fact_sales", fact_sales(clean, customers.rows, products.rows))
+            enforce(gate_report(fact.rows, [Check("product_id is found", F.col("product_id").isNull())]))
+        else:
+            for dim, id_col, natural_key in ((customers, "customer_id", CUSTOMER_KEY), (products, "product_id", PRODUCT_KEY)):
+                shared = key_collisions(dim.rows, id_col, natural_key)
+                enforce(gate_report(shared, [Check(f"{id_col} is not shared", F.col("natural_keys") > 1)]))
+            fact = warehouse.replace("fact_sales", fact_sales(clean))
+        return warehouse.commit(customers, products, warehouse.replace("dim_date", dim_date(clean)), fact)
 
 
 # Reports ---------------------------------------------------------------------------------------------------------

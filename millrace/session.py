@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whatever file system its path names; a missing one is no error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextlib.contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that are written inside once it ends: for jobs that publish what they compute."""
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > mark:
+            delete(spark, _written.pop())
+
+
 def write_once(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and return the written table.
 
@@ -69,6 +91,7 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     executors, and unlike ``checkpoint`` it stays columnar, so every reader still prunes columns and pushes filters.
     """
     path = scratch_path(df.sparkSession, label)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -29,8 +29,8 @@ def raw(spark, tmp_path):
     return read_sales_csv(spark, str(tmp_path / "*.csv"))
 
 
-def load(warehouse, raw):
-    sales.load_star(warehouse, raw)
+def load(warehouse, raw, dense=False):
+    sales.load_star(warehouse, raw, dense=dense)
     return {
         "customers": warehouse.read("dim_customer", schemas.DIM_CUSTOMER),
         "products": warehouse.read("dim_product", schemas.DIM_PRODUCT),
@@ -66,8 +66,26 @@ def test_the_first_of_two_equal_ids_stays(raw, partitions):
     assert clean.filter("order_id = 10").first().quantity == 2
 
 
-def test_star(warehouse, raw):
+def test_hashed_keys_fit_together(warehouse, raw):
     star = load(warehouse, raw)
+    joined = star["fact"].join(star["customers"], "customer_id").join(star["products"].drop("unit_price"), "product_id")
+    assert rows(joined, "order_id", "customer_email", "product_name", "unit_price") == [
+        (10, "mia@x.example", "Shirt", 50.0),
+        (11, "noah@x.example", "Lamp", 80.5),
+        (12, "mia@x.example", "Shirt", 60.0),
+        (13, "noah@x.example", "Lamp", 80.5),
+    ]
+
+
+def test_a_shared_hash_stops_the_load(warehouse, raw, monkeypatch):
+    monkeypatch.setattr(sales, "hashed_key", lambda *key: F.lit(7).cast("bigint"))
+    with pytest.raises(DataQualityError, match="customer_id is not shared"):
+        load(warehouse, raw)
+    assert warehouse.version() == 0
+
+
+def test_star(warehouse, raw):
+    star = load(warehouse, raw, dense=True)
     assert rows(star["customers"]) == [
         (1, "Unknown Customer", "mia@x.example", "Bern"),
         (2, "Noah Berg", "noah@x.example", "Basel"),

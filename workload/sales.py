@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from millrace import schemas
 from millrace.functions import date_key, default_if_blank, parse_mixed_date, whole_number
+from millrace.operators.quality import DataQualityError
 from millrace.operators.rows import duplicate_count
 from millrace.plans import sales
 from millrace.session import scratch_path, write_once
+from millrace.sources.files import read_sales_csv, read_seed_csv
 from millrace.sources.warehouse import Warehouse
 from workload import table
 
@@ -146,7 +149,7 @@ def dedupe_count(spark, sf):
 def star(spark, sf):
     """The whole path: dirty rows, cleaning, dimensions with dense ids, fact."""
     clean = write_once(cleaned(spark, sf), "clean-sales")
-    return sales.fact_sales(clean, sales.dim_customer(clean, SEQ), sales.dim_product(clean, SEQ))
+    return sales.fact_sales(clean, sales.dim_customer(clean, SEQ, dense=True), sales.dim_product(clean, SEQ, dense=True))
 
 
 def stored_star(spark, sf):
@@ -157,6 +160,48 @@ def stored_star(spark, sf):
     return sales.revenue_by_category(fact, warehouse.read("dim_product", schemas.DIM_PRODUCT))
 
 
+def hashed_star(spark, sf):
+    """Order lines read back through the hashed keys of a stored star."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    sales.load_star(warehouse, raw_sales(spark, sf), SEQ)
+    fact = warehouse.read("fact_sales", schemas.FACT_SALES)
+    customers = warehouse.read("dim_customer", schemas.DIM_CUSTOMER)
+    products = warehouse.read("dim_product", schemas.DIM_PRODUCT).drop("unit_price")
+    joined = fact.join(customers, "customer_id").join(products, "product_id").join(warehouse.read("dim_date", schemas.DIM_DATE), "date_id")
+    return joined.select("order_id", "full_date", "customer_email", "customer_name", "product_name", "category", "unit_price", "quantity")
+
+
+def failed_gate(spark, sf):
+    """A load with one bad line after a good one of half the lines: what was published stays as it was."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    raw = raw_sales(spark, sf)
+    sales.load_star(warehouse, raw.filter(F.col("l_orderkey") % 2 == 0), SEQ)
+    broken = raw.withColumn("unit_price", F.when(F.col("l_orderkey") % 1000 != 7, F.col("unit_price")).otherwise("none"))
+    try:
+        sales.load_star(warehouse, broken, SEQ)
+    except DataQualityError:
+        fact = warehouse.read("fact_sales", schemas.FACT_SALES)
+        return fact.groupBy("date_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("units"))
+    raise RuntimeError("the gate let a price that is no number pass")
+
+
+def scan_csv(spark, sf):
+    """The dirty rows written as CSV with shuffled columns, doubled quotes and line breaks, and read back by name."""
+    quoted = F.concat(F.lit('Say "hi", '), F.col("customer_name"), F.lit("\nto me"))
+    raw = raw_sales(spark, sf).withColumn("customer_name", F.when(_every("l_partkey", 3), quoted).otherwise(F.col("customer_name")))
+    path = scratch_path(spark, "csv")
+    raw.select(*sorted(schemas.SALES_COLUMNS, reverse=True)).write.option("header", True).option("escape", '"').csv(path)
+    return read_sales_csv(spark, path).drop("seq")
+
+
+def scan_seed(spark, sf):
+    """Customers written as CSV with other columns beside the typed ones, and read back."""
+    path = scratch_path(spark, "csv")
+    customers = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", F.lit("x,\"y\"").alias("more"), "c_custkey")
+    customers.write.option("header", True).option("escape", '"').csv(path)
+    return read_seed_csv(spark, path, StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())]))
+
+
 def _rounded(df: DataFrame, *money: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 2) for c in money})
 
@@ -169,11 +214,15 @@ QUERIES = {
     "sales_dedupe_first": dedupe_first,
     "sales_dedupe_count": dedupe_count,
     "sales_clean_orders": lambda s, d: cleaned(s, d).select(*sales.CLEAN_COLUMNS),
-    "sales_dim_customer": lambda s, d: sales.dim_customer(cleaned(s, d), SEQ),
-    "sales_dim_product": lambda s, d: sales.dim_product(cleaned(s, d), SEQ),
+    "sales_dim_customer": lambda s, d: sales.dim_customer(cleaned(s, d), SEQ, dense=True),
+    "sales_dim_product": lambda s, d: sales.dim_product(cleaned(s, d), SEQ, dense=True),
     "sales_dim_date": _dates,
     "sales_fact": star,
     "sales_star_load": lambda s, d: _rounded(stored_star(s, d), "total_revenue"),
+    "sales_star_hashed": hashed_star,
+    "sales_failed_gate": failed_gate,
+    "scan_sales_csv": scan_csv,
+    "scan_seed_csv": scan_seed,
     "sales_revenue_by_category": lambda s, d: _rounded(
         sales.revenue_by_category(_fact(s, d, False), _products(s, d)), "total_revenue"
     ),
@@ -255,6 +304,31 @@ JOIN dim_product p ON c.product_name = p.product_name AND c.unit_price = p.unit_
 SELECT p.category, CAST(sum(quantity * CAST(unit_price AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue,
   count(*) AS total_orders
 FROM clean JOIN dim_product p USING (product_name, unit_price) GROUP BY 1""",
+    "sales_star_hashed": _CLEAN + """
+SELECT order_id, order_date AS full_date, customer_email, d.customer_name, p.product_name, p.category, c.unit_price, quantity
+FROM clean c JOIN dim_customer d USING (customer_email)
+JOIN dim_product p ON c.product_name = p.product_name AND c.unit_price = p.unit_price""",
+    "sales_failed_gate": _CLEAN + """
+SELECT CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_id, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units
+FROM clean WHERE l_orderkey % 2 = 0 GROUP BY 1""",
+    "scan_sales_csv": """
+WITH spoilt AS (
+  SELECT *, CASE WHEN c_custkey % 11 = 0 THEN ' ' WHEN c_custkey % 13 = 0 THEN NULL
+    WHEN c_custkey % 4 = 0 THEN chr(12288) || ' ' || c_name || chr(9) ELSE c_name END AS name,
+    CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+      WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%Y-%-m-%-d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
+)
+SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS order_id,
+  CASE WHEN o_orderkey % 7 = 0 THEN ' ' || chr(9) || day || ' ' ELSE day END AS order_date,
+  CASE WHEN l_partkey % 3 = 0 THEN 'Say "hi", ' || name || chr(10) || 'to me' ELSE name END AS customer_name,
+  ' ' || lower(replace(c_name, '#', '.')) || '@mail.example ' AS customer_email,
+  CASE WHEN p_partkey % 5 = 0 THEN chr(9) || p_name ELSE p_name END AS product_name, p_type || ' ' AS category,
+  CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN NULL ELSE ' ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+  CAST(p_retailprice AS VARCHAR) AS unit_price, n_name AS city
+FROM spoilt""",
+    "scan_seed_csv": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "sales_revenue_by_category": f"""
 SELECT p_type AS category, {_REVENUE} AS total_revenue, count(*) AS total_orders
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY total_revenue DESC""",

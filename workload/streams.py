@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.plans import prices
 from millrace.session import scratch_path
 from millrace.sources.warehouse import Warehouse
 from millrace.streaming.prices import stream_prices
@@ -15,23 +16,48 @@ from workload import logs, table, weather
 from workload import prices as prices_map
 
 
-def _source(spark: SparkSession, sf: str) -> DataFrame:
-    # A file source lists a pattern, not a single file.
-    return spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
+BATCHES = 5
+
+
+def _batch_of(days: int = 6):
+    """Events come in five files, one for six days each; each file is a micro-batch of its own."""
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    return F.least(F.lit(BATCHES - 1), F.greatest(F.lit(0), F.floor(day / days))).cast("int")
+
+
+def _source(spark: SparkSession, sf: str, repeats: bool = True) -> DataFrame:
+    """The events as a stream of five files. With ``repeats`` every eleventh event comes again with the next file."""
+    events = table(spark, sf, "events")
+    inbox = scratch_path(spark, "stream-inbox")
+    arrivals = events.withColumn("_batch", _batch_of())
+    if repeats:
+        again = arrivals.filter(F.col("event_id") % 11 == 0).withColumn("_batch", F.col("_batch") + 1)
+        arrivals = arrivals.unionByName(again.filter(F.col("_batch") < BATCHES))
+    for number in range(BATCHES):
+        mine = arrivals.filter(F.col("_batch") == number).drop("_batch")
+        mine.coalesce(1).write.parquet(f"{inbox}/batch={number}")
+    # One file after the other, in the order they were written.
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
 
 
 def _run(spark: SparkSession, start, rows: DataFrame) -> Warehouse:
-    """Run a stream over all there is, into a warehouse of its own."""
+    """Run a stream over all there is, into a warehouse of its own, and see that it took a commit for each file."""
     warehouse = Warehouse(spark, scratch_path(spark, "stream-warehouse"))
     start(rows, warehouse, scratch_path(spark, "stream-progress")).awaitTermination()
+    if warehouse.version() < BATCHES:
+        raise RuntimeError(f"{warehouse.version()} commits for {BATCHES} files")
     return warehouse
 
 
-def price_stream(spark, sf):
+def _price_warehouse(spark: SparkSession, sf: str) -> Warehouse:
     rows = prices_map.as_prices(_source(spark, sf)).select(
         *[F.col(f.name).cast(f.dataType) for f in schemas.RAW_PRICES]
     )
-    fact = _run(spark, stream_prices, rows).read("fact_price_hourly", schemas.FACT_PRICES)
+    return _run(spark, stream_prices, rows)
+
+
+def price_stream(spark, sf):
+    fact = _price_warehouse(spark, sf).read("fact_price_hourly", schemas.FACT_PRICES)
     return fact.withColumns(
         {
             "coin_id": F.col("coin_id").cast("bigint"),
@@ -41,32 +67,63 @@ def price_stream(spark, sf):
     )
 
 
+def price_stream_state(spark, sf):
+    """The state that five batches have upserted, key by key."""
+    state = _price_warehouse(spark, sf).read("price_state", prices.STATE)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("last_processed_utc", "previous_utc")}
+    return state.withColumns(times | {"coin_id": F.col("coin_id").cast("bigint")})
+
+
 def log_stream(spark, sf):
-    stored = _run(spark, stream_log, logs.log_lines(_source(spark, sf)))
+    stored = _run(spark, stream_log, logs.log_lines(_source(spark, sf, repeats=False)))
     return logs.shown(stored.read("fact_log_event", schemas.LOG_EVENTS))
 
 
 def log_stream_summary(spark, sf):
-    stored = _run(spark, stream_log, logs.log_lines(_source(spark, sf)))
+    stored = _run(spark, stream_log, logs.log_lines(_source(spark, sf, repeats=False)))
     return stored.read("pipeline_run_summary", schemas.LOG_SUMMARY).drop("run_id", "run_at_utc")
 
 
-def reading_stream(spark, sf):
+def _reading_warehouse(spark: SparkSession, sf: str) -> Warehouse:
     rows = weather.landed(_source(spark, sf)).withColumn("fetched_at_utc", F.col("fetched_at_utc").cast("timestamp"))
-    fact = _run(spark, stream_readings, rows).read("fact_weather_reading", schemas.FACT_READINGS)
+    return _run(spark, stream_readings, rows)
+
+
+def reading_stream(spark, sf):
+    fact = _reading_warehouse(spark, sf).read("fact_weather_reading", schemas.FACT_READINGS)
     return fact.withColumn("fetched_at_utc", F.col("fetched_at_utc").cast("timestamp_ntz"))
 
 
+def reading_stream_run_log(spark, sf):
+    """The run log after all batches: a run that a later batch touches again shows what that batch held of it."""
+    log = _reading_warehouse(spark, sf).read("pipeline_run_log", schemas.RUN_LOG)
+    return log.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started_at_utc", "finished_at_utc")})
+
+
 QUERIES = {
     "price_stream": price_stream,
     "log_stream": log_stream,
     "log_stream_summary": log_stream_summary,
+    "price_stream_state": price_stream_state,
     "wx_stream": reading_stream,
+    "wx_stream_run_log": reading_stream_run_log,
 }
 
+_ARRIVALS = """(
+  WITH numbered AS (
+    SELECT *, least(4, greatest(0, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 6)) AS batch FROM events
+  )
+  SELECT * FROM numbered UNION ALL
+  SELECT * REPLACE (batch + 1 AS batch) FROM numbered WHERE event_id % 11 = 0 AND batch < 4
+)"""
+_LAST = f"(SELECT * FROM {_ARRIVALS} QUALIFY batch = max(batch) OVER (PARTITION BY strftime(ts, '%Y%m%d')))"
+
+
 ORACLE = {
     "price_stream": prices_map.ORACLE["price_incremental"],
     "log_stream": logs.ORACLE["log_parse_events"],
     "log_stream_summary": f"SELECT * EXCLUDE (run_id) FROM ({logs.ORACLE['log_run_summary']})",
+    "price_stream_state": prices_map.ORACLE["price_watermark_state"],
     "wx_stream": weather.ORACLE["wx_insert_if_absent"],
+    "wx_stream_run_log": weather.ORACLE["wx_run_log"].replace("FROM events", f"FROM {_LAST}"),
 }
