@@ -13,10 +13,12 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Bytes of an Arrow batch between Spark and its Python workers; rows are long texts, so counting rows would not bound it.
+BATCH_BYTES = 4 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -63,7 +65,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(20, (max(size, 1) - 1).bit_length()))
+    up, down = _powers(1 << max(19, (max(size, 1) - 1).bit_length()))
     return up[:size], down[:size]
 
 
@@ -162,6 +164,12 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(int(a), int(b - a))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Spark hand over texts in batches of bounded size; steers memory only, results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 Columns = Callable[[pa.RecordBatch], dict[str, pa.Array]]
 
 

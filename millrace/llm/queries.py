@@ -9,16 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import write_once
+from .batches import bound_batches
 from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracles, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Python workers find this package where the driver did, also in a session begun before."""
+def prepare(spark: SparkSession) -> None:
+    """Python workers find this package where the driver did, also in a session begun before, and get bounded batches."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+    bound_batches(spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
