@@ -107,6 +107,7 @@ class Warehouse:
         for change in changes:
             if state["changed"].get(change.table, 0) > change.base:
                 raise RuntimeError(f"{change.table} has changed since these rows were written")
+            state["changed"][change.table] = delta["version"]
             fields = {"table": change.table, "add": change.parts}
             fields |= {"replace": True} if change.replaces_table else {}
             fields |= {"drop": change.dropped} if change.dropped else {}

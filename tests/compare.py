@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -67,11 +68,11 @@ def compare(spark, con, sf_dir: str, name: str) -> str | None:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="millrace-compare-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
-    for name in entry.queries():
+    for name in entry.oracle_sql():
         if sys.argv[2:] and not any(part in name for part in sys.argv[2:]):
             continue
         began = time.time()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.plans import prices
-from millrace.sources.files import flatten_price_payload
+from millrace.sources.files import flatten_price_payload, read_landed_json
 from millrace.sources.warehouse import Warehouse, replace_on_key
 from tests.helpers import rows
 
@@ -66,6 +67,39 @@ def test_keys_not_listed_wait(spark, warehouse):
     assert set(marks(warehouse)) == {"bitcoin", "solana"}
 
 
+def test_a_run_reads_only_directories_added_since_the_last(spark, warehouse, monkeypatch):
+    """Neither an idle key nor one that never appears brings back what was read."""
+    opened = []
+    added = Warehouse.added
+    monkeypatch.setattr(Warehouse, "added", lambda self, *a, **k: opened.append((a[0], added(self, *a, **k))) or opened[-1][1])
+    wanted = ["bitcoin", "solana", "never"]
+    for day in range(4):
+        hours = [("bitcoin", float(day + 1), 24 * day)] + ([("solana", 5.0, 0)] if day == 0 else [])
+        opened.clear()
+        load_and_run(warehouse, snapshots(spark, *hours), wanted)
+        assert {len(dirs) for table, dirs in opened if table == "raw_price_snapshot"} == {1}
+    assert len(fact(warehouse)) == 5 and marks(warehouse) == {"bitcoin": at(72), "solana": at(0)}
+
+
+def test_late_rows_are_counted(spark, warehouse):
+    load_and_run(warehouse, snapshots(spark, ("bitcoin", 1.0, 5)))
+    load_and_run(warehouse, snapshots(spark, ("bitcoin", 2.0, 3), ("bitcoin", 3.0, 4)))
+    load_and_run(warehouse, snapshots(spark, ("bitcoin", 2.0, 2), ("bitcoin", 3.0, 9)))
+    assert rows(warehouse.read("price_run_log", schemas.PRICE_RUNS), "processed", "late") == [(0, 2), (1, 0), (1, 1)]
+
+
+def test_the_first_landed_price_stays_and_bad_payloads_are_kept(spark, warehouse, tmp_path):
+    lines = ['{"bitcoin": {"usd": 9.0}}', '{"bitcoin": {"usd": 5.0}}', "<html>", None, "{}"]
+    landed = "".join(json.dumps({"payload": x, "fetched_at_utc": "2024-01-01T00:00:00Z"}) + "\n" for x in lines)
+    (tmp_path / "landed.json").write_text(landed)
+    read = read_landed_json(spark, str(tmp_path / "landed.json"), schemas.LANDED_PRICES)
+    warehouse.commit(*prices.load_landed(warehouse, read))
+    assert rows(warehouse.read("raw_price_snapshot", schemas.RAW_PRICES), "price_usd") == [(9.0,)]
+    assert rows(warehouse.read("price_payload_reject", schemas.PRICE_REJECTS), "payload", "reject_reason") == [
+        ("<html>", "no price map"), ("{}", "empty price map"), (None, "no payload")
+    ]
+
+
 def test_default_keys(spark, warehouse):
     load_and_run(warehouse, snapshots(spark, ("bitcoin", 1.0, 0), ("other", 2.0, 0)), None)
     assert set(marks(warehouse)) == {"bitcoin"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators.quality import DataQualityError
 from millrace.plans import sales
-from millrace.sources.files import read_sales_csv
+from millrace.sources.files import MissingColumn, read_sales_csv
 from tests.helpers import rows
 
 HEADER = "order_id,order_date,customer_name,customer_email,product_name,category,quantity,unit_price,city\n"
@@ -39,6 +39,24 @@ def load(warehouse, raw, dense=False):
     }
 
 
+def test_columns_are_found_by_name_and_quoted_fields_may_hold_anything(spark, tmp_path):
+    path = tmp_path / "shuffled.csv"
+    path.write_text(
+        "city,unit_price,order_id,extra,order_date,customer_name,customer_email,product_name,category,quantity\n"
+        'Bern,5,7,x,2024-01-01,"Ann ""A, B"" C",a@x.example,"two\nlines",C,1\nBasel,6,8,y,2024-01-02,Bo,b@x.example,P\n'
+    )
+    got = read_sales_csv(spark, str(path)).orderBy("seq").collect()
+    assert [(r.order_id, r.city, r.customer_name, r.product_name, r.quantity) for r in got] == [
+        ("7", "Bern", 'Ann "A, B" C', "two\nlines", "1"), ("8", "Basel", "Bo", "P", None)
+    ]
+
+
+def test_a_missing_column_fails(spark, tmp_path):
+    (tmp_path / "short.csv").write_text("order_id,order_date\n1,2024-01-01\n")
+    with pytest.raises(MissingColumn, match="quantity"):
+        read_sales_csv(spark, str(tmp_path / "short.csv"))
+
+
 def test_scan_reads_text_in_file_order(raw):
     assert dict(raw.dtypes)["quantity"] == "string"
     assert [r.order_id for r in raw.orderBy("seq").collect()] == ["10", "11", "12", "10", "13"]

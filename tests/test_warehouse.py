@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.sources.warehouse import Warehouse, absent_rows, replace_on_key
+from millrace.sources.warehouse import Change, Warehouse, absent_rows, replace_on_key
 from tests.helpers import rows
 
 DDL = "k string, day string, v double"
@@ -146,6 +146,54 @@ def test_batches_are_remembered(warehouse):
     assert warehouse.seen("s", 0) and not warehouse.seen("s", 1) and not warehouse.seen("other", 0)
 
 
+def test_metadata_stays_linear_and_a_snapshot_changes_nothing(spark, warehouse, tmp_path):
+    """Commits of directories that are only named, not written: their number is what counts here."""
+    for n in range(130):
+        warehouse.commit(Change("t", {"all": [f"{warehouse.root}/data/{n:05}/t"]}, n))
+    state = warehouse._state()
+    assert [d[-7:] for d, _ in state["tables"]["t"]["all"]] == [f"{n:05}/t" for n in range(130)]
+    files = sorted((tmp_path / "warehouse" / "commits").glob("*"))
+    sizes = [f.stat().st_size for f in files if f.suffix == ".json"]
+    snapshots = [f for f in files if f.suffix == ".snapshot"]
+    assert max(sizes) < 1.2 * min(sizes) and 1 <= len(snapshots) <= 4
+    assert sum(f.stat().st_size for f in snapshots) < 2 * sum(sizes)
+    for version in (1, 19, 64, 130):
+        assert len(warehouse._state(version)["tables"]["t"]["all"]) == version
+
+
+def test_clean_up_leaves_what_the_kept_versions_use(spark, warehouse, tmp_path):
+    def folders():
+        return {p.parent for p in (tmp_path / "warehouse" / "data").rglob("*.parquet")}
+
+    df = frame(spark, ("a", "d1", 1.0, 1), ("b", "d2", 2.0, 1)).drop("seq")
+    for _ in range(3):
+        warehouse.commit(warehouse.replace("t", df, F.col("day")), warehouse.append("log", df))
+    warehouse.replace("t", df)  # a job that died
+    assert len(folders()) == 3 * 3 + 1
+    assert warehouse.clean_up(keep=2) == 2 and len(folders()) == 2 * 2 + 3
+    assert warehouse.clean_up() == 1 and len(folders()) == 2 + 3
+    assert stored(warehouse) == [("a", "d1", 1.0), ("b", "d2", 2.0)]
+    assert warehouse.read("log", df.schema).count() == 6 and warehouse.clean_up() == 0
+
+
+def test_directories_since_a_version_and_rewrites(spark, warehouse):
+    df = frame(spark, ("a", "d1", 1.0, 1)).drop("seq")
+    for n in range(3):
+        warehouse.commit(warehouse.append("t", df.withColumn("v", F.lit(float(n))), F.col("day")))
+    assert stored(warehouse, after=1) == [("a", "d1", 1.0), ("a", "d1", 2.0)]
+    warehouse.commit(warehouse.compact("t", df.schema, F.col("day"), max_dirs=2))
+    assert stored(warehouse, after=3) == [] and len(stored(warehouse)) == 3
+    warehouse.commit(progress={"job": {"a": 3}})
+    warehouse.commit(progress={"job": {"b": 4}})
+    assert warehouse.progress("job") == {"a": 3, "b": 4} and warehouse.progress("other") == {}
+
+
+def test_which_tables_there_are(spark, warehouse):
+    assert not warehouse.has("t") and warehouse.tables() == []
+    warehouse.commit(warehouse.append("t", frame(spark, ("a", "d1", 1.0, 1))))
+    assert warehouse.has("t") and warehouse.tables() == ["t"]
+
+
 @pytest.mark.parametrize("partitions", [1, 6])
 def test_plain_frame_forms(spark, partitions):
     target = frame(spark, ("a", "d1", 1.0, 0)).drop("seq")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans import weblog
+from millrace.session import scratch_path
+from millrace.sources.files import read_log_lines
 from workload import table
 
 RUN = "run-1"
@@ -90,6 +92,13 @@ def success_rate(spark, sf):
     return weblog.success_series(summaries.withColumn("run_at_utc", day))
 
 
+def scan_log(spark, sf):
+    """The lines written as text files, read back and parsed."""
+    path = scratch_path(spark, "log")
+    log_lines(table(spark, sf, "events")).select(F.col("raw_line").alias("value")).write.text(path)
+    return shown(weblog.events(weblog.parse_combined(read_log_lines(spark, path))))
+
+
 QUERIES = {
     "log_parse_events": lambda s, d: shown(events(s, d)),
     "log_parse_json": lambda s, d: shown(weblog.events(weblog.parse_json(json_lines(table(s, d, "events"))))),
@@ -100,6 +109,7 @@ QUERIES = {
     "log_requests_per_hour_filled": lambda s, d: weblog.requests_per_hour_filled(
         events(s, d).filter(F.col("status_code") == 500)
     ),
+    "scan_log_text": scan_log,
     "log_status_mix": lambda s, d: weblog.status_mix(events(s, d)),
     "log_method_mix": lambda s, d: weblog.method_mix(events(s, d)),
     "log_top_paths": lambda s, d: weblog.top_paths(events(s, d)),
@@ -175,3 +185,4 @@ SELECT * FROM (
     CAST(count(*) FILTER (status_class <> 'success') AS DOUBLE) / count(*) * 100 AS error_rate
   FROM log GROUP BY 1) WHERE error_rate > 60""",
 }
+ORACLE["scan_log_text"] = ORACLE["log_parse_events"]

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.operators.rows import keep_latest
 from millrace.plans import prices
-from millrace.session import empty_table, write_once
-from millrace.sources.files import flatten_price_payload, restrict_to_keys
+from millrace.session import empty_table, scratch_path, write_once
+from millrace.sources.files import flatten_price_payload, read_landed_json, restrict_to_keys
+from millrace.sources.warehouse import Warehouse
 from workload import table
 
 CUT = "2024-01-15"
@@ -67,6 +69,53 @@ def json_flatten(spark, sf):
     return flatten_price_payload(landed)
 
 
+def landed_insert(spark, sf):
+    """Every price lands twice, the second time lower, in a later file; the first row of a key and time stays."""
+    events, path = table(spark, sf, "events"), scratch_path(spark, "landed")
+    for number, less in enumerate((0, 1)):
+        entry = F.struct((F.col("value") - less).alias("usd"), (F.col("value") * 1000).alias("usd_market_cap"))
+        payload = F.to_json(F.create_map(F.col("user_id").cast("string"), entry))
+        landed = events.select(payload.alias("payload"), F.col("ts").cast("timestamp").alias("fetched_at_utc"))
+        landed.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{path}/{number}")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.commit(*prices.load_landed(warehouse, read_landed_json(spark, f"{path}/*", schemas.LANDED_PRICES)))
+    return _as_given(warehouse.read("raw_price_snapshot", schemas.RAW_PRICES))
+
+
+def payload_rejects(spark, sf):
+    """Payloads that are missing, no JSON or empty, stored by the load beside the prices."""
+    every = lambda n: F.col("event_id") % n == 0
+    good = F.to_json(F.create_map(F.col("user_id").cast("string"), F.struct(F.col("value").alias("usd"))))
+    payload = F.when(every(11), "<html>").when(every(13), "{}").when(~every(7), good)
+    landed = table(spark, sf, "events").select(payload.alias("payload"), F.col("ts").cast("timestamp").alias("fetched_at_utc"))
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.commit(*prices.load_landed(warehouse, landed))
+    return _as_given(warehouse.read("price_payload_reject", schemas.PRICE_REJECTS))
+
+
+def _as_given(stored: DataFrame) -> DataFrame:
+    """Keys and times in the types of the events table."""
+    columns = {"fetched_at_utc": F.col("fetched_at_utc").cast("timestamp_ntz")}
+    if "coin_id" in stored.columns:
+        columns["coin_id"] = F.col("coin_id").cast("bigint")
+    return stored.withColumns(columns)
+
+
+def run_increment(spark, sf):
+    """The job itself, three times over a growing raw table and once with nothing new, beside a key that never appears."""
+    raw = raw_prices(spark, sf).select(*[F.col(f.name).cast(f.dataType) for f in schemas.RAW_PRICES])
+    keys = ["never", *(r.coin_id for r in raw.select("coin_id").distinct().collect())]
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    bounds = ["2024-01-01", "2024-01-10", CUT, "9999-01-01"]
+    for low, high in zip(bounds, bounds[1:]):
+        part = raw.filter((F.col("fetched_at_utc") >= low) & (F.col("fetched_at_utc") < high))
+        warehouse.commit(prices.load_snapshots(warehouse, part))
+        version = prices.run_increment(warehouse, keys)
+    if prices.run_increment(warehouse, keys) != version:
+        raise RuntimeError("a run without new rows has published something")
+    return _rounded(_as_given(warehouse.read("fact_price_hourly", schemas.FACT_PRICES)))
+
+
 def moving_avg(spark, sf):
     return _rounded(prices.price_metrics(raw_prices(spark, sf))).drop("pct_change_from_prev", "market_cap_usd")
 
@@ -111,6 +160,9 @@ QUERIES = {
     "price_snapshot_counts": lambda s, d: prices.snapshot_counts(raw_prices(s, d)),
     "price_json_flatten": json_flatten,
     "price_late_rows": late_rows,
+    "price_landed_insert": landed_insert,
+    "price_payload_rejects": payload_rejects,
+    "price_run_increment": run_increment,
     "price_alerts": lambda s, d: prices.price_alerts(
         prices.price_metrics(raw_prices(s, d)).drop("moving_avg_3"), threshold_pct=100.0
     ),
@@ -161,6 +213,13 @@ SELECT user_id AS coin_id, count(*) AS snapshots, max(ts) AS last_refresh FROM e
     "price_json_flatten": """
 SELECT CAST(user_id AS VARCHAR) AS coin_id, value AS price_usd, value * 1000 AS market_cap_usd, ts AS fetched_at_utc
 FROM events UNION ALL SELECT 'peg', 1.0, NULL, ts FROM events""",
+    "price_landed_insert": RAW,
+    "price_payload_rejects": """
+SELECT CASE WHEN event_id % 11 = 0 THEN '<html>' WHEN event_id % 13 = 0 THEN '{}' END AS payload, ts AS fetched_at_utc,
+  CASE WHEN event_id % 11 = 0 THEN 'no price map' WHEN event_id % 13 = 0 THEN 'empty price map' ELSE 'no payload' END
+    AS reject_reason
+FROM events WHERE event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 7 = 0""",
+    "price_run_increment": METRICS + "SELECT * FROM metrics",
     "price_late_rows": f"""
 WITH arrived AS (SELECT *, event_id % 7 = 0 OR ts >= TIMESTAMP '{CUT}' AS second_batch FROM events),
 mark AS (SELECT user_id, max(ts) AS mark FROM arrived WHERE NOT second_batch GROUP BY 1)

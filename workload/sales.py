@@ -186,11 +186,22 @@ def failed_gate(spark, sf):
 
 
 def scan_csv(spark, sf):
-    """The dirty rows written as CSV with shuffled columns, doubled quotes and line breaks, and read back by name."""
-    quoted = F.concat(F.lit('Say "hi", '), F.col("customer_name"), F.lit("\nto me"))
-    raw = raw_sales(spark, sf).withColumn("customer_name", F.when(_every("l_partkey", 3), quoted).otherwise(F.col("customer_name")))
+    """The order lines written as CSV with shuffled columns, doubled quotes and line breaks, and read back by name."""
+    quoted = F.concat(F.lit('Say "hi", '), F.col("c_name"), F.lit("\nto me"))
+    lines = _lines(spark, sf).select(
+        F.col("n_name").alias("city"),
+        F.col("p_retailprice").cast("string").alias("unit_price"),
+        F.when(~_every("l_partkey", 13), F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        F.lit("not asked for").alias("more"),
+        F.col("p_type").alias("category"),
+        F.concat(F.col("p_name"), F.lit(' 5" x,')).alias("product_name"),
+        _email().alias("customer_email"),
+        F.when(_every("l_partkey", 3), quoted).otherwise(F.col("c_name")).alias("customer_name"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("order_date"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("order_id"),
+    )
     path = scratch_path(spark, "csv")
-    raw.select(*sorted(schemas.SALES_COLUMNS, reverse=True)).write.option("header", True).option("escape", '"').csv(path)
+    lines.write.option("header", True).option("escape", '"').csv(path)
     return read_sales_csv(spark, path).drop("seq")
 
 
@@ -312,22 +323,13 @@ JOIN dim_product p ON c.product_name = p.product_name AND c.unit_price = p.unit_
 SELECT CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_id, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units
 FROM clean WHERE l_orderkey % 2 = 0 GROUP BY 1""",
     "scan_sales_csv": """
-WITH spoilt AS (
-  SELECT *, CASE WHEN c_custkey % 11 = 0 THEN ' ' WHEN c_custkey % 13 = 0 THEN NULL
-    WHEN c_custkey % 4 = 0 THEN chr(12288) || ' ' || c_name || chr(9) ELSE c_name END AS name,
-    CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
-      WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%Y-%-m-%-d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
-)
-SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS order_id,
-  CASE WHEN o_orderkey % 7 = 0 THEN ' ' || chr(9) || day || ' ' ELSE day END AS order_date,
-  CASE WHEN l_partkey % 3 = 0 THEN 'Say "hi", ' || name || chr(10) || 'to me' ELSE name END AS customer_name,
-  ' ' || lower(replace(c_name, '#', '.')) || '@mail.example ' AS customer_email,
-  CASE WHEN p_partkey % 5 = 0 THEN chr(9) || p_name ELSE p_name END AS product_name, p_type || ' ' AS category,
-  CASE WHEN l_partkey % 17 = 0 OR l_partkey % 13 = 0 THEN NULL ELSE ' ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS order_id, strftime(o_orderdate, '%d/%m/%Y') AS order_date,
+  CASE WHEN l_partkey % 3 = 0 THEN 'Say "hi", ' || c_name || chr(10) || 'to me' ELSE c_name END AS customer_name,
+  lower(replace(c_name, '#', '.')) || '@mail.example' AS customer_email, p_name || ' 5" x,' AS product_name, p_type AS category,
+  CASE WHEN l_partkey % 13 <> 0 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
   CAST(p_retailprice AS VARCHAR) AS unit_price, n_name AS city
-FROM spoilt""",
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey""",
     "scan_seed_csv": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "sales_revenue_by_category": f"""
 SELECT p_type AS category, {_REVENUE} AS total_revenue, count(*) AS total_orders
