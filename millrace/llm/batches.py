@@ -6,6 +6,8 @@ does not follow the number of rows in a batch; only one single text longer than
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -170,6 +172,33 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+@cache
+def _trim() -> Callable[[], object]:
+    try:
+        return functools.partial(ctypes.CDLL("libc.so.6").malloc_trim, 0)
+    except (OSError, AttributeError):  # another C library, which has its own ways
+        return lambda: None
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same work, after which the Python worker, which Spark keeps for later tasks, hands its free memory back."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in run(batches):
+                yield batch
+                del batch
+        finally:
+            release()
+
+    return wrapped
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    _trim()()
+
+
 Columns = Callable[[pa.RecordBatch], dict[str, pa.Array]]
 
 
@@ -202,5 +231,6 @@ def with_text_columns(
                 made = make(piece)
                 arrays = [piece[c] for c in kept]
                 yield pa.RecordBatch.from_arrays(arrays + list(made.values()), names=kept + list(made))
+            release()
 
-    return df.select(*read).mapInArrow(run, schema)
+    return df.select(*read).mapInArrow(tidy(run), schema)

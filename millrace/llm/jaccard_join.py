@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ..session import write_once
-from .batches import SPACED, Texts, Words, mix, range_hashes, slices, window_hashes
+from .batches import SPACED, Texts, Words, mix, range_hashes, slices, tidy, window_hashes
 from .components import components
 
 SHINGLE = 5
@@ -95,7 +95,7 @@ def _sets(docs: DataFrame, size: int, slots: int) -> DataFrame:
                     keys.append(set_key(found))
                     waiting.append(found >> shift)
                 held += sum(n)
-                if held > 2_000_000:
+                if held > 500_000:
                     uses += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=slots)
                     waiting, held = [], 0
                 none = [pa.nulls(len(n), kind) for kind in (pa.int32(), pa.binary(), pa.binary())]
@@ -113,7 +113,7 @@ def _sets(docs: DataFrame, size: int, slots: int) -> DataFrame:
         columns = [pa.array([b[i] for b in blocks], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))]
         yield pa.RecordBatch.from_arrays([none, none, none, none, *columns], names=_SETS.fieldNames())
 
-    return docs.mapInArrow(run, _SETS)
+    return docs.mapInArrow(tidy(run), _SETS)
 
 
 def _uses(found: DataFrame, slots: int) -> np.ndarray:
@@ -138,7 +138,7 @@ def _uses(found: DataFrame, slots: int) -> np.ndarray:
 
     blocks = found.filter("block IS NOT NULL").select("block", "slots", "uses")
     uses = np.zeros(slots, dtype=np.int64)
-    for row in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, uses binary").collect():
+    for row in blocks.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(run), "block int, uses binary").collect():
         uses[row.block * width : (row.block + 1) * width] = np.frombuffer(row.uses, dtype=np.int64)
     return uses
 
@@ -187,7 +187,7 @@ def _entries(docs: DataFrame, size: int, percent: int, uses: np.ndarray, list_li
                 if columns[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=_ENTRIES.fieldNames())
 
-    return docs.mapInArrow(run, _ENTRIES)
+    return docs.mapInArrow(tidy(run), _ENTRIES)
 
 
 _MEMBERS = StructType([StructField(c, LongType()) for c in ("k", "n", "pivot")])
@@ -229,7 +229,7 @@ def _members(entries: DataFrame, percent: int, any_heavy: bool) -> DataFrame:
             yield send(held)
 
     light = entries.filter("heavy = 0").select("token", "place", "k")
-    light = light.repartition("token").sortWithinPartitions("token", "place", "k").mapInArrow(run, _MEMBERS)
+    light = light.repartition("token").sortWithinPartitions("token", "place", "k").mapInArrow(tidy(run), _MEMBERS)
     if not any_heavy:
         return light.distinct()
     heavy = entries.filter("heavy = 1").select("token", "k", F.shiftright("place", _PLACE).alias("n")).distinct()
@@ -347,7 +347,7 @@ def _links(docs: DataFrame, owners: DataFrame, members: DataFrame, size: int, pe
         if len(sets) > 1:
             yield close()
 
-    return rows.repartition("pivot", "cell").sortWithinPartitions("pivot", "cell", "k").mapInArrow(run, _LINKS)
+    return rows.repartition("pivot", "cell").sortWithinPartitions("pivot", "cell", "k").mapInArrow(tidy(run), _LINKS)
 
 
 def jaccard_classes(

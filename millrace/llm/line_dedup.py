@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..session import write_once
-from .batches import SPACED, Texts, Words, mix, powers, with_text_columns
+from .batches import SPACED, Texts, Words, mix, powers, tidy, with_text_columns
 
 GRAM_WORDS = 25
 WINDOW_WORDS = 50
@@ -164,7 +164,7 @@ def _matched(pairs: DataFrame) -> DataFrame:
             runs = [pa.array([[r[side] for r in rows] for rows in found], pa.list_(pa.int32())) for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch["doc"], *runs], names=[*kept, *_RUNS.fieldNames()])
 
-    return pairs.select("doc", "lines", "source_lines", "pairs").mapInArrow(run, schema)
+    return pairs.select("doc", "lines", "source_lines", "pairs").mapInArrow(tidy(run), schema)
 
 
 def _order(doc_id: str, text: str) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from ..session import write_once
-from .batches import SPACED, Texts, Words, with_text_columns, without
+from .batches import SPACED, Texts, Words, tidy, with_text_columns, without
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -148,7 +148,7 @@ def _round(rows: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
     )
     fields = [rows.schema[c] for c in _ROUNDED]
     schema = StructType([StructField(f.name, f.dataType) for f in fields] + [StructField("_done", BooleanType())])
-    rounded = ready.mapInArrow(lambda batches: _round_sorted(batches, last), schema)
+    rounded = ready.mapInArrow(tidy(lambda batches: _round_sorted(batches, last)), schema)
     return write_once(rounded, f"mix-level-{level}")
 
 

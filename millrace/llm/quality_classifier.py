@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from ..session import write_once
-from .batches import SPACED, Texts, Words, with_text_columns, without
+from .batches import SPACED, Texts, Words, tidy, with_text_columns, without
 from .text_stats import SYMBOLS, duplicate_lines, repeat_words, sums
 
 FEATURES = 256
@@ -203,7 +203,7 @@ def _normal_equations(rows: DataFrame, fourier: Fourier, weights: tuple[float, f
         yield pa.RecordBatch.from_pydict({"block": pa.array(list(held), pa.int32()), "sums": packed})
 
     kind = StructType([StructField("block", IntegerType())]).add("sums", "binary")
-    merged = rows.select("statistics", "label").mapInArrow(add, kind).repartition("block").mapInArrow(merge, kind).collect()
+    merged = rows.select("statistics", "label").mapInArrow(tidy(add), kind).repartition("block").mapInArrow(tidy(merge), kind).collect()
     return np.concatenate([np.frombuffer(r.sums).reshape(-1, width) for r in sorted(merged, key=lambda r: r.block)])
 
 
@@ -244,7 +244,7 @@ def train(rows: DataFrame, chance: Column) -> Classifier:
             raw = np.clip(model.raw(_matrix(batch)), -0.5, 1.5)
             yield pa.RecordBatch.from_pydict({"raw": pa.array(raw), "label": batch["label"]})
 
-    held = split.filter("calibrates").select("statistics", "label").mapInArrow(scored, "raw double, label long")
+    held = split.filter("calibrates").select("statistics", "label").mapInArrow(tidy(scored), "raw double, label long")
     bins = held.groupBy(F.floor(F.col("raw") * BINS / 2).alias("bin")).agg(
         F.avg("raw").alias("raw"), F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")
     )
@@ -274,4 +274,4 @@ def score(rows: DataFrame, model: Classifier, keep: list[str] | None = None) ->
             made = pa.array(model.probability(_matrix(batch)), pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), made], names=[*kept, "score"])
 
-    return rows.select(*read).mapInArrow(run, schema)
+    return rows.select(*read).mapInArrow(tidy(run), schema)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from .batches import SPACED, Texts, Words, mix, slices, window_hashes, with_text_columns
+from .batches import SPACED, Texts, Words, mix, slices, tidy, window_hashes, with_text_columns
 from .text_stats import base_counts
 
 BUCKETS = 1 << 16
@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         yield pa.RecordBatch.from_pydict({"weights": [packed], "slope": [slope], "offset": [offset + slope * bias]})
 
     fitted = rows.coalesce(1).sortWithinPartitions("_id").select("text", "label", "calibrates")
-    found = fitted.mapInArrow(run, "weights binary, slope double, offset double").collect()
+    found = fitted.mapInArrow(tidy(run), "weights binary, slope double, offset double").collect()
     if not found:
         return None
     return Model(np.frombuffer(found[0].weights, dtype=np.float32).reshape(_KINDS, BUCKETS), found[0].slope, found[0].offset)
