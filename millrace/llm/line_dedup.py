@@ -4,11 +4,19 @@ A document is the sequence of its lines that hold a word; a line is known by the
 each line on that first reaches ``GRAM_WORDS`` words is a gram. Windows are the runs of lines that first reach
 ``WINDOW_WORDS`` words; each selects the smallest hash of the grams inside it, the first of equal ones. What a window
 selects depends on its lines alone, so a run of at least ``WINDOW_WORDS`` words that two documents share yields the same
-fingerprint in both: such runs are found for certain, and none of fewer than ``GRAM_WORDS`` words.
+fingerprint in both; runs of fewer than ``GRAM_WORDS`` words yield none. Every place of a fingerprint is joined with the
+first one in the corpus only, never with each other. From there the match is extended line by line to both sides, and all
+its lines are deleted from the later document.
 
-Every place of a fingerprint is joined with the first one in the corpus only, never with each other. From there the match
-is extended line by line to both sides. All lines of a match are deleted from the later document, so each deleted line
-still stands in an earlier place. The order of documents is that of their ids, null last, and of a hash of the text.
+Passages need not be whole lines, and the first place of a fingerprint need not hold the whole run. So every word that lies
+in a run of ``PASSAGE_WORDS`` words which stands in an earlier place too, in whatever lines, is deleted for certain, and
+with it a line that loses its last word. For this all runs of that many words are winnowed over hashes of ``GRAM_WORDS``
+words. Neighbouring runs that select the same gram make a span; a span with an earlier copy goes at once. The first places
+of all spans hold the first place of every run. Where several spans share a gram, their runs are compared one by one, by
+their hash, each with its own first place.
+
+Each deleted word still stands in an earlier place. The order of documents is that of their ids, null last, and of a hash
+of the text.
 
 Defined cases: null texts and texts without words stay as they are; lines without words are never deleted; a document
 that loses its last word goes; repeated rows (same id and text) are one document and share its fate; an empty table gives
@@ -31,8 +39,10 @@ from .batches import SPACED, Texts, Words, mix, powers, tidy, with_text_columns
 
 GRAM_WORDS = 25
 WINDOW_WORDS = 50
-#: Documents that lose lines are broadcast up to this many, and joined by shuffle beyond.
-BROADCAST_ROWS = 200_000
+#: Repeated runs of so many words go for certain, wherever in their lines they begin and end.
+PASSAGE_WORDS = 50
+#: Documents that lose lines are broadcast up to this many, with up to so many ranges in all, and joined by shuffle beyond.
+BROADCAST_ROWS, BROADCAST_RANGES = 200_000, 1_000_000
 
 _NEWLINE = 0x0A
 
@@ -56,6 +66,8 @@ class Lines:
         np.cumsum(words.hashes() * up[: len(of)], out=sums[1:])
         self.hashes = mix((sums[begin + self.words] - sums[begin]) * down[begin])
         self.starts = words.starts[begin]
+        self.begin = begin
+        self.of_words = words
 
     def fingerprints(self, gram_words: int, window_words: int) -> tuple[np.ndarray, np.ndarray]:
         """Lines at which a selected gram begins, and the hashes of these grams."""
@@ -167,6 +179,147 @@ def _matched(pairs: DataFrame) -> DataFrame:
     return pairs.select("doc", "lines", "source_lines", "pairs").mapInArrow(tidy(run), schema)
 
 
+class Runs:
+    """All runs of ``size`` words inside the texts of a slice, by the number of the word they begin with."""
+
+    def __init__(self, texts: Texts, size: int, gram_words: int):
+        self.words = Words.of(texts, SPACED)
+        self.size = size
+        hashes = self.words.hashes()
+        n = len(hashes)
+        self.up, self.down = powers(n + 1)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(hashes * self.up[:n], out=self.sums[1:])
+        begin = np.arange(n)
+        self.begin = begin[begin + size <= self.words.first[1:][self.words.text_of]]
+        self.gram_words = min(gram_words, size)
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[begin]) * self.down[begin])
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and last run of each row of neighbours that select the same gram, and the hash of that gram."""
+        if not len(self.begin):
+            return self.begin, self.begin, np.zeros(0, np.uint64)
+        place = np.arange(len(self.sums) - self.gram_words)
+        grams = self.hashes(place, place + self.gram_words)
+        # The smallest of the next 1, 2, 4, ... grams, the first of equal ones; then two such stretches cover a run.
+        wanted, best, length = self.size - self.gram_words + 1, place, 1
+        while 2 * length <= wanted:
+            best = self._smaller(grams, best[: len(best) - length], best[length:])
+            length *= 2
+        chosen = self._smaller(grams, best[self.begin], best[self.begin + wanted - length])
+        new = np.ones(len(chosen), dtype=bool)
+        new[1:] = (chosen[1:] != chosen[:-1]) | (np.diff(self.begin) > 1)
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(chosen)) - 1
+        return self.begin[at], self.begin[last], grams[chosen[at]]
+
+    @staticmethod
+    def _smaller(grams: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.where(grams[right] < grams[left], right, left)
+
+
+_SPANS = StructType([StructField(c, ArrayType(t)) for c, t in (("gram", LongType()), ("hash", LongType()), ("from", IntegerType()), ("to", IntegerType()))])
+
+
+def _spans(texts: DataFrame, size: int, gram_words: int) -> DataFrame:
+    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        runs = Runs(Texts.of(batch["text"]), size, gram_words)
+        low, last, grams = runs.spans()
+        bounds = np.searchsorted(low, runs.words.first)
+        base = runs.words.first[runs.words.text_of[low]] if len(low) else low
+        return {
+            "gram": _lists(grams.view(np.int64), bounds, pa.int64()),
+            "hash": _lists(runs.hashes(low, last + size).view(np.int64), bounds, pa.int64()),
+            "from": _lists(low - base, bounds, pa.int32()),
+            "to": _lists(last + size - base, bounds, pa.int32()),
+        }
+
+    return with_text_columns(texts, "text", _SPANS, make, ["doc"])
+
+
+_SINGLE = StructType([StructField("hash", ArrayType(LongType())), StructField("from", ArrayType(IntegerType()))])
+
+
+def _single_runs(texts: DataFrame, size: int, gram_words: int) -> DataFrame:
+    """Every run inside the spans (column ``spans``) of each text."""
+
+    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        runs = Runs(Texts.of(batch["text"]), size, gram_words)
+        spans = batch["spans"]
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False))])
+        flat = spans.flatten()
+        base = np.repeat(runs.words.first[:-1], np.diff(bounds))
+        low, each = flat.field("from").to_numpy() + base, flat.field("to").to_numpy() - flat.field("from").to_numpy() - size + 1
+        ends = np.concatenate([[0], np.cumsum(each)])
+        begin = np.arange(ends[-1]) - np.repeat(ends[:-1] - low, each)
+        return {
+            "hash": _lists(runs.hashes(begin, begin + size).view(np.int64), ends[bounds], pa.int64()),
+            "from": _lists(begin - np.repeat(base, each), ends[bounds], pa.int32()),
+        }
+
+    return with_text_columns(texts, "text", _SINGLE, make, ["doc"], also=["spans"])
+
+
+_WORD_RUNS = ArrayType(StructType([StructField("from", IntegerType()), StructField("to", IntegerType())]))
+_LOST = StructType([StructField("words", _WORD_RUNS)])
+
+
+def repeated_words(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", gram_words: int = GRAM_WORDS, passage_words: int = PASSAGE_WORDS
+) -> DataFrame:
+    """``doc`` of each document that has a run of words with an earlier copy, and ``words``: such runs, from and to."""
+    texts = docs.select(_order(doc_id, text).alias("doc"), F.col(text).alias("text"))
+    here = F.struct("doc", "from")
+    run = F.struct("from", "to")
+    written = write_once(_spans(texts, passage_words, gram_words), "spans")
+    # Most grams stand in one span only, whose runs stand nowhere else.
+    shared = written.select(F.explode("gram").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram")
+    # Written, so that a join with it can split the rows of a frequent gram.
+    shared = write_once(shared, "shared-grams")
+    spans = written.select("doc", F.explode(F.arrays_zip("gram", "hash", "from", "to")).alias("s")).select("doc", "s.*")
+    spans = write_once(spans.join(shared, "gram", "left_semi"), "shared-spans")
+    firsts = spans.groupBy("gram", "hash").agg(F.min(F.struct("doc", "from", "to")).alias("first"), F.count("*").alias("n"))
+    firsts = write_once(firsts, "first-spans")
+    copies = spans.join(firsts.filter("n > 1").select("hash", "gram", F.struct("first.doc", "first.from").alias("first")), ["gram", "hash"])
+    copies = copies.filter(here != F.col("first")).select("doc", run.alias("run"))
+
+    several = write_once(firsts.groupBy("gram").count().filter("count > 1").select("gram"), "doubtful-grams")
+    doubtful = firsts.join(several, "gram").select("first.*").groupBy("doc").agg(F.collect_list(run).alias("spans"))
+    single = write_once(_single_runs(texts.join(doubtful, "doc"), passage_words, gram_words), "single-runs")
+    single = single.select("doc", F.explode(F.arrays_zip("hash", "from")).alias("s")).select("doc", "s.*")
+    earliest = single.groupBy("hash").agg(F.min(here).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
+    earliest = write_once(earliest, "first-runs")
+    later = single.join(earliest, "hash").filter(here != F.col("first"))
+    later = later.select("doc", F.struct("from", (F.col("from") + passage_words).cast("int").alias("to")).alias("run"))
+    return _joined_up(copies.unionByName(later).groupBy("doc").agg(F.collect_set("run").alias("words")))
+
+
+def _joined_up(found: DataFrame) -> DataFrame:
+    """Each ``doc`` with its ``words``, in which ranges that overlap or touch are one."""
+    schema = StructType([found.schema["doc"], *_LOST])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["words"]
+            sizes, flat = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten()
+            base = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 32
+            low, high = (flat.field(c).to_numpy().astype(np.int64) + base for c in ("from", "to"))
+            order = np.argsort(low)
+            low, high = low[order], np.maximum.accumulate(high[order])
+            new = np.ones(len(low), dtype=bool)
+            new[1:] = low[1:] > high[:-1]
+            at = np.flatnonzero(new)
+            ends = high[np.append(at[1:], len(high)) - 1] if len(at) else high
+            bounds = np.searchsorted(low[at], np.arange(len(sizes) + 1, dtype=np.int64) << 32)
+            parts = [pa.array((x & 0xFFFFFFFF).astype(np.int32)) for x in (low[at], ends)]
+            ranges = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(parts, names=["from", "to"]))
+            yield pa.RecordBatch.from_arrays([batch["doc"], ranges], names=["doc", "words"])
+
+    return found.select("doc", "words").mapInArrow(tidy(run), schema)
+
+
 def _order(doc_id: str, text: str) -> Column:
     """What a document is known by, and sorted by."""
     return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(text).alias("key"))
@@ -192,6 +345,52 @@ def repeated_runs(
     return runs.groupBy("doc").agg(F.collect_set("run").alias("runs"))
 
 
+def _pairs(runs: pa.Scalar, low: str, high: str) -> list[tuple[int, int]]:
+    return list(zip(runs.values.field(low).to_pylist(), runs.values.field(high).to_pylist(), strict=True)) if runs.is_valid else []
+
+
+def _left(lines: Lines, i: int, line_runs: list[tuple[int, int]], word_runs: list[tuple[int, int]]) -> tuple[bytes, int]:
+    """What is left of text ``i`` without these runs of its lines and of its words, and how many lines went whole."""
+    words, texts = lines.of_words, lines.of_words.texts
+    a, b = (int(x) for x in lines.first[i : i + 2])
+    base, limit = (int(x) for x in words.first[i : i + 2])
+    dead = np.zeros(limit - base, dtype=bool)
+    for low, high in word_runs:
+        dead[low:high] = True
+    begin = lines.begin[a:b] - base
+    whole = np.add.reduceat(dead, begin, dtype=np.int64) == lines.words[a:b]
+    for low, high in line_runs:
+        whole[low:high] = True
+    low, high = int(texts.bounds[i]), int(texts.bounds[i + 1])
+    breaks = np.flatnonzero(texts.data[low:high] == _NEWLINE) + low
+    ends = np.append(breaks + 1, high)
+    starts = np.append(low, breaks + 1)
+    at = np.searchsorted(starts, lines.starts[a:b], "right") - 1
+    stays = np.ones(len(starts), dtype=bool)
+    stays[at[whole]] = False
+    # Cut out the dead words of lines that keep others, with the space after them, or before them at the end of a line.
+    line_of = np.repeat(np.arange(b - a), lines.words[a:b])
+    part = dead & ~whole[line_of]
+    cuts: dict[int, list[tuple[int, int]]] = {}
+    new = part.copy()
+    new[1:] &= ~(part[:-1] & (line_of[1:] == line_of[:-1]))
+    last = part.copy()
+    last[:-1] &= ~(part[1:] & (line_of[1:] == line_of[:-1]))
+    for x, y in zip(np.flatnonzero(new).tolist(), np.flatnonzero(last).tolist(), strict=True):
+        inner = y + 1 < len(dead) and line_of[y + 1] == line_of[y]
+        cut = (words.starts[base + x], words.starts[base + y + 1]) if inner else (words.ends[base + x - 1], words.ends[base + y])
+        cuts.setdefault(int(at[line_of[x]]), []).append((int(cut[0]), int(cut[1])))
+    kept = []
+    for k in np.flatnonzero(stays).tolist():
+        edge = int(starts[k])
+        for x, y in cuts.get(k, []):
+            kept.append(texts.data[edge:x].tobytes())
+            edge = y
+        kept.append(texts.data[edge : int(ends[k])].tobytes())
+    left = b"".join(kept)
+    return left[:-1] if not stays[-1] and left.endswith(b"\n") else left, int(whole.sum())
+
+
 def dedup_lines(
     docs: DataFrame,
     text: str = "text",
@@ -199,15 +398,25 @@ def dedup_lines(
     gram_words: int = GRAM_WORDS,
     window_words: int = WINDOW_WORDS,
     counts: bool = False,
+    passage_words: int | None = None,
 ) -> DataFrame:
     """``docs`` without the later places of repeated runs, and without documents that have lost all their words.
 
+    Without ``passage_words`` only whole lines go, those that the fingerprints find; ``PASSAGE_WORDS`` does the whole job.
+
     With ``counts`` every document stays, a text without words left becomes null, and ``n_lines`` (lines with words) and
     ``n_deleted`` are added.
     """
     runs = write_once(repeated_runs(docs, text, doc_id, gram_words, window_words), "line-runs")
-    lost = runs.select(F.col("doc").alias("_doc"), F.col("runs").alias("_runs"))
-    if lost.count() <= BROADCAST_ROWS:
+    if passage_words is None:
+        runs = runs.withColumn("words", F.lit(None).cast(_WORD_RUNS))
+    else:
+        words = repeated_words(docs, text, doc_id, passage_words=passage_words)
+        runs = write_once(runs.join(words, "doc", "full"), "all-runs")
+    lost = runs.select(F.col("doc").alias("_doc"), F.col("runs").alias("_runs"), F.col("words").alias("_words"))
+    ranges = sum(F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) for c in ("_runs", "_words"))
+    rows, total = lost.agg(F.count("*"), F.coalesce(F.sum(ranges), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and total <= BROADCAST_RANGES:
         lost = F.broadcast(lost)
     joined = docs.join(lost, _order(doc_id, text).eqNullSafe(F.col("_doc")), "left")
     added = StructType([StructField(text, StringType()), StructField("_n", LongType()), StructField("_gone", LongType()), StructField("_stays", BooleanType())])
@@ -217,29 +426,18 @@ def dedup_lines(
         lines = Lines(texts)
         n = np.diff(lines.first)
         gone = np.zeros(len(n), dtype=np.int64)
-        hit = pc.is_valid(batch["_runs"]).to_numpy(zero_copy_only=False)
+        hit = pc.or_(pc.is_valid(batch["_runs"]), pc.is_valid(batch["_words"])).to_numpy(zero_copy_only=False)
         edited = []
         for i in np.flatnonzero(hit).tolist():
-            dead = np.zeros(int(n[i]), dtype=bool)
-            for run in batch["_runs"][i].as_py():
-                dead[run["run_from"] : run["run_to"]] = True
-            gone[i] = dead.sum()
-            low, high = int(texts.bounds[i]), int(texts.bounds[i + 1])
-            breaks = np.flatnonzero(texts.data[low:high] == _NEWLINE) + low
-            ends = np.append(breaks + 1, high)
-            starts = np.append(low, breaks + 1)
-            at = np.searchsorted(starts, lines.starts[lines.first[i] : lines.first[i + 1]][dead], "right") - 1
-            stays = np.ones(len(starts), dtype=bool)
-            stays[at] = False
-            left = b"".join(texts.data[a:b].tobytes() for a, b in zip(starts[stays].tolist(), ends[stays].tolist(), strict=True))
-            edited.append((left[:-1] if not stays[-1] and left.endswith(b"\n") else left).decode())
+            left, gone[i] = _left(lines, i, _pairs(batch["_runs"][i], "run_from", "run_to"), _pairs(batch["_words"][i], "from", "to"))
+            edited.append(left.decode())
         new = pc.replace_with_mask(batch[text], pa.array(hit), pa.array(edited, batch[text].type))
         empty = (n > 0) & (gone == n)
         if counts:
             new = pc.if_else(pa.array(empty), pa.scalar(None, new.type), new)
         return {text: new, "_n": pa.array(n, pa.int64()), "_gone": pa.array(gone), "_stays": pa.array(~empty)}
 
-    out = with_text_columns(joined, text, added, make, keep=docs.columns, also=["_runs"])
+    out = with_text_columns(joined, text, added, make, keep=docs.columns, also=["_runs", "_words"])
     if counts:
         kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_deleted")]
         return out.select(*kept, F.col("_n").alias("n_lines"), F.col("_gone").alias("n_deleted"))

@@ -45,7 +45,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=True)
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=True, passage_words=line_dedup.PASSAGE_WORDS)
     return left.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
 
 

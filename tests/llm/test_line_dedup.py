@@ -108,3 +108,46 @@ def test_copies_go_and_short_repeats_stay(spark):
     rows = [(5, text, "en", "a", 0), (2, text, "en", "a", 0), (3, "a short line\nof it\n" + text[:40], "en", "a", 0), (4, "a short line\nof it", "en", "a", 0)]
     assert sorted(r.doc_id for r in line_dedup.dedup_lines(table(spark, rows)).collect()) == [2, 3, 4]
     assert line_dedup.dedup_lines(table(spark, [])).count() == 0
+
+
+def words_left(rows, size):
+    """Words of each row that lie in no run of ``size`` words with an earlier place; run by run."""
+    seen, left = set(), {}
+    for o in sorted(set((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        words = SPACED.findall(o[1] or "")
+        dead = set()
+        for i in range(len(words) - size + 1):
+            if (run := tuple(words[i : i + size])) in seen:
+                dead |= set(range(i, i + size))
+            seen.add(run)
+        left[o] = [w for i, w in enumerate(words) if i not in dead]
+    return left
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_inside_lines_equal_brute_force_over_runs(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    source = [f"s{i}" for i in range(400)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(r.randrange(1, 5)):
+            a = r.randrange(400)
+            words += source[a : a + r.choice([5, 19, 20, 21, 40, 120])] + [f"d{i}x{r.randrange(9)}" for _ in range(r.randrange(6))]
+        rows.append((i, "".join(w + r.choice([" ", " ", "  ", "\t", "\n"] if i % 2 else [" "]) for w in words), "en", "a", 0))
+    rows += [(70, "same " * 90, "en", "a", 0), rows[3], (None, rows[4][1], "en", "a", 0), (71, None, "en", "a", 0)]
+    # Grams and windows of lines beyond any text: what goes, goes as a passage.
+    docs = clashing(table(spark, rows))
+    got = line_dedup.dedup_lines(docs, gram_words=10**6, window_words=10**6, passage_words=20, counts=True).collect()
+    wanted = words_left(rows, 20)
+    assert Counter((r.doc_id, tuple(SPACED.findall(r.text or ""))) for r in got) == Counter((r[0], tuple(wanted[r[0], r[1]])) for r in rows)
+    assert sum(0 < len(wanted[r[0], r[1]]) < len(SPACED.findall(r[1] or "")) for r in rows) > 10
+
+
+def test_a_passage_inside_a_line_goes_word_by_word(spark):
+    passage = " ".join(f"p{j}" for j in range(50))
+    rows = [(i, f"start a{i} {passage}  b{i} tail\n\nlast line c{i}\n{passage}", "en", "a", 0) for i in (1, 2)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows), passage_words=line_dedup.PASSAGE_WORDS).collect()}
+    assert got == {1: f"start a1 {passage}  b1 tail\n\nlast line c1", 2: "start a2 b2 tail\n\nlast line c2"}
