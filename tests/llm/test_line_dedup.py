@@ -151,3 +151,11 @@ def test_a_passage_inside_a_line_goes_word_by_word(spark):
     rows = [(i, f"start a{i} {passage}  b{i} tail\n\nlast line c{i}\n{passage}", "en", "a", 0) for i in (1, 2)]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows), passage_words=line_dedup.PASSAGE_WORDS).collect()}
     assert got == {1: f"start a1 {passage}  b1 tail\n\nlast line c1", 2: "start a2 b2 tail\n\nlast line c2"}
+
+
+def test_a_run_goes_though_its_lines_stand_alone_in_earlier_documents(spark):
+    lines = [" ".join(f"{x}{j}" for j in range(25)) for x in "ab"]
+    rows = [(i, f"{line}\nq{i}", "en", "a", 0) for i, line in enumerate(lines)]
+    rows += [(i, f"x{i}\n{lines[0]}\n{lines[1]}", "en", "a", 0) for i in (2, 3)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows), passage_words=line_dedup.PASSAGE_WORDS).collect()}
+    assert got[3] == "x3"
