@@ -1,7 +1,7 @@
 """URL filter: association rules mined by FP-growth behind fixed host rules, in DataFrame functions only.
 
-A url is a set of tokens: its scheme, the words of its host and the host's suffixes, the first parts of its path, and the
-names in its query. Urls that a fixed rule blocks carry the label ``block``. FP-growth finds the token combinations that are
+A url is a set of tokens: its scheme, the words of its host and the host's suffixes, all parts of its path, and the names in
+its query. Urls that a fixed rule blocks carry the label ``block``. FP-growth finds the token combinations that are
 frequent among all urls, with and without the label. Confidence is the share of blocked urls among all urls that have the
 tokens, judged or not: taken among the judged ones alone it would spread a rule for one path over its whole host.
 Combinations with enough support and confidence become rules, unless a part of them is as sure. Each rule is filed in an inverted index under its least frequent token only. A url no fixed rule judges
@@ -27,6 +27,7 @@ from ..session import write_once
 HOST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
+#: Rules of every length are kept; up to this one the tests count all combinations.
 MAX_TOKENS = 3
 
 _LABEL = "=block"
@@ -66,7 +67,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         F.when(scheme != "", F.array(F.concat(F.lit("scheme:"), scheme))).otherwise(F.array().cast("array<string>")),
         F.transform(words, lambda x: F.concat(F.lit("host:"), x)),
         F.transform(F.filter(suffixes, lambda x: x != ""), lambda x: F.concat(F.lit("under:"), x)),
-        F.transform(F.slice(parts, 1, 2), lambda x: F.concat(F.lit("path:"), x)),
+        F.transform(parts, lambda x: F.concat(F.lit("path:"), x)),
         F.transform(names, lambda x: F.concat(F.lit("query:"), x)),
     ]
     return F.array_distinct(F.concat(*marked))
@@ -78,20 +79,20 @@ def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: floa
     baskets = rows.select(items.alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     sets = write_once(model.freqItemsets, "frequent-items")
-    found = sets.filter(F.array_contains("items", _LABEL) & (F.size("items") > 1) & (F.size("items") <= MAX_TOKENS + 1))
+    found = sets.filter(F.array_contains("items", _LABEL) & (F.size("items") > 1))
     found = found.select(F.sort_array(F.array_remove("items", _LABEL)).alias("rule"), F.col("freq").alias("support"))
     whole = sets.select(F.sort_array("items").alias("rule"), F.col("freq").alias("whole"))
     rules = found.join(whole, "rule").withColumn("confidence", F.col("support") / F.col("whole"))
     rules = write_once(rules.filter(F.col("confidence") >= min_confidence), "mined-rules")
-    # A longer rule that is no surer than one of its parts says nothing new.
-    shorter = rules.select(F.explode("rule").alias("token"), F.col("rule").alias("part"), F.col("confidence").alias("sure"))
-    longer = rules.select("rule", "confidence", F.explode("rule").alias("token")).join(shorter, "token")
-    longer = longer.filter((F.size("rule") > F.size("part")) & (F.size(F.array_except("part", "rule")) == 0) & (F.col("sure") >= F.col("confidence")))
-    rules = rules.join(longer.select("rule").distinct(), "rule", "left_anti")
     single = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("uses"))
     rarest = rules.select("rule", F.explode("rule").alias("token")).join(single, "token")
     rarest = rarest.groupBy("rule").agg(F.min(F.struct("uses", "token"))["token"].alias("filed"))
-    return rules.select("rule", "confidence", "support").join(rarest, "rule")
+    rules = write_once(rules.select("rule", "confidence", "support").join(rarest, "rule"), "filed-rules")
+    # A longer rule that is no surer than one of its parts says nothing new; it has the token its part is filed under.
+    shorter = rules.select(F.col("filed").alias("token"), F.col("rule").alias("part"), F.col("confidence").alias("sure"))
+    longer = rules.select("rule", "confidence", F.explode("rule").alias("token")).join(shorter, "token")
+    longer = longer.filter((F.size("rule") > F.size("part")) & (F.size(F.array_except("part", "rule")) == 0) & (F.col("sure") >= F.col("confidence")))
+    return rules.join(longer.select("rule").distinct(), "rule", "left_anti")
 
 
 def judge_urls(pages: DataFrame, url: str = "url", key: str = "page_id", **options) -> DataFrame:

@@ -133,5 +133,22 @@ def test_rules_equal_counting_all_combinations(spark):
     assert got == pytest.approx(brute_rules(baskets, 0.02, 0.8, url_filter.MAX_TOKENS))
 
 
+def test_rules_of_four_tokens_are_kept(spark):
+    import random
+
+    r = random.Random(3)
+    sets = [sorted(x for x in "abcd" if r.random() < 0.7) for _ in range(400)]
+    rows = spark.createDataFrame([(t, "block" if len(t) == 4 else None) for t in sets], "tokens array<string>, verdict string")
+    assert [(x.rule, x.confidence) for x in url_filter.mine(rows, 0.02, 0.8).collect()] == [(["a", "b", "c", "d"], 1.0)]
+
+
+def test_a_third_part_of_the_path_blocks(spark):
+    rows = [(i, f"https://shop{i}.example.com/de/a{i}/pills/{i}", None) for i in range(60)]
+    rows += [(100 + i, f"https://news{i}.example.com/en/b{i}/pills/{i}", None) for i in range(3)]
+    rows += [(200 + i, f"https://news{i}.example.com/en/c{i}/text/{i}", None) for i in range(80)]
+    got = {r.key: (r.verdict, r.mined) for r in url_filter.judge_urls(table(spark, rows, PAGES)).collect()}
+    assert {got[100 + i] for i in range(3)} == {("block", "path:pills")} and {got[200 + i][0] for i in range(80)} == {"allow"}
+
+
 def test_no_urls(spark):
     assert url_filter.judge_urls(table(spark, [], PAGES)).count() == 0
