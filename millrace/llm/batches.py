@@ -80,7 +80,8 @@ class Texts:
 
     @classmethod
     def of(cls, column: pa.Array) -> Texts:
-        column = pc.fill_null(column.cast(pa.large_string()), "")
+        kind = pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()
+        column = pc.fill_null(column.cast(kind), pa.scalar("", kind))
         if column.offset:
             column = pa.concat_arrays([column])
         _, bounds, data = column.buffers()

@@ -41,7 +41,8 @@ PERCENT = 80
 SLOTS = 1 << 20
 LIST_LIMIT = 20_000
 FAMILY_SHINGLES = 4_000_000
-#: Ids of documents that take part in a family are broadcast up to this many, and joined by shuffle beyond.
+#: Ids of documents with the families they take part in, two numbers each, are broadcast up to this many families in all, and
+#: joined by shuffle beyond.
 BROADCAST_ROWS = 1_000_000
 
 _BLOCK_SLOTS = 1 << 14
@@ -305,7 +306,7 @@ def family_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[i
 _LINKS = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
 
-def _links(docs: DataFrame, owners: DataFrame, members: DataFrame, size: int, percent: int, family_shingles: int) -> DataFrame:
+def exact_links(docs: DataFrame, owners: DataFrame, members: DataFrame, size: int, percent: int, family_shingles: int) -> DataFrame:
     """Links between sets, by their hashes, found within each family."""
     families = members.groupBy("pivot").agg(F.sum("n").alias("shingles"))
     parts = F.ceil(F.col("shingles") / F.lit(family_shingles)).cast("int")
@@ -319,7 +320,7 @@ def _links(docs: DataFrame, owners: DataFrame, members: DataFrame, size: int, pe
 
     wanted = owners.join(dealt.groupBy("k").agg(F.collect_list("family").alias("families")), "k")
     wanted = write_once(wanted.select(F.col("owner").alias("_owner"), "k", "families"), "join-wanted")
-    if wanted.count() <= BROADCAST_ROWS:
+    if (wanted.agg(F.sum(F.size("families"))).first()[0] or 0) <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_owner")))
     rows = rows.select("k", "text", F.explode("families").alias("f")).select("k", "text", "f.pivot", "f.cell")
@@ -372,7 +373,7 @@ def jaccard_classes(
     entries = _entries(docs, size, percent, uses, list_limit)
     members = write_once(_members(entries, percent, bool(_heavy(uses, list_limit).any())), "join-members")
     owners = sets.filter("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("owner"))
-    links = _links(docs, owners.select("k", "owner"), members, size, percent, family_shingles)
+    links = exact_links(docs, owners.select("k", "owner"), members, size, percent, family_shingles)
     labels = components(links)
 
     linked = owners.join(labels, F.col("k") == F.col("node")).select("k", "n", "owner", "label")

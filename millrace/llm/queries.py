@@ -10,7 +10,22 @@ from pyspark.sql import functions as F
 
 from ..session import write_once
 from .batches import bound_batches
-from . import decontaminate, jaccard_join, language_id, line_dedup, mixing, oracles, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
+from . import (
+    decontaminate,
+    divergence,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    manifest,
+    minhash,
+    mixing,
+    oracles,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    url_filter,
+)
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -110,6 +125,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(share == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return manifest.audit(table(spark, sf_dir, "documents"), F.when(tampered, lower).otherwise(F.col("text")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -121,10 +150,16 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_minhash": op12_minhash,
+    "op13_manifest": op13_manifest,
 }
 
 ORACLE = {
     "op4_decontaminate": oracles.OP4,
     "op5_secret_scan": oracles.OP5,
     "op9_jaccard_join": oracles.OP9,
+    "op11_source_divergence": oracles.OP11,
+    "op12_minhash": oracles.OP12,
+    "op13_manifest": oracles.OP13,
 }
