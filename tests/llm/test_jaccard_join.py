@@ -11,16 +11,16 @@ from millrace.llm.components import components
 from tests.llm.texts import SPACED, awkward, clashing, lower, table
 
 
-def shingles(text):
+def shingles(text, size=5):
     words = SPACED.findall(lower(text or ""))
-    if len(words) >= 5:
-        return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    if len(words) >= size:
+        return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
     return frozenset([tuple(words)] if words else [])
 
 
-def brute(rows):
+def brute(rows, size=5):
     """(id, set size, smallest id of the class) by comparing all pairs."""
-    sets = [shingles(r[1]) for r in rows]
+    sets = [shingles(r[1], size) for r in rows]
     label = list(range(len(rows)))
     for i, a in enumerate(sets):
         for j in range(i):

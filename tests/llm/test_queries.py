@@ -35,7 +35,7 @@ def test_equals_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 def test_languages_of_held_out_documents(spark, docs):
