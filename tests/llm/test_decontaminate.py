@@ -38,7 +38,7 @@ texts = st.lists(st.sampled_from(["a", "b", "C", "é", "c3"]), max_size=25).map(
 def test_automaton_finds_what_brute_force_finds(samples, docs, size):
     items = [(str(i), t) for i, t in enumerate(samples)]
     words = Words.of(Texts.of(pa.array(docs, pa.string())), WORD_BYTES)
-    spans, names = decontaminate.Automaton(items, size).scan(words.hashes(lower=True), words.first)
+    spans, names = decontaminate.Automaton(items, size).pack().scan(words.hashes(lower=True), words.first)
     for doc, mine, found in zip(docs, spans, names, strict=True):
         _, hit, wanted = brute(items, doc, size)
         assert {i for a, b in mine for i in range(a, b)} == hit and found == wanted
@@ -85,3 +85,12 @@ def test_empty_tables(spark):
     untouched = decontaminate.decontaminate(table(spark, rows), table(spark, [], ITEMS))
     assert Counter(tuple(r) for r in untouched.collect()) == Counter(rows)
     assert decontaminate.find_spans(table(spark, []), table(spark, [(1, "a b")], ITEMS)).count() == 0
+
+
+def test_many_shards_and_removal_equal_one(spark):
+    rows = awkward(seed=3)
+    items = [(i, " ".join(ALPHANUMERIC.findall(r[1])[: 6 + i % 20])) for i, r in enumerate(rows[:30])]
+    for run in (decontaminate.find_spans, decontaminate.decontaminate):
+        one, many = (run(clashing(table(spark, rows)), table(spark, items, ITEMS), shard_bytes=b) for b in (1 << 20, 100))
+        assert one.columns == many.columns
+        assert Counter(map(str, one.collect())) == Counter(map(str, many.collect()))
