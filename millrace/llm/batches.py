@@ -54,7 +54,6 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64))
 
 
-@cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     inverse = pow(_MULTIPLIER, -1, 1 << 64)
@@ -66,8 +65,12 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+_usual_powers = cache(lambda: _powers(2 * SLICE_BYTES))
+
+
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(19, (max(size, 1) - 1).bit_length()))
+    """Of the size of a slice they are kept; those for a single longer text are not."""
+    up, down = _usual_powers() if size <= 2 * SLICE_BYTES else _powers(size)
     return up[:size], down[:size]
 
 
