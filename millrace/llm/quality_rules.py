@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+from ..session import write_once
 from .batches import SPACED, Texts, Words, mix, slices, tidy, window_hashes, with_text_columns
 from .text_stats import base_counts
 
@@ -134,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     marked = marked.filter(F.pmod(chance, F.lit(steps)) < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
     marked = marked.withColumn("calibrates", F.pmod(F.xxhash64("_id", F.lit(6)), F.lit(CALIBRATION_SHARE)) == 0)
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(marked), "_id")
+    rows = write_once(rows, "quality-sample")  # many tasks read the documents, one the bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[tuple[np.ndarray, np.ndarray]] = []
@@ -153,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         packed = weights.astype(np.float32).tobytes()
         yield pa.RecordBatch.from_pydict({"weights": [packed], "slope": [slope], "offset": [offset + slope * bias]})
 
-    fitted = rows.coalesce(1).sortWithinPartitions("_id").select("text", "label", "calibrates")
+    fitted = rows.repartition(1).sortWithinPartitions("_id", "text").select("text", "label", "calibrates")
     found = fitted.mapInArrow(tidy(run), "weights binary, slope double, offset double").collect()
     if not found:
         return None

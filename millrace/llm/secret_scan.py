@@ -7,8 +7,9 @@ repositories are counted (partial sums per task, so a value that a third of the
 candidates of the further kinds are added where the value is owned: at most ``MAX_OWNERS`` owners and ``MAX_REPOSITORIES``
 repositories hold it, counted over all kinds.
 
-Positions are in code points, ends exclusive. Matches of a kind are leftmost and do not overlap; their positions follow
-from the lengths of the matches and of the pieces between them.
+Positions are in code points, ends exclusive. Matches of a kind are leftmost and do not overlap; their positions are
+running sums of the lengths of the matches and of the pieces between them, taken over rows, so that the work grows with the
+number of matches even if one text has very many.
 
 Defined cases: a null text has no spans; a null owner or repository is not counted, so a value held by such rows alone is
 owned; repeated rows have equal spans and do not count twice; an empty table gives an empty result.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_once
@@ -52,29 +53,29 @@ MAX_OWNERS = 2
 MAX_REPOSITORIES = 20
 
 
-def _spans(text: Column, number: int) -> Column:
-    """Spans of a kind: start, number of the kind, end, and the value."""
-    kind = KINDS[number]
+def _parts(text: Column, kind: Kind) -> Column:
+    """Matches of a kind in order: the length of what is before each, its own length, and its value. No part of it is
+    computed more than once for a text."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)) if kind.group else matches
-    pieces = F.split(text, kind.pattern, -1)
-
-    def total(parts: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), count), F.lit(0), lambda n, part: n + F.length(part))
-
-    def span(match: Column, k: Column) -> Column:
-        start = total(pieces, k + 1) + total(matches, k)
-        value = F.element_at(values, k + 1)
-        return F.struct(
-            start.alias("start"), F.lit(number).alias("kind"), (start + F.length(match)).alias("end"), value.alias("value")
-        )
-
-    fits = lambda s: F.length(s["value"]) >= kind.least
-    found = F.filter(F.transform(matches, span), fits)
-    if kind.mixed:
-        found = F.filter(found, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    return F.when(text.rlike(kind.quick), found).otherwise(none)
+    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
+    before = F.transform(F.split(text, kind.pattern, -1), F.length)
+    parts = F.arrays_zip(before.alias("before"), F.transform(matches, F.length).alias("size"), values.alias("value"))
+    none = F.array().cast("array<struct<before:int,size:int,value:string>>")
+    return F.when(text.rlike(kind.quick), parts).otherwise(none)
+
+
+def _spans(rows: DataFrame) -> DataFrame:
+    """A row for each span: ``row, start, kind, end, value``. Positions are running sums over a text's matches of a kind."""
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(k.name).alias("parts")) for i, k in enumerate(KINDS)])
+    some = rows.filter(" OR ".join(f"size({k.name}) > 0" for k in KINDS)).select("row", F.explode(kinds).alias("of"))
+    each = some.select("row", "of.kind", F.posexplode("of.parts").alias("k", "part")).select("row", "kind", "k", "part.*")
+    so_far = Window.partitionBy("row", "kind").orderBy("k")
+    end = F.sum(F.col("before") + F.coalesce("size", F.lit(0))).over(so_far)
+    placed = each.withColumn("end", end.cast("int")).filter("size IS NOT NULL")  # behind the last match is no other
+    fits, mixed = F.lit(False), F.col("value").rlike("[0-9]") & F.col("value").rlike("[a-z]") & F.col("value").rlike("[A-Z]")
+    for i, kind in enumerate(KINDS):
+        fits |= (F.col("kind") == i) & (F.length("value") >= kind.least) & (mixed if kind.mixed else F.lit(True))
+    return placed.filter(fits).select("row", (F.col("end") - F.col("size")).alias("start"), "kind", "end", "value")
 
 
 def _named(spans: Column) -> Column:
@@ -103,32 +104,31 @@ def find_secrets(
     """
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(doc_id).alias("doc_id"),
         F.col(owner).cast("string").alias("owner"),
         F.col(repository).cast("string").alias("repository"),
-        F.xxhash64(content).alias("key"),
-        *[_spans(content, i).alias(kind.name) for i, kind in enumerate(KINDS)],
+        *[_parts(content, kind).alias(kind.name) for kind in KINDS],
     )
-    held = F.concat(*[F.col(k.name) for k in BASE])
-    outside = [
-        F.filter(k.name, lambda s: ~F.exists(held, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))) for k in FURTHER
-    ]
-    hashed = F.transform(
-        F.concat(held, *outside),
-        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.xxhash64(s["value"]).alias("hash")),
+    rows = write_once(rows, "secret-matches")
+    # A further span lies in a fixed one if a fixed one that starts no later ends no earlier.
+    up_to = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(F.col("kind") < len(BASE), F.col("end"))).over(up_to)
+    spans = _spans(rows).withColumn("_reach", reach).filter((F.col("kind") < len(BASE)) | F.col("_reach").isNull() | (F.col("_reach") < F.col("end")))
+    spans = write_once(spans.select("row", "start", "kind", "end", F.xxhash64("value").alias("hash")), "secret-spans")
+
+    held = spans.join(rows.select("row", "owner", "repository"), "row")
+    spread = held.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories"))
+    owned = spread.filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("hash", F.lit(True).alias("live"))
+    span = F.struct("start", "kind", "end")
+    listed = spans.join(owned, "hash", "left").groupBy("row").agg(
+        F.collect_list(F.when(F.col("kind") < len(BASE), span)).alias("fixed"), F.collect_list(F.when(F.col("live"), span)).alias("owned")
     )
-    rows = write_once(rows.select("doc_id", "owner", "repository", "key", hashed.alias("spans")), "secret-spans")
-
-    each = rows.filter(F.size("spans") > 0).select("doc_id", "key", "owner", "repository", F.explode("spans").alias("span"))
-    spread = each.groupBy("span.hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories"))
-    owned = spread.filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("hash")
-    mine = each.select("doc_id", "key", "span", F.col("span.hash").alias("hash")).join(owned, "hash")
-    mine = mine.groupBy("doc_id", "key").agg(F.collect_set("span").alias("owned"))
-    mine = mine.select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), "owned")
-    joined = rows.join(mine, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key")), "left")
-
-    base = _of_kinds("spans", 0, len(BASE))
-    spans = F.when(F.col("owned").isNull(), base).otherwise(F.concat(base, _of_kinds("owned", len(BASE), len(KINDS))))
-    counts = [F.size(_of_kinds("spans", i, i + 1)).cast("long").alias(f"n_{k.name}") for i, k in enumerate(BASE)]
-    n_owned = F.coalesce(F.size("owned"), F.lit(0)).cast("long")
-    return joined.select("doc_id", *counts, _named(base).alias("base"), _named(spans).alias("spans"), n_owned.alias("n_owned"))
+    joined = rows.select("row", "doc_id").join(listed, "row", "left")
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    joined = joined.select("doc_id", F.coalesce("fixed", none).alias("fixed"), F.coalesce("owned", none).alias("owned"))
+
+    counts = [F.size(_of_kinds("fixed", i, i + 1)).cast("long").alias(f"n_{k.name}") for i, k in enumerate(BASE)]
+    spans = F.concat("fixed", _of_kinds("owned", len(BASE), len(KINDS)))
+    n_owned = F.size("owned").cast("long")
+    return joined.select("doc_id", *counts, _named(F.col("fixed")).alias("base"), _named(spans).alias("spans"), n_owned.alias("n_owned"))

@@ -4,7 +4,9 @@ A url is a set of tokens: its scheme, the words of its host and the host's suffi
 its query. Urls that a fixed rule blocks carry the label ``block``. FP-growth finds the token combinations that are
 frequent among all urls, with and without the label. Confidence is the share of blocked urls among all urls that have the
 tokens, judged or not: taken among the judged ones alone it would spread a rule for one path over its whole host.
-Combinations with enough support and confidence become rules, unless a part of them is as sure. Each rule is filed in an inverted index under its least frequent token only. A url no fixed rule judges
+Combinations with enough support and confidence become rules, unless a part of them is as sure. Tokens that stand in exactly
+the same urls, as those of one host do, are one token to the rules, the first of them in order: else each of them would double
+the number of frequent combinations. Each rule is filed in an inverted index under its least frequent token only. A url no fixed rule judges
 meets the rules filed under one of its tokens, a match is a rule whose tokens it all has, and the most confident match
 blocks it; without a match it is allowed.
 
@@ -27,8 +29,6 @@ from ..session import write_once
 HOST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-#: Rules of every length are kept; up to this one the tests count all combinations.
-MAX_TOKENS = 3
 
 _LABEL = "=block"
 
@@ -73,10 +73,24 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(*marked))
 
 
+def _first_of_equals(each: DataFrame, least: float) -> DataFrame:
+    """Of the tokens that stand in exactly the same rows, ``least`` or more, the first one. Rows are told by two hashes."""
+    cover = each.filter("token IS NOT NULL").groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")
+    )
+    return cover.filter(F.col("n") >= least).groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token")
+
+
 def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules from all rows, with ``tokens`` and ``verdict``: ``rule`` (sorted tokens), ``confidence``, ``support``, ``filed``."""
+    rows = write_once(rows.select(F.monotonically_increasing_id().alias("row"), "tokens", "verdict"), "url-tokens")
+    each = rows.select("row", "verdict", F.explode_outer("tokens").alias("token"))
+    first = write_once(_first_of_equals(each, min_support * rows.count()), "url-first-tokens")
+    # Each of them has a share of the urls, so their number is bounded by a url's tokens over the support.
+    kept = each.join(F.broadcast(first.withColumn("_first", F.lit(True))), "token", "left")
+    baskets = kept.groupBy("row", "verdict").agg(F.collect_set(F.when(F.col("_first"), F.col("token"))).alias("tokens"))
     items = F.when(F.col("verdict") == "block", F.concat("tokens", F.array(F.lit(_LABEL)))).otherwise(F.col("tokens"))
-    baskets = rows.select(items.alias("items"))
+    baskets = write_once(baskets.select(items.alias("items")), "url-baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     sets = write_once(model.freqItemsets, "frequent-items")
     found = sets.filter(F.array_contains("items", _LABEL) & (F.size("items") > 1))

@@ -130,7 +130,7 @@ def test_rules_equal_counting_all_combinations(spark):
         baskets.append((sorted(tokens), bool(tokens >= {"a", "b"} or ("c" in tokens and r.random() < 0.85))))
     rows = spark.createDataFrame([(t, "block" if b else None) for t, b in baskets], "tokens array<string>, verdict string")
     got = {tuple(x.rule): x.confidence for x in url_filter.mine(rows, 0.02, 0.8).collect()}
-    assert got == pytest.approx(brute_rules(baskets, 0.02, 0.8, url_filter.MAX_TOKENS))
+    assert got == pytest.approx(brute_rules(baskets, 0.02, 0.8, 6))
 
 
 def test_rules_of_four_tokens_are_kept(spark):
@@ -150,5 +150,23 @@ def test_a_third_part_of_the_path_blocks(spark):
     assert {got[100 + i] for i in range(3)} == {("block", "path:pills")} and {got[200 + i][0] for i in range(80)} == {"allow"}
 
 
+def test_tokens_that_stand_together_do_not_multiply_the_rules(spark):
+    shared = "/".join(f"p{j}" for j in range(25))
+    rows = [(i, f"https://a.b.shop{i}.example.com/{'de' if i < 70 else 'en'}/{shared}/{i}", None) for i in range(75)]
+    rows += [(200 + i, f"https://news{i}.example.com/en/{i}", None) for i in range(75)]
+    got = {r.key: (r.verdict, r.mined) for r in url_filter.judge_urls(table(spark, rows, PAGES)).collect()}
+    assert {got[i] for i in range(70, 75)} == {("block", "host:a")}  # sure at 70 of 75, and the first of its equals
+    assert {got[200 + i][0] for i in range(75)} == {"allow"}
+
+
+def test_many_matches_in_one_text(spark):
+    hexes = " ".join(f"{i:024x}" for i in range(100_000))
+    text = f"{hexes} token=abcdef0 https://me:hunter22@x/ {'aB3' * 9}"
+    got = secret_scan.find_secrets(table(spark, [(1, text, "en", "a", 0), (2, "x", "en", "a", 0)])).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].base == written(base(text)) and (by_id[1].n_hex, by_id[1].n_assign) == (100_000, 1)
+    assert by_id[1].n_owned == 100_003 and by_id[2].spans == ""
+
+
 def test_no_urls(spark):
     assert url_filter.judge_urls(table(spark, [], PAGES)).count() == 0
