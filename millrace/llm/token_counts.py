@@ -4,11 +4,12 @@ The vocabulary has no piece in which white space follows something else, so no m
 segment: a run of white space with the text up to the next one. Segments are therefore encoded apart, and a text's
 count at the end of each segment is a sum. Inside a segment a dynamic program over its prefixes finds the counts: the
 encoding of a prefix is that of a shorter prefix and one more piece, and a piece may follow another one exactly if the
-pair encodes to itself. That gives the token count at every prefix of the text, from which truncation points and
-budget questions are read off without encoding anything again.
+pair encodes to itself. That gives the token count at every prefix of the text, from which the count of the whole text,
+truncation points and budget questions are read off without encoding anything again. ``with_prefix_counts`` stores the
+counts beside the text; ``fitting_prefix`` and ``tokens_from`` answer from the stored ones alone.
 
-A task counts each distinct segment once, in a table that is emptied when it holds ``CACHE_SEGMENTS``; texts with few
-long segments cost what the library costs.
+A task runs the program once for each distinct segment and keeps its prefix counts, in a table that is emptied when it holds
+``CACHE_SEGMENTS``. Every new segment's count is then held against the library's; a difference fails the job.
 
 Defined cases: a null text counts as empty: no bytes, no tokens; repeated rows are counted one by one; an empty table
 gives an empty result; a computed column replaces one of the same name.
@@ -23,13 +24,14 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from .batches import with_text_columns
 
 LIMIT = 4096
-CACHE_SEGMENTS = 1_000_000
+CACHE_SEGMENTS = 300_000
 #: Segments longer than this are encoded each time: they seldom recur and would fill the table.
 CACHED_LENGTH = 64
 
@@ -52,7 +54,7 @@ class PrefixCounter:
         control = (self.library.is_control, self.library.is_unknown, self.library.is_byte, self.library.is_unused)
         self.pieces = {p for i, p in enumerate(pieces) if not any(kind(i) for kind in control)}
         self.longest = max(map(len, self.pieces))
-        self.known: dict[str, int] = {}
+        self.known: dict[str, np.ndarray] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
 
     @staticmethod
@@ -65,13 +67,16 @@ class PrefixCounter:
         found = self.library.encode([s[1:] for s in segments], num_threads=1)
         return [len(ids) if len(s) > 1 else 1 for s, ids in zip(segments, found, strict=True)]
 
-    def counts(self, segments: list[str]) -> list[int]:
-        """Token count of each segment."""
+    def inside(self, segments: list[str]) -> list[np.ndarray]:
+        """Token counts of the prefixes of 1, 2, ... characters of each segment."""
         known = self.known
         found = list(map(known.get, segments))
-        if None in found:
-            fresh = list({s for s, n in zip(segments, found, strict=True) if n is None})
-            new = dict(zip(fresh, self._encoded(fresh), strict=True))
+        fresh = list({s for s, n in zip(segments, found, strict=True) if n is None})
+        if fresh:
+            new = {s: self._inside(s) for s in fresh}
+            for s, n in zip(fresh, self._encoded(fresh), strict=True):
+                if new[s][-1] != n:
+                    raise ValueError(f"{s!r} has {n} tokens, not {new[s][-1]}: this model's pieces do not follow from pairs")
             found = [new[s] if n is None else n for s, n in zip(segments, found, strict=True)]
             if len(known) > CACHE_SEGMENTS:
                 known.clear()
@@ -79,16 +84,32 @@ class PrefixCounter:
         return found
 
     def count(self, text: str) -> int:
-        return sum(self.counts(self.segments(text)))
+        return int(self.prefix_counts(text)[-1])
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, 2, ... characters of ``text``."""
-        out, before = [np.zeros(1, dtype=np.int64)], 0
-        for number, segment in enumerate(self.segments(text)):
-            inside = self._inside(segment)
-            out.append(before + (inside[1:] if number == 0 else inside))
-            before += int(inside[-1])
-        return np.concatenate(out)
+        return self.of_texts([text])[0][0]
+
+    def of_texts(self, texts: list[str], limit: int = 0, every: bool = True) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Counts at every prefix of each text (if ``every``), at its end, and the longest prefix of ``limit`` tokens at most.
+
+        A text's first segment begins with a space that the library adds, so its first count is that of no character.
+        """
+        parts = [self.segments(t) for t in texts]
+        inside = iter(self.inside([s for p in parts for s in p]))
+        prefixes, totals, cuts = [], [], []
+        for text, segments in zip(texts, parts, strict=True):
+            own = [next(inside) for _ in segments]
+            ends = np.cumsum([0, *(n[-1] for n in own)])
+            total = int(ends[-1])
+            counts = None
+            if every or total > limit:
+                counts = np.concatenate([n + before for n, before in zip(own, ends, strict=False)]) if own else np.zeros(1, dtype=np.int64)
+                counts[0] = 0
+            prefixes.append(counts)
+            totals.append(total)
+            cuts.append(len(text) if total <= limit else int(np.flatnonzero(counts <= limit)[-1]))
+        return prefixes, np.array(totals, dtype=np.int64), np.array(cuts, dtype=np.int64)
 
     def _follows(self, left: str, right: str) -> bool:
         """Whether the pieces side by side are the encoding of their text; ``left`` may be empty."""
@@ -116,18 +137,11 @@ class PrefixCounter:
                     break
             else:  # a character without a piece is spelt out in bytes
                 count[end], last[end] = count[end - 1] + len(text[end - 1].encode()), ""
-        return np.array(count[1:], dtype=np.int64)
+        return np.array(count[1:], dtype=np.int32)
 
     def longest_within(self, text: str, limit: int) -> int:
-        """Characters of the longest prefix of at most ``limit`` tokens; only the segment it ends in is looked into."""
-        parts = self.segments(text)
-        ends = np.cumsum(self.counts(parts))
-        at = int(np.searchsorted(ends, limit, "right"))
-        if at == len(parts):
-            return len(text)
-        before, spent = sum(map(len, parts[:at])), int(ends[at - 1]) if at else 0
-        fitting = np.flatnonzero(self._inside(parts[at]) <= limit - spent)
-        return max(0, before - 1 + (int(fitting[-1]) + 1 if len(fitting) else 0))
+        """Characters of the longest prefix of at most ``limit`` tokens."""
+        return int(self.of_texts([text], limit, every=False)[2][0])
 
 
 @cache
@@ -152,17 +166,38 @@ def count_tokens(
         tokens = counter(model_file())
         texts = pc.fill_null(batch[text], "")
         whole = texts.to_pylist()
-        parts = [tokens.segments(t) for t in whole]
-        bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(tokens.counts([s for p in parts for s in p]))]).astype(np.int64)
-        n = ends[bounds[1:]] - ends[bounds[:-1]]
-        over = n > limit
-        cut = [tokens.longest_within(t, limit) if o else len(t) for t, o in zip(whole, over.tolist(), strict=True)]
+        _, n, cut = tokens.of_texts(whole, limit, every=False)
         return {
             "n_bytes": pc.cast(pc.binary_length(texts), pa.int64()),
             "n_tokens": pa.array(n, pa.int64()),
-            "over_limit": pa.array(over),
+            "over_limit": pa.array(n > limit),
             "cut_at": pa.array(cut, pa.int64()),
         }
 
     return with_text_columns(docs, text, _TOKENS, make, keep)
+
+
+_PREFIXES = StructType([StructField("prefix_tokens", ArrayType(IntegerType()))])
+
+
+def with_prefix_counts(docs: DataFrame, model_file: Callable[[], str], text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Add ``prefix_tokens``: the token counts of the text's prefixes of 0, 1, 2, ... characters."""
+
+    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        found, _, _ = counter(model_file()).of_texts(pc.fill_null(batch[text], "").to_pylist())
+        ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+        return {"prefix_tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))}
+
+    return with_text_columns(docs, text, _PREFIXES, make, keep)
+
+
+def fitting_prefix(limit: Column | int, counts: Column | str = "prefix_tokens") -> Column:
+    """Characters of the longest prefix of at most ``limit`` tokens, read off stored counts; a prefix may have more tokens
+    than a longer one, so it is the last that fits."""
+    at = F.transform(counts, lambda n, i: F.when(n <= limit, i))
+    return F.array_max(at)
+
+
+def tokens_from(prefix: Column | int, counts: Column | str = "prefix_tokens") -> Column:
+    """Tokens of the whole text beyond those of the prefix of so many characters, read off stored counts."""
+    return F.element_at(counts, -1) - F.element_at(counts, F.lit(prefix) + 1)

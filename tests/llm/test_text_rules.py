@@ -51,6 +51,19 @@ def test_token_columns(spark, counter, monkeypatch):
     assert token_counts.count_tokens(table(spark, []), piece_model).count() == 0
 
 
+def test_stored_prefix_counts_answer_budget_questions(spark, counter):
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate([*ODD, None, *[(r[1] or "")[:150] for r in awkward()[:12]]])]
+    stored = token_counts.with_prefix_counts(clashing(table(spark, rows)), piece_model, keep=["doc_id"])
+    got = {r.doc_id: r for r in stored.select("*", token_counts.fitting_prefix(6).alias("cut"), token_counts.tokens_from(0).alias("whole")).collect()}
+    for i, text, *_ in rows:
+        text = text or ""
+        counts = [len(counter.library.encode(text[:n])) for n in range(len(text) + 1)]
+        assert got[i].prefix_tokens == counts
+        assert (got[i].cut, got[i].whole) == (max(n for n, c in enumerate(counts) if c <= 6), counts[-1])
+    cuts = token_counts.count_tokens(table(spark, rows), piece_model, limit=6, keep=["doc_id"]).collect()
+    assert {r.doc_id: r.cut_at for r in cuts} == {i: r.cut for i, r in got.items()}
+
+
 def plain_counts(text):
     words, seen, duplicates = SPACED.findall(text or ""), set(), 0
     for line in (text or "").split("\n"):
