@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from millrace import schemas
 from millrace.functions import missing_markers_to_null
 from millrace.functions.text import WHITESPACE
+from millrace.sources.csv_blocks import read_csv_blocks
 
 
 def ingest_order() -> Column:
@@ -34,8 +35,8 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line:
     """The named columns of CSV files as text, found by their name in the header, in whatever order it has them.
 
     Doubled quotes stand for one, a quoted field may hold line breaks, and a row that is too short ends in nulls. Files
-    under one path must agree in their header; a missing column is an error. A file that may hold line breaks can only be
-    read from its start, by one task: land large inputs as many files, or say that no field holds a line break.
+    under one path must agree in their header; a missing column is an error. ``multi_line`` reads each file by one task;
+    for large files see ``read_csv_parallel``.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     header = reader.csv(path).columns
@@ -46,12 +47,28 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line:
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
-def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Sales rows with every column as text, missing markers as null, and ``seq``, the ingest order."""
-    rows = read_csv(spark, path, schemas.SALES_COLUMNS, multi_line)
-    return rows.select(
-        *[missing_markers_to_null(F.col(c)).alias(c) for c in schemas.SALES_COLUMNS], ingest_order().alias("seq")
-    )
+def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The same rows, and ``seq``, their ingest order, with each file read by as many tasks as it has blocks.
+
+    The file is scanned twice. A last column that no field of a short row reaches is null, as above.
+    """
+    header = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    absent = [c for c in columns if c not in header]
+    if absent:
+        raise MissingColumn(f"{path} has no column {', '.join(absent)}")
+    return read_csv_blocks(spark, path, header).select(*columns, "seq")
+
+
+def read_sales_csv(spark: SparkSession, path: str, multi_line: bool = True, parallel: bool = False) -> DataFrame:
+    """Sales rows with every column as text, missing markers as null, and ``seq``, the ingest order.
+
+    ``parallel`` reads files with line breaks in fields block by block.
+    """
+    if parallel:
+        rows = read_csv_parallel(spark, path, schemas.SALES_COLUMNS)
+    else:
+        rows = read_csv(spark, path, schemas.SALES_COLUMNS, multi_line).withColumn("seq", ingest_order())
+    return rows.select(*[missing_markers_to_null(F.col(c)).alias(c) for c in schemas.SALES_COLUMNS], "seq")
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
