@@ -8,7 +8,8 @@ threshold can be lost or kept wrongly, as every prefix of a term is in at least
 
 Each level is one pass over the texts. A task adds up what it has read before it hands it on. Which prefixes are left it
 sees in a bitmap of ``BITS`` hashed prefixes, whose size does not depend on the input; a prefix that only shares a bit with
-one that is left is discarded by a join with the level before.
+one that is left is discarded by a join with the level before. A last pass counts the uses of the kept terms in each source,
+by 64-bit hashes, behind a bitmap and a join of the same kind.
 
 Term counts are then compared in cells: a block of terms and two tiles of sources, as dense integer arrays of bounded size.
 Sources without a term in a block take part with their least probability, so that every kept term counts for every pair.
@@ -16,7 +17,7 @@ Probabilities are whole numbers, in parts of ``SCALE``, and all arithmetic on th
 
 Defined cases: null text, language and source count as empty ones; a document without terms still makes its group occur; a
 row is a document, repeated rows are several; a language without kept terms has pairs of value 0; an empty table gives an
-empty result. Terms with equal values are ranked by their bytes. Within a task terms are told apart by 64-bit hashes.
+empty result. Terms with equal values are ranked by their bytes. Terms are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -37,7 +39,7 @@ TOP = 10
 SCALE = 1_000_000_000
 SMOOTH = 2
 #: Length in bytes of the first level's prefixes; it doubles from level to level.
-FIRST_LENGTH = 3
+FIRST_LENGTH = 6
 #: Bits that say which prefixes are left; more of them only mean fewer candidates that the join discards.
 BITS = 1 << 24
 #: Candidates that a task adds up before it hands them on.
@@ -49,15 +51,7 @@ BLOCK_TERMS, TILE = 1024, 128
 LETTERS = byte_class(bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 _BITMAP_BITS = 32_768  # of one of Spark's bitmaps
 
-_CANDIDATES = StructType(
-    [
-        StructField("lang", StringType()),
-        StructField("source", StringType()),
-        StructField("term", BinaryType()),
-        StructField("docs", LongType()),
-        StructField("uses", LongType()),
-    ]
-)
+_CANDIDATES = StructType([StructField("lang", StringType()), StructField("term", BinaryType()), StructField("docs", LongType())])
 
 
 def _keys(hashes: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -65,8 +59,8 @@ def _keys(hashes: np.ndarray, lang: np.ndarray) -> np.ndarray:
     return mix(hashes + mix(lang + np.uint64(1)))
 
 
-def _bit(hashes: np.ndarray, lang: np.ndarray, bits: int) -> np.ndarray:
-    return (_keys(hashes, lang) % np.uint64(bits)).astype(np.int64)
+def _bit(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys % np.uint64(bits)).astype(np.int64)
 
 
 def _name_hashes(names: pa.Array) -> np.ndarray:
@@ -74,111 +68,165 @@ def _name_hashes(names: pa.Array) -> np.ndarray:
     return range_hashes(texts.data, texts.bounds[:-1], texts.bounds[1:])
 
 
+class _Slice:
+    """Terms of a slice, lower-cased, with hashes of the language and source of their document."""
+
+    def __init__(self, batch: pa.RecordBatch, least: int):
+        self.texts = Texts.of(batch["text"])
+        self.texts.data = LOWER[self.texts.data]
+        words = Words.of(self.texts, LETTERS)
+        wide = words.ends - words.starts >= least
+        self.starts, self.ends, self.doc = words.starts[wide], words.ends[wide], words.text_of[wide]
+        self.langs = batch["lang"].dictionary_encode()
+        self.lang_of = self.langs.indices.to_numpy(zero_copy_only=False)
+        self.lang_hash = _name_hashes(self.langs.dictionary)[self.lang_of]
+
+    def prefixes(self, length: int | None = None) -> np.ndarray:
+        """Key of the first bytes of each term."""
+        ends = self.ends if length is None else np.minimum(self.ends, self.starts + length)
+        return _keys(range_hashes(self.texts.data, self.starts, ends), self.lang_hash[self.doc])
+
+    def keep(self, which: np.ndarray) -> None:
+        self.starts, self.ends, self.doc = self.starts[which], self.ends[which], self.doc[which]
+
+
 def _level(docs: DataFrame, shorter: int, length: int, left: np.ndarray | None, bits: int) -> DataFrame:
-    """Candidates of a level, added up by task: prefixes of ``length`` bytes (``source`` is null), and complete terms of
-    ``shorter`` to ``length - 1`` bytes with the uses in each source. ``left``: bits of the prefixes left at ``shorter``."""
+    """Candidates of a level with their documents, added up by task: prefixes of ``length`` bytes, and complete terms of
+    ``shorter`` to ``length - 1`` bytes. ``left``: bits of the prefixes left at ``shorter``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {c: [] for c in ("key", "docs", "uses")}
-        rows: dict[int, tuple[str, str | None, bytes]] = {}
+        held: list[list[np.ndarray]] = [[], []]  # keys, documents
+        rows: dict[int, tuple[str, bytes]] = {}
         waiting = 0
 
-        def add_up():
-            key, place = np.unique(np.concatenate(held["key"]), return_inverse=True)
-            return key, *[np.bincount(place, np.concatenate(held[c])).astype(np.int64) for c in ("docs", "uses")]
+        def add_up() -> list[np.ndarray]:
+            key, place = np.unique(np.concatenate(held[0]), return_inverse=True)
+            return [key, np.bincount(place, np.concatenate(held[1])).astype(np.int64)]
 
-        def send():
-            key, docs, uses = add_up()
+        def send() -> pa.RecordBatch:
+            key, docs = add_up()
             found = [rows[k] for k in key.tolist()]
-            columns = [pa.array([r[i] for r in found], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.binary()))]
-            for c in held.values():
-                c.clear()
+            columns = [pa.array([r[i] for r in found], kind) for i, kind in enumerate((pa.string(), pa.binary()))]
+            held[0], held[1] = [], []
             rows.clear()
-            return pa.RecordBatch.from_arrays([*columns, pa.array(docs), pa.array(uses)], names=_CANDIDATES.fieldNames())
+            return pa.RecordBatch.from_arrays([*columns, pa.array(docs)], names=_CANDIDATES.fieldNames())
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                texts = Texts.of(piece["text"])
-                texts.data = LOWER[texts.data]
-                words = Words.of(texts, LETTERS)
-                langs, sources = piece["lang"].dictionary_encode(), piece["source"].dictionary_encode()
-                wide = words.ends - words.starts >= shorter
-                starts, ends, doc = words.starts[wide], words.ends[wide], words.text_of[wide]
-                lang_of, source_of = langs.indices.to_numpy(zero_copy_only=False)[doc], sources.indices.to_numpy(zero_copy_only=False)[doc]
-                lang_hash, source_hash = _name_hashes(langs.dictionary), _name_hashes(sources.dictionary)
-                if left is not None and len(starts):
-                    alive = left[_bit(range_hashes(texts.data, starts, starts + shorter), lang_hash[lang_of], bits)]
-                    starts, ends, doc, lang_of, source_of = (x[alive] for x in (starts, ends, doc, lang_of, source_of))
-                if not len(starts):
+                terms = _Slice(piece, shorter)
+                if left is not None and len(terms.starts):
+                    terms.keep(left[_bit(terms.prefixes(shorter), bits)])
+                if not len(terms.starts):
                     continue
-                complete = ends - starts < length
-                ends = np.minimum(ends, starts + length)
-                key = _keys(range_hashes(texts.data, starts, ends), lang_hash[lang_of])
-                key = mix(key + np.where(complete, source_hash[source_of] | np.uint64(1), np.uint64(0)))
-                # Once for each document, with its uses; then once for the slice.
-                pair, first, uses = np.unique(key + mix(doc.astype(np.uint64) + np.uint64(7)), return_index=True, return_counts=True)
-                own, at, place = np.unique(key[first], return_index=True, return_inverse=True)
-                held["key"].append(own)
-                held["docs"].append(np.bincount(place))
-                held["uses"].append(np.bincount(place, uses).astype(np.int64))
-                data = texts.data.tobytes()
-                names, owners = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
-                for k, i in zip(own.tolist(), first[at].tolist(), strict=True):
+                # Once for each document, then added up over the slice.
+                key = terms.prefixes(length)
+                first = np.unique(key + mix(terms.doc.astype(np.uint64) + np.uint64(7)), return_index=True)[1]
+                own, at, docs = np.unique(key[first], return_index=True, return_counts=True)
+                held[0].append(own)
+                held[1].append(docs)
+                data, names = terms.texts.data.tobytes(), terms.langs.dictionary.to_pylist()
+                where = first[at]
+                begins, ends = terms.starts[where], np.minimum(terms.ends[where], terms.starts[where] + length)
+                for k, lang, a, b in zip(own.tolist(), terms.lang_of[terms.doc[where]].tolist(), begins.tolist(), ends.tolist(), strict=True):
                     if k not in rows:
-                        rows[k] = names[lang_of[i]], owners[source_of[i]] if complete[i] else None, data[starts[i] : ends[i]]
+                        rows[k] = names[lang], data[a:b]
                 waiting += len(own)
                 if waiting > 2 * HELD:
                     if len(rows) > HELD:
                         yield send()
                     else:
-                        for c, values in zip(held.values(), add_up(), strict=True):
-                            c[:] = [values]
+                        held[0], held[1] = ([x] for x in add_up())
                     waiting = len(rows)
-        if held["key"]:
+        if held[0]:
             yield send()
 
-    return docs.mapInArrow(tidy(run), _CANDIDATES)
+    return docs.select("lang", "text").mapInArrow(tidy(run), _CANDIDATES)
 
 
-def _bitmap(left: DataFrame, bits: int) -> np.ndarray:
-    """For each slot whether a prefix of ``left`` falls into it."""
+def _hashed(rows: DataFrame, first: str, second: str, name: str) -> DataFrame:
+    """``rows`` with the key of two text columns, the second one a language or source."""
+    schema = StructType([*rows.schema, StructField(name, LongType())])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = _bit(_name_hashes(batch["term"]), _name_hashes(batch["lang"]), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(place // _BITMAP_BITS), pa.array(place % _BITMAP_BITS)], names=["bucket", "place"])
+            key = _keys(_name_hashes(batch[first]), _name_hashes(batch[second]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key.view(np.int64))], names=[*batch.schema.names, name])
+
+    return rows.mapInArrow(tidy(run), schema)
 
+
+def _bitmap(left: DataFrame, bits: int) -> np.ndarray:
+    """For each slot whether a key of ``left`` falls into it."""
+    place = F.pmod(F.col("key"), F.lit(bits))  # ``bits`` is a power of two: the same for signed and unsigned keys
+    found = left.select(F.floor(place / _BITMAP_BITS).cast("int").alias("bucket"), (place % _BITMAP_BITS).alias("place"))
     out = np.zeros(bits, dtype=bool)
-    found = left.select("lang", "term").mapInArrow(tidy(places), "bucket long, place long")
     for row in found.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bitmap")).collect():  # bits / 8 bytes at most
         out[row.bucket * _BITMAP_BITS : (row.bucket + 1) * _BITMAP_BITS] = np.unpackbits(np.frombuffer(row.bitmap, np.uint8), bitorder="little")
     return out
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS, first_length: int = FIRST_LENGTH, bits: int = BITS) -> DataFrame:
-    """``lang, source, term, uses`` of every term that occurs in ``min_docs`` documents of its language, by iceberg prefix
-    refinement. ``docs`` has ``lang, source, text`` without nulls."""
-    kept, shorter, length, left, survivors = [], 1, first_length, None, None
+    """``lang, term, key`` of every term that occurs in ``min_docs`` documents of its language, by iceberg prefix refinement.
+    ``docs`` has ``lang, source, text`` without nulls."""
+    kept, shorter, length, left, survivors = None, 1, first_length, None, None
     while True:
-        candidates = _level(docs, shorter, length, left, bits).groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("uses").alias("uses"))
-        candidates = write_once(candidates, "terms-level")
-        counts = candidates.groupBy("lang", "term", F.octet_length("term").alias("size")).agg(F.sum("docs").alias("docs"))
+        counts = _level(docs, shorter, length, left, bits).groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
         counts = counts.filter(F.col("docs") >= min_docs)
         if survivors is not None:
             known = survivors.select(F.col("lang").alias("_lang"), F.col("term").alias("_prefix"))
             prefix = F.substring("term", 1, shorter)
             counts = counts.join(known, (F.col("lang") == F.col("_lang")) & (prefix == F.col("_prefix")), "left_semi")
-        counts = write_once(counts, "terms-counts")
-        complete = counts.filter(F.col("size") < length).select("lang", "term")
-        kept.append(candidates.filter("source IS NOT NULL").join(complete, ["lang", "term"], "left_semi").select("lang", "source", "term", "uses"))
-        survivors = counts.filter(F.col("size") == length)
+        counts = write_once(_hashed(counts.select("lang", "term"), "term", "lang", "key"), "terms-level")
+        complete = counts.filter(F.octet_length("term") < length)
+        kept = complete if kept is None else kept.unionByName(complete)
+        survivors = counts.filter(F.octet_length("term") == length)
         if survivors.isEmpty():
-            break
+            return kept
         left, shorter, length = _bitmap(survivors, bits), length, 2 * length
-    out = kept[0]
-    for other in kept[1:]:
-        out = out.unionByName(other)
-    return out
+
+
+def term_uses(docs: DataFrame, kept: DataFrame, bits: int = BITS) -> DataFrame:
+    """``owner, key, uses``: how often each kept term occurs in each group, which goes by the hash of language and source."""
+    left = _bitmap(kept, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], []]
+        waiting = 0
+
+        def add_up() -> list[np.ndarray]:
+            owner, key, uses = (np.concatenate(x) for x in held)
+            _, at, place = np.unique(_keys(key, owner), return_index=True, return_inverse=True)
+            return [owner[at], key[at], np.bincount(place, uses).astype(np.int64)]
+
+        def send(columns: list[np.ndarray]) -> pa.RecordBatch:
+            arrays = [pa.array(c.view(np.int64)) for c in columns]
+            return pa.RecordBatch.from_arrays(arrays, names=["owner", "key", "uses"])
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                terms = _Slice(piece, 1)
+                key = terms.prefixes()
+                some = left[_bit(key, bits)]
+                sources = piece["source"].dictionary_encode()
+                owner = _keys(_name_hashes(sources.dictionary)[sources.indices.to_numpy(zero_copy_only=False)], terms.lang_hash)
+                owner, key = owner[terms.doc[some]], key[some]
+                _, at, uses = np.unique(_keys(key, owner), return_index=True, return_counts=True)
+                for c, values in zip(held, (owner[at], key[at], uses), strict=True):
+                    c.append(values)
+                waiting += len(at)
+                if waiting > 2 * HELD:
+                    found = add_up()
+                    held = [[], [], []]
+                    if len(found[0]) > HELD:
+                        yield send(found)
+                    else:
+                        held = [[x] for x in found]
+                    waiting = sum(len(x) for x in held[0])
+        if held[0]:
+            yield send(add_up())
+
+    found = docs.mapInArrow(tidy(run), "owner long, key long, uses long").groupBy("owner", "key").agg(F.sum("uses").alias("uses"))
+    return found.join(kept.select("key"), "key", "left_semi")
 
 
 def probability(uses: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -205,64 +253,78 @@ _FOUND = StructType(
     ]
 )
 _CELL = ["lang", "block", "a", "b"]
+_ROLES = ("source", "term", "use")
+_ARROW = pa.schema([(f.name, pa.int64() if f.name == "value" else pa.string()) for f in _FOUND])
 
 
-def _compare(cells: DataFrame, top: int) -> DataFrame:
-    """What each cell adds to the pairs of its sources, and for its terms the ``top`` ones of each source.
+class _Cell:
+    """A block of terms and two tiles of sources.
 
-    Rows of a cell: its sources with ``total`` (``term`` is null; the language itself has no source), then the uses.
+    Its rows, by role: the sources with their ``total``, of which the language itself is one without a name; the terms, in
+    order of their bytes, with the uses in the whole language; and the uses of each source.
     """
 
-    def close(key, sources, totals, terms, entries) -> pa.RecordBatch:
-        lang, _, a, b = key
-        place = {s: i for i, s in enumerate(sources)}
-        at = {t: i for i, t in enumerate(terms)}
-        uses = np.zeros((len(sources), len(terms)), dtype=np.int64)
-        for source, term, n in entries:
-            uses[place[source], at[term]] = n
-        p = probability(uses, np.array([t for t, _ in totals])[:, None])
-        out: list[tuple] = []
-        mine = [i for i, s in enumerate(sources) if s is not None and totals[i][1] == a]
-        others = mine if a == b else [i for i, s in enumerate(sources) if s is not None and totals[i][1] == b]
+    def __init__(self, lang: str, a: int, b: int):
+        self.lang, self.a, self.b = lang, a, b
+        self.parts: dict[str, list[pa.RecordBatch]] = {role: [] for role in _ROLES}
+
+    def column(self, role: str, name: str) -> list[pa.Array]:
+        return [p[name] for p in self.parts[role]]
+
+    def numbers(self, role: str, name: str) -> np.ndarray:
+        return np.concatenate([c.to_numpy() for c in self.column(role, name)]) if self.parts[role] else np.empty(0, np.int64)
+
+    def compared(self, top: int) -> Iterator[pa.RecordBatch]:
+        owners, totals = self.numbers("source", "owner"), np.maximum(self.numbers("source", "total"), 1)
+        names = [x for c in self.column("source", "name") for x in c.to_pylist()]
+        tiles = self.numbers("source", "tile")
+        key = self.numbers("term", "key")
+        whole = next(i for i, name in enumerate(names) if name is None)
+        uses = np.zeros((len(names), len(key)), dtype=np.int64)
+        uses[whole] = self.numbers("term", "uses")
+        row, column = np.argsort(owners), np.argsort(key)
+        at = row[np.searchsorted(owners, self.numbers("use", "owner"), sorter=row)]
+        uses[at, column[np.searchsorted(key, self.numbers("use", "key"), sorter=column)]] = self.numbers("use", "uses")
+        p = probability(uses, totals[:, None])
+        mine = [i for i, name in enumerate(names) if name is not None and tiles[i] == self.a]
+        others = mine if self.a == self.b else [i for i, name in enumerate(names) if name is not None and tiles[i] == self.b]
+        terms = [x for c in self.column("term", "term") for x in c.to_pylist()] if self.a == self.b else []
         for i in mine:
             value = distance(p[i], p[others]).sum(axis=1).tolist() if others else []
-            for j, v in zip(others, value, strict=True):
-                if i != j:
-                    out.append((lang, sources[i], "pair", sources[j], v))
-                    if a != b:
-                        out.append((lang, sources[j], "pair", sources[i], v))
-        if a == b:
-            q = p[place[None]]
-            for i in mine:
-                over = np.flatnonzero((uses[i] > 0) & (p[i] > q))
-                value = distance(p[i, over], q[over])
-                for j in np.lexsort((over, -value))[:top]:  # terms are in order of their bytes
-                    out.append((lang, sources[i], "term", terms[over[j]].decode(), int(value[j])))
-        return pa.RecordBatch.from_pylist([dict(zip(_FOUND.fieldNames(), row, strict=True)) for row in out], schema=_ARROW)
-
-    _ARROW = pa.schema([(f.name, pa.int64() if f.name == "value" else pa.string()) for f in _FOUND])
+            out = [(names[i], "pair", names[j], v) for j, v in zip(others, value, strict=True) if i != j]
+            if self.a != self.b:
+                out += [(names[j], "pair", names[i], v) for j, v in zip(others, value, strict=True)]
+            else:
+                over = np.flatnonzero((uses[i] > 0) & (p[i] > p[whole]))
+                value = distance(p[i, over], p[whole, over])
+                out += [(names[i], "term", terms[over[j]].decode(), int(value[j])) for j in np.lexsort((over, -value))[:top]]
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            arrays = [pa.array([self.lang] * len(out), pa.string()), *[pa.array(c, _ARROW.types[k + 1]) for k, c in enumerate(columns)]]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+
+def _compare(cells: DataFrame, top: int) -> DataFrame:
+    """What each cell adds to the pairs of its sources, and for its terms the ``top`` ones of each source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sources, totals, terms, entries = None, [], [], [], []
+        now, cell = None, None
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in (*_CELL, "term", "source", "uses", "total", "tile")]
-            for *now, term, source, n, total, tile in zip(*columns, strict=True):
-                if now != key:
-                    if entries:
-                        yield close(key, sources, totals, terms, entries)
-                    key, sources, totals, terms, entries = now, [], [], [], []
-                if term is None:
-                    sources.append(source)
-                    totals.append((max(total, 1), tile))
-                else:
-                    if not terms or terms[-1] != term:
-                        terms.append(term)
-                    entries.append((source, term, n))
-        if entries:
-            yield close(key, sources, totals, terms, entries)
-
-    order = [*_CELL, F.col("term").asc_nulls_first()]
-    return cells.repartition(*_CELL).sortWithinPartitions(*order).mapInArrow(tidy(run), _FOUND)
+            n = batch.num_rows
+            change = np.ones(max(n, 1), dtype=bool)
+            for c in (*_CELL, "role"):
+                change[1:] &= pc.equal(batch[c].slice(1), batch[c].slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(~change[1:]) + 1).tolist(), n] if n else []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                key = tuple(batch[c][a].as_py() for c in _CELL)
+                if key != now:
+                    if cell is not None:
+                        yield from cell.compared(top)
+                    now, cell = key, _Cell(key[0], key[2], key[3])
+                cell.parts[_ROLES[batch["role"][a].as_py()]].append(batch.slice(a, b - a))
+        if cell is not None:
+            yield from cell.compared(top)
+
+    return cells.repartition(*_CELL).sortWithinPartitions(*_CELL, "role", "term").mapInArrow(tidy(run), _FOUND)
 
 
 def source_divergence(
@@ -281,35 +343,40 @@ def source_divergence(
     none = F.lit("")
     named: list[Column] = [F.coalesce(F.col(c).cast("string"), none).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))]
     docs = docs.select(*named)
-    uses = write_once(kept_terms(docs, min_docs, first_length, bits), "terms-kept")
-    whole = uses.groupBy("lang", "term").agg(F.sum("uses").alias("uses"))
+    kept = write_once(kept_terms(docs, min_docs, first_length, bits), "terms-kept")
+    uses = write_once(term_uses(docs, kept, bits), "terms-uses")
+    named = uses.join(kept, "key")
+    whole = write_once(named.groupBy("lang", "term", "key").agg(F.sum("uses").alias("uses")), "terms-whole")
     terms = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("uses").alias("n"))
-    sums = uses.groupBy("lang", "source").agg(F.sum("uses").alias("n"))
-    groups = docs.groupBy("lang", "source").agg(F.lit(1).alias("_one")).drop("_one")
+    sums = uses.groupBy("owner").agg(F.sum("uses").alias("n"))
+    groups = _hashed(docs.groupBy("lang", "source").agg(F.lit(1).alias("_one")).drop("_one"), "source", "lang", "owner")
     zero = F.lit(0).cast("long")
-    groups = groups.join(sums, ["lang", "source"], "left").join(terms.select("lang", "v"), "lang", "left")
-    groups = groups.select("lang", "source", F.coalesce("n", zero).alias("n"), F.coalesce("v", zero).alias("v"))
-    groups = write_once(groups, "terms-groups")
+    groups = groups.join(sums, "owner", "left").join(terms.select("lang", "v"), "lang", "left")
+    groups = write_once(groups.select("lang", "source", "owner", F.coalesce("n", zero).alias("n"), F.coalesce("v", zero).alias("v")), "terms-groups")
     tiles, blocks = F.ceil(F.count(F.lit(1)) / tile).cast("long"), F.ceil(F.max("v") / block_terms).cast("long")
     shape = groups.groupBy("lang").agg(tiles.alias("tiles"), blocks.alias("blocks"))
 
-    total = (F.col("n") + F.lit(2) * F.col("v")).alias("total")
-    block = F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")
-    every = F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block")
-    nothing = F.lit(None)
-    members = groups.filter("v > 0").join(shape, "lang").withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles")))
-    entries = uses.join(members.select("lang", "source", "tile", "tiles", "blocks"), ["lang", "source"])
-    rows = members.select("lang", "source", "tile", "tiles", every, nothing.cast("binary").alias("term"), nothing.cast("long").alias("uses"), total)
-    rows = rows.unionByName(entries.select("lang", "source", "tile", "tiles", block, "term", "uses", nothing.cast("long").alias("total")))
+    def rows(of: DataFrame, role: str, block: Column, **columns: Column) -> DataFrame:
+        """Rows of a role for the cells, without the tiles."""
+        fields = {"owner": "long", "name": "string", "tile": "long", "total": "long", "term": "binary", "key": "long", "uses": "long"}
+        made = [columns.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in fields.items()]
+        return of.select("lang", "tiles", block.alias("block"), F.lit(_ROLES.index(role)).alias("role"), *made)
+
+    total = F.col("n") + F.lit(2) * F.col("v")
+    block = F.pmod("key", F.col("blocks"))
+    every = F.explode(F.sequence(zero, F.col("blocks") - 1))
+    members = groups.filter("v > 0").join(shape, "lang").withColumn("tile", F.pmod("owner", F.col("tiles")))
+    mine = {"owner": F.col("owner"), "tile": F.col("tile")}
+    heads = rows(members, "source", every, name=F.col("source"), total=total, **mine)
+    entries = rows(uses.join(members, "owner"), "use", block, key=F.col("key"), uses=F.col("uses"), **mine)
     # A pair of sources meets in the cell of their tiles, the smaller tile first.
-    other = rows.withColumn("other", F.explode(F.sequence(zero, F.col("tiles") - 1)))
-    cells = other.select("lang", "block", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "term", "source", "uses", "total", "tile")
+    cells = heads.unionByName(entries).withColumn("other", F.explode(F.sequence(zero, F.col("tiles") - 1)))
+    cells = cells.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")}).drop("other", "tiles")
     # The language itself, with all its terms, sits in every cell.
-    head = terms.join(shape, "lang").select("lang", "tiles", every, nothing.cast("binary").alias("term"), nothing.cast("long").alias("uses"), total)
-    body = whole.join(shape, "lang").select("lang", "tiles", block, "term", "uses", nothing.cast("long").alias("total"))
+    head = rows(terms.join(shape, "lang"), "source", every, owner=zero, total=total, tile=F.lit(-1))
+    body = rows(whole.join(shape, "lang"), "term", block, term=F.col("term"), key=F.col("key"), uses=F.col("uses"))
     seats = [F.explode(F.sequence(zero, F.col("tiles") - 1)).alias(c) for c in ("a", "b")]
-    everything = head.unionByName(body).select("*", seats[0]).select("*", seats[1]).filter("a <= b")
-    everything = everything.select("lang", "block", "a", "b", "term", nothing.cast("string").alias("source"), "uses", "total", nothing.cast("long").alias("tile"))
+    everything = head.unionByName(body).select("*", seats[0]).select("*", seats[1]).filter("a <= b").drop("tiles")
 
     found = write_once(_compare(cells.unionByName(everything), top), "terms-compared")
     fields = ["lang", "source", "part", "item", "value"]
