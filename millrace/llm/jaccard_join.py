@@ -382,6 +382,8 @@ def jaccard_classes(
     classes = owners.join(linked, ["k", "n"], "left").select(
         F.col("k").alias("_k"), F.col("n").alias("_n"), F.coalesce("component_id", "owner").alias("component_id")
     )
+    # Written, so that the join can split the rows of a text with very many copies.
+    classes = write_once(classes, "join-classes")
     joined = sets.join(classes, (F.col("k") == F.col("_k")) & (F.col("n") == F.col("_n")), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"))
