@@ -212,17 +212,31 @@ def health_kpis(log: DataFrame) -> DataFrame:
     )
 
 
+def _hour_counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status_class") != "success").alias("errors")]
+
+
 def error_alerts(log: DataFrame, threshold_pct: float) -> DataFrame:
     """Hours whose share of failed requests exceeds the threshold."""
-    return (
-        log.groupBy(local_hour().alias("hour"))
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.count_if(F.col("status_class") != "success").alias("errors"),
-        )
-        .withColumn("error_rate", percent(F.col("errors"), F.col("requests")))
-        .filter(F.col("error_rate") > threshold_pct)
-    )
+    return alerts_of(log.groupBy(local_hour().alias("hour")).agg(*_hour_counts()), threshold_pct)
+
+
+def alerts_of(hours: DataFrame, threshold_pct: float) -> DataFrame:
+    """The same from counted hours."""
+    rated = hours.withColumn("error_rate", percent(F.col("errors"), F.col("requests")))
+    return rated.filter(F.col("error_rate") > threshold_pct)
+
+
+def closing_hours(log: DataFrame, delay: str) -> DataFrame:
+    """Requests and errors per hour of a stream of events, in event-time windows on the clock of the source.
+
+    The state store keeps the hours that may still change. An hour is handed on, once and for good, when the newest event
+    is ``delay`` past its end; events of an hour that was due before their batch are dropped. Local times stand for
+    instants here (the session's zone is UTC): clocks of sources may differ by less than ``delay``.
+    """
+    local = F.col("event_time_local").cast("timestamp")
+    hours = log.withColumn("_local", local).withWatermark("_local", delay).groupBy(F.window("_local", "1 hour"))
+    return hours.agg(*_hour_counts()).select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "requests", "errors")
 
 
 def success_series(summaries: DataFrame) -> DataFrame:

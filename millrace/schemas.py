@@ -62,6 +62,7 @@ LOG_EVENTS = _table(
     " http_method STRING, path STRING, status_code INT, response_size BIGINT, status_class STRING"
 )
 LOG_DEAD_LETTERS = _table("raw_line STRING, source_file STRING, run_id STRING")
+LOG_HOURS = _table("hour TIMESTAMP_NTZ, requests BIGINT, errors BIGINT")
 LOG_SUMMARY = _table(
     "run_id STRING, source_file STRING, total_lines BIGINT, parsed_ok BIGINT, parse_failed BIGINT,"
     " parse_success_rate DOUBLE, run_at_utc TIMESTAMP"

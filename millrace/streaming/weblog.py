@@ -21,3 +21,19 @@ def stream_log(
         warehouse.commit(*changes, batch=(name, batch_id))
 
     return start_batches(lines, warehouse, name, checkpoint, job, trigger)
+
+
+def stream_hours(
+    lines: DataFrame, warehouse: Warehouse, checkpoint: str, delay: str, name: str = "loghours", trigger: dict | None = None
+) -> StreamingQuery:
+    """Append every hour to ``fact_log_hour`` once it is over, ``delay`` included, see ``weblog.closing_hours``.
+
+    Hours still open live in the state store of the checkpoint, so a restart goes on with them.
+    """
+    hours = weblog.closing_hours(weblog.events(weblog.parse_combined(lines)), delay)
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        day = F.to_date("hour").cast("string")
+        warehouse.commit(warehouse.append("fact_log_hour", batch, day), batch=(name, batch_id))
+
+    return start_batches(hours, warehouse, name, checkpoint, job, trigger)

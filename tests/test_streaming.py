@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.plans import prices
+from millrace.plans import prices, weblog
 from millrace.sources.files import as_log_lines
 from millrace.sources.warehouse import Warehouse
 from millrace.streaming.prices import stream_prices
 from millrace.streaming.readings import stream_readings
-from millrace.streaming.weblog import stream_log
+from millrace.streaming.weblog import stream_hours, stream_log
 from tests.helpers import rows
 from tests.test_readings import payload
 from tests.test_weblog import GOOD
@@ -80,3 +80,28 @@ def test_reading_stream_inserts_each_observation_once(spark, warehouse, tmp_path
     ]
     log = warehouse.read("pipeline_run_log", schemas.RUN_LOG)
     assert log.filter(F.col("status") == "partial_failure").count() == 3
+
+
+def log_line(hour: int, status: int, day: int = 1, offset: str = "+0700") -> str:
+    return f'10.0.0.1 - - [{day:02d}/Jan/2024:{hour:02d}:30:00 {offset}] "GET /x HTTP/1.1" {status} 5'
+
+
+def test_hours_close_once_and_survive_a_restart(spark, warehouse, tmp_path):
+    """Hours wait three hours for late lines; what comes later still is dropped; open ones outlast the stream."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    source = as_log_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(str(inbox)))
+
+    def land_and_run(name, lines):
+        (inbox / name).write_text("\n".join(lines) + "\n")
+        stream_hours(source, warehouse, str(tmp_path / "progress"), "3 hours").awaitTermination()
+        stored = warehouse.read("fact_log_hour", schemas.LOG_HOURS)
+        return {r.hour.hour + 24 * (r.hour.day - 1): (r.requests, r.errors) for r in stored.collect()}
+
+    assert land_and_run("1.log", [log_line(1, 200), log_line(2, 500, offset="Z"), "broken"]) == {}
+    assert land_and_run("2.log", [log_line(1, 404), log_line(5, 200)]) == {1: (2, 1)}
+    late = [log_line(1, 500), log_line(2, 200), log_line(9, 200), log_line(9, 500, offset="+0530")]
+    assert land_and_run("3.log", late) == {1: (2, 1), 2: (2, 1), 5: (1, 0)}
+    assert land_and_run("4.log", [log_line(0, 200, day=2)]) == {1: (2, 1), 2: (2, 1), 5: (1, 0), 9: (2, 1)}
+    alerts = weblog.alerts_of(warehouse.read("fact_log_hour", schemas.LOG_HOURS), 20.0)
+    assert sorted((r.hour.hour, r.error_rate) for r in alerts.collect()) == [(1, 50.0), (2, 50.0), (9, 50.0)]

@@ -118,7 +118,7 @@ QUERIES = {
     "log_error_alerts": lambda s, d: weblog.error_alerts(events(s, d), threshold_pct=60.0),
 }
 
-_FIELDS = """
+FIELDS = """
 WITH fields AS (
   SELECT event_id, ts, '10.0.' || (user_id % 3) || '.' || (user_id % 251) AS ip,
     CASE WHEN value < 350 THEN 'GET' ELSE 'POST' END AS method,
@@ -150,24 +150,24 @@ FROM fields GROUP BY source_file"""
 
 
 def _frequency(col: str, alias: str = "requests", limit: str = "") -> str:
-    return _FIELDS + f"SELECT {col}, count(*) AS {alias} FROM log GROUP BY 1 ORDER BY 2 DESC, 1 {limit}"
+    return FIELDS + f"SELECT {col}, count(*) AS {alias} FROM log GROUP BY 1 ORDER BY 2 DESC, 1 {limit}"
 
 
 ORACLE = {
-    "log_parse_events": _FIELDS + f"{_COLUMNS} FROM log",
-    "log_parse_json": _FIELDS + f"{_COLUMNS} FROM shown WHERE event_id % 17 <> 0",
-    "log_dead_letters": _FIELDS + """
+    "log_parse_events": FIELDS + f"{_COLUMNS} FROM log",
+    "log_parse_json": FIELDS + f"{_COLUMNS} FROM shown WHERE event_id % 17 <> 0",
+    "log_dead_letters": FIELDS + """
 SELECT CASE WHEN event_id % 17 = 0 THEN '%%% broken ' || event_id
   ELSE ip || ' - - [31/Feb/2024' || strftime(ts, ':%H:%M:%S ') || offset_text || '] "' || method || ' ' || path
     || ' HTTP/1.1" ' || status || ' ' || coalesce(CAST(size AS VARCHAR), '-') || ' "-" "Agent/1.0"' END AS raw_line,
   source_file, 'run-1' AS run_id
 FROM fields WHERE NOT parsed""",
-    "log_run_summary": _FIELDS + _SUMMARY,
-    "log_success_rate": _FIELDS + f"""
+    "log_run_summary": FIELDS + _SUMMARY,
+    "log_success_rate": FIELDS + f"""
 SELECT CAST(strptime(source_file[8:15], '%Y%m%d') AS DATE) AS run_at_utc, run_id, source_file, total_lines, parse_failed,
   parse_success_rate FROM ({_SUMMARY})""",
-    "log_requests_per_hour": _FIELDS + "SELECT hour, count(*) AS requests FROM log GROUP BY 1 ORDER BY 1",
-    "log_requests_per_hour_filled": _FIELDS + """
+    "log_requests_per_hour": FIELDS + "SELECT hour, count(*) AS requests FROM log GROUP BY 1 ORDER BY 1",
+    "log_requests_per_hour_filled": FIELDS + """
 , counts AS (SELECT hour, count(*) AS n FROM log WHERE status_code = 500 GROUP BY 1),
 spine AS (SELECT unnest(generate_series((SELECT min(hour) FROM counts), (SELECT max(hour) FROM counts),
   INTERVAL 1 HOUR)) AS hour)
@@ -176,10 +176,10 @@ SELECT hour, coalesce(n, 0) AS requests FROM spine LEFT JOIN counts USING (hour)
     "log_method_mix": _frequency("http_method"),
     "log_top_paths": _frequency("path", limit="LIMIT 10"),
     "log_top_ips": _frequency("ip_address", "request_count", "LIMIT 10"),
-    "log_health_kpis": _FIELDS + """
+    "log_health_kpis": FIELDS + """
 SELECT round(avg(CASE WHEN status_class <> 'success' THEN 1 ELSE 0 END) * 100, 6) AS error_rate,
   count(*) FILTER (status_class = 'server_error') AS server_errors, max(event_epoch) AS latest_event FROM log""",
-    "log_error_alerts": _FIELDS + """
+    "log_error_alerts": FIELDS + """
 SELECT * FROM (
   SELECT hour, count(*) AS requests, count(*) FILTER (status_class <> 'success') AS errors,
     CAST(count(*) FILTER (status_class <> 'success') AS DOUBLE) / count(*) * 100 AS error_rate
