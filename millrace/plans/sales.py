@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import date_key, default_if_blank, parse_mixed_date, ratio, real_number, strip_all, whole_number
+from millrace.functions.money import amount, exact_sum, units
 from millrace.operators.keys import dense_ids, hashed_key, key_collisions, lookup_key
 from millrace.operators.quality import Check, enforce, gate_report, not_positive
 from millrace.operators.rows import keep_first, top_k
@@ -165,12 +166,12 @@ def load_star(warehouse: Warehouse, raw: DataFrame, seq: Sequence[Column | str]
 
 def revenue_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
     per_product = fact.groupBy("product_id").agg(
-        F.sum("total_amount").alias("revenue"), F.count("order_id").alias("orders")
+        F.sum(units("total_amount")).alias("revenue"), F.count("order_id").alias("orders")
     )
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
-        .agg(F.sum("revenue").alias("total_revenue"), F.sum("orders").alias("total_orders"))
+        .agg(amount(F.sum("revenue")).alias("total_revenue"), F.sum("orders").alias("total_orders"))
         .orderBy(F.desc("total_revenue"), "category")
     )
 
@@ -180,14 +181,14 @@ def top_customers(fact: DataFrame, customers: DataFrame, k: int = 5) -> DataFram
     # The inner join of the question drops sales without a known customer before the ranking.
     totals = (
         fact.groupBy("customer_id")
-        .agg(F.sum("total_amount").alias("total_spent"), F.count("order_id").alias("total_orders"))
+        .agg(exact_sum("total_amount").alias("total_spent"), F.count("order_id").alias("total_orders"))
         .join(customers.select("customer_id", "customer_name", "city"), "customer_id")
     )
     return top_k(totals, k, F.desc("total_spent"), F.asc("customer_id"))
 
 
 def daily_revenue(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    per_day = fact.groupBy("date_id").agg(F.sum("total_amount").alias("daily_revenue"))
+    per_day = fact.groupBy("date_id").agg(exact_sum("total_amount").alias("daily_revenue"))
     return (
         per_day.join(dates.select("date_id", "full_date"), "date_id")
         .select("full_date", "daily_revenue")
@@ -197,11 +198,11 @@ def daily_revenue(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def best_sellers(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Units and revenue per product name; the price variants of a name count together."""
-    per_product = fact.groupBy("product_id").agg(F.sum("quantity").alias("qty"), F.sum("total_amount").alias("amount"))
+    per_product = fact.groupBy("product_id").agg(F.sum("quantity").alias("qty"), F.sum(units("total_amount")).alias("units"))
     return (
         per_product.join(products.select("product_id", "product_name"), "product_id")
         .groupBy("product_name")
-        .agg(F.sum("qty").alias("total_qty_sold"), F.sum("amount").alias("revenue"))
+        .agg(F.sum("qty").alias("total_qty_sold"), amount(F.sum("units")).alias("revenue"))
         .orderBy(F.desc("total_qty_sold"), "product_name")
     )
 
@@ -219,7 +220,7 @@ def sales_kpis(fact: DataFrame, products: DataFrame) -> DataFrame:
     The date key spells its date, so the days need no look-up.
     """
     per_product = fact.groupBy("product_id").agg(
-        F.sum("total_amount").alias("revenue"),
+        F.sum(units("total_amount")).alias("revenue"),
         F.count("order_id").alias("orders"),
         F.sum("quantity").alias("units"),
         F.min("date_id").alias("first_day"),
@@ -235,7 +236,7 @@ def sales_kpis(fact: DataFrame, products: DataFrame) -> DataFrame:
         )
     )
     totals = per_category.agg(
-        F.sum("revenue").alias("total_revenue"),
+        amount(F.sum("revenue")).alias("total_revenue"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
         F.sum("units").alias("total_units"),
         F.min_by("category", F.struct(-F.col("revenue"), "category")).alias("best_category"),

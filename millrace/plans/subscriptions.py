@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import as_month, cents_to_dollars, months_crossed, percent, tolerant_date
+from millrace.functions.money import exact_sum
 from millrace.operators.quality import model_report, relationships, run_tests
 from millrace.operators.rows import compute_once, frequency, keep_latest, top_k
 from millrace.sources.warehouse import save_layer
@@ -82,7 +83,7 @@ def payment_totals(payments: DataFrame, key: str = "subscription_id") -> DataFra
     """Paid sum and payment counts per key; refunds count in neither."""
     paid, failed = F.col("payment_status") == "success", F.col("payment_status") == "failed"
     return payments.groupBy(key).agg(
-        F.sum(F.when(paid, F.col("amount_usd")).otherwise(0.0)).alias("total_paid_usd"),
+        exact_sum(F.when(paid, F.col("amount_usd")).otherwise(0.0)).alias("total_paid_usd"),
         F.count_if(paid).alias("successful_payments"),
         F.count_if(failed).alias("failed_payments"),
     )
@@ -210,7 +211,7 @@ def _merged_spans(spans: DataFrame) -> DataFrame:
 
 def mrr_delta(mrr: DataFrame) -> DataFrame:
     """Newest month's revenue against the previous month that has any; 0 percent without one."""
-    newest = top_k(mrr.groupBy("month_start").agg(F.sum("mrr_usd").alias("mrr")), 2, F.desc("month_start"))
+    newest = top_k(mrr.groupBy("month_start").agg(exact_sum("mrr_usd").alias("mrr")), 2, F.desc("month_start"))
     return (
         newest.agg(
             F.max("month_start").alias("latest_month"),
@@ -226,7 +227,7 @@ def mrr_delta(mrr: DataFrame) -> DataFrame:
 
 def mrr_pivot(mrr: DataFrame, plans: Sequence[str]) -> DataFrame:
     """Months by plans; 0 where a plan has no revenue. The plans are given, which saves a pass to find them."""
-    return mrr.groupBy("month_start").pivot("plan_type", list(plans)).agg(F.sum("mrr_usd")).fillna(0.0, list(plans))
+    return mrr.groupBy("month_start").pivot("plan_type", list(plans)).agg(exact_sum("mrr_usd")).fillna(0.0, list(plans))
 
 
 def top_plan(mrr: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def plan_mix(customers: DataFrame) -> DataFrame:
 
 
 def revenue_by_plan(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("plan_type").agg(F.sum("total_paid_usd").alias("collected_usd")).orderBy(
+    return facts.groupBy("plan_type").agg(exact_sum("total_paid_usd").alias("collected_usd")).orderBy(
         F.desc("collected_usd"), "plan_type"
     )
 
@@ -260,7 +261,7 @@ def paid_summary(facts: DataFrame) -> DataFrame:
     return facts.agg(
         F.count(F.lit(1)).alias("subscriptions"),
         F.count_distinct("plan_type").alias("plans"),
-        F.sum("total_paid_usd").alias("paid_usd"),
+        exact_sum("total_paid_usd").alias("paid_usd"),
     )
 
 
@@ -290,7 +291,7 @@ def customer_ltv(subscriptions: DataFrame, payments: DataFrame) -> DataFrame:
         owners.join(paid, "subscription_id", "left")
         .groupBy("customer_id")
         .agg(
-            F.coalesce(F.sum("total_paid_usd"), F.lit(0.0)).alias("lifetime_value_usd"),
+            F.coalesce(exact_sum("total_paid_usd"), F.lit(0.0)).alias("lifetime_value_usd"),
             F.coalesce(F.sum("successful_payments"), F.lit(0)).alias("payments"),
         )
     )
@@ -337,14 +338,17 @@ def build_models(raw: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]
     }
 
 
-def save_models(raw: dict[str, DataFrame], as_of: date) -> dict[str, DataFrame]:
-    """Seeds to ``raw``, staging as views over them, marts to ``marts``; returns the models as stored."""
+def save_models(raw: dict[str, DataFrame], as_of: date, location: str | None = None) -> dict[str, DataFrame]:
+    """Seeds to ``raw``, staging as views over them, marts to ``marts``; returns the models as stored.
+
+    ``location`` is the folder of layers that are new to the catalog, if it is not the session's.
+    """
     spark = next(iter(raw.values())).sparkSession
     for name, df in raw.items():
-        save_layer(df, "raw", name)
+        save_layer(df, "raw", name, location)
     models = build_models({name: spark.table(f"raw.{name}") for name in raw}, as_of)
     for name, df in models.items():
-        save_layer(df, "staging" if name.startswith("stg_") else "marts", name)
+        save_layer(df, "staging" if name.startswith("stg_") else "marts", name, location)
     return {name: spark.table(name if name.startswith("stg_") else f"marts.{name}") for name in models}
 
 

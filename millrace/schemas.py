@@ -91,3 +91,11 @@ RUN_LOG = _table(
     "run_id STRING, started_at_utc TIMESTAMP, finished_at_utc TIMESTAMP, cities_requested BIGINT,"
     " cities_succeeded BIGINT, cities_failed BIGINT, status STRING"
 )
+
+# Marts that are kept up to date by increments. Amounts are whole cents; ``plan_key`` tells plans apart, the null one too.
+MRR_CHANGES = _table("plan_key BIGINT, plan_type STRING, month DATE, cents BIGINT, priced BIGINT, active BIGINT")
+MRR_LEVELS = MRR_CHANGES
+PLAN_DAYS = _table("customer_id BIGINT, start_date DATE, plan_type STRING, subscription_id BIGINT")
+PLAN_OPEN = _table("customer_id BIGINT, plan_type STRING, valid_from DATE, last_day DATE, n BIGINT")
+PLAN_CLOSED = _table("customer_id BIGINT, plan_type STRING, valid_from DATE, valid_to DATE, n BIGINT")
+PLAN_RESETS = _table("customer_id BIGINT, n BIGINT")

@@ -14,6 +14,10 @@ from millrace.functions.text import WHITESPACE
 from millrace.sources.csv_blocks import read_csv_blocks
 
 
+# What ends a line of text besides line feeds and carriage returns.
+LINE_ENDS = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+
+
 def ingest_order() -> Column:
     """Position of a row in its input: file, block in the file, row in the block.
 
@@ -79,14 +83,16 @@ def read_seed_csv(spark: SparkSession, path: str, schema: StructType, multi_line
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines as ``(raw_line, source_file)``; undecodable bytes are replaced, blank lines dropped.
 
-    Lines end at ``\\n``, ``\\r\\n`` or ``\\r``.
+    Lines end at ``\\n``, ``\\r\\n`` or ``\\r``, and at the rarer marks of ``LINE_ENDS``.
     """
     return as_log_lines(spark.read.text(path))
 
 
 def as_log_lines(text: DataFrame) -> DataFrame:
     """The same for an already opened text source, batch or streaming."""
-    lines = text.select(F.make_valid_utf8("value").alias("raw_line"), F.col("_metadata.file_name").alias("source_file"))
+    line = F.make_valid_utf8("value")
+    parts = F.when(line.rlike(LINE_ENDS), F.split(line, LINE_ENDS)).otherwise(F.array(line))
+    lines = text.select(F.explode(parts).alias("raw_line"), F.col("_metadata.file_name").alias("source_file"))
     return lines.filter(F.col("raw_line").rlike(f"[^{WHITESPACE}]"))
 
 

@@ -365,10 +365,18 @@ def replace_on_key(
     return target.join(latest.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(latest)
 
 
-def save_layer(df: DataFrame, layer: str, name: str) -> None:
-    """Materialise a model in its layer: staging as a view, every other layer as a table of that database."""
+def save_layer(df: DataFrame, layer: str, name: str, location: str | None = None) -> None:
+    """Materialise a model in its layer: staging as a view, every other layer as a table of that database, whose folder is
+    one of its own in ``location`` if it is new."""
     if layer == "staging":
         df.createOrReplaceTempView(name)
         return
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    where = f" LOCATION '{location}/{layer}'" if location else ""
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{where}")
     df.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")
+
+
+def look_up(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """``name``, ``found`` and ``columns`` of tables of the catalog, named with or without their layer."""
+    rows = [(n, found := spark.catalog.tableExists(n), len(spark.table(n).columns) if found else None) for n in names]
+    return spark.createDataFrame(rows, "name string, found boolean, columns int")

@@ -151,3 +151,12 @@ def test_the_match_runs_once_per_line(spark):
     log = weblog.events(parse(spark, GOOD)).groupBy("path").count()
     plan = log._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") <= 1
+
+
+def test_lines_end_at_every_mark(spark, tmp_path):
+    from millrace.sources.files import read_log_lines
+
+    text = "".join(f"line {i}{end}" for i, end in enumerate(["\n", "\r\n", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x85", " ", " ", " \t"]))
+    (tmp_path / "a.log").write_bytes(text.encode())
+    got = [r.raw_line for r in read_log_lines(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(line for line in text.splitlines() if line.strip())

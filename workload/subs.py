@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.calendar import month_spine
+from millrace.plans import increments
 from millrace.plans import subscriptions as subs
+from millrace.session import scratch_path, write_once
+from millrace.sources.warehouse import Warehouse, look_up
 from workload import table
 
 AS_OF = date(2001, 8, 1)
@@ -108,8 +112,59 @@ def model_tests(s, d):
     return subs.check_models(subs.build_models(raw, AS_OF))
 
 
-def _rounded(df: DataFrame, *cols: str, scale: int = 2) -> DataFrame:
-    return df.withColumns({c: F.round(c, scale) for c in cols})
+def mrr_increment(s, d):
+    """The revenue mart after three batches of changes, with two months of reports between them.
+
+    A third of the subscriptions is first open and ended by the second batch, another third begins with another plan and
+    price that the third batch corrects, and the rest arrives with the later batches.
+    """
+    final = subscriptions(s, d).select("subscription_id", "plan_type", "start_date", "end_date", "monthly_price_usd")
+    final = write_once(final, "subscriptions")
+    third = [final.filter(F.col("subscription_id") % 3 == i) for i in range(3)]
+    opened = third[0].withColumn("end_date", F.lit(None).cast("date"))
+    wrong = third[1].withColumns({"plan_type": F.lit(PLANS[-1]), "monthly_price_usd": F.col("monthly_price_usd") + 1})
+    new = [third[2].filter(F.col("subscription_id") % 2 == i) for i in range(2)]
+    none = final.limit(0)
+    batches = [
+        (none, opened.unionByName(wrong), date(1997, 3, 31)),
+        (opened, third[0].unionByName(new[0]), date(1997, 4, 1)),
+        (wrong, third[1].unionByName(new[1]), AS_OF),
+    ]
+    warehouse = Warehouse(s, scratch_path(s, "warehouse"))
+    for number, (before, after, as_of) in enumerate(batches):
+        increments.increment_mrr(warehouse, increments.signed_rows(before, after), as_of, ("mrr", number))
+    return increments.read_mrr(warehouse)
+
+
+def scd2_increment(s, d):
+    """The plan history after three batches: older days, newer ones, and a seventh of all days that come late."""
+    rows = write_once(subscriptions(s, d).select("subscription_id", "customer_id", "plan_type", "start_date"), "subscriptions")
+    late, old = F.col("subscription_id") % 7 == 0, F.col("start_date") < date(1996, 6, 1)
+    warehouse = Warehouse(s, scratch_path(s, "warehouse"))
+    for number, mine in enumerate((~late & old, ~late & ~old, late)):
+        increments.increment_history(warehouse, rows.filter(mine), ("history", number))
+    return increments.read_history(warehouse)
+
+
+def _stored_models(s, d):
+    raw = {"raw_customers": raw_customers(s, d), "raw_subscriptions": raw_subscriptions(s, d), "raw_payments": raw_payments(s, d)}
+    return subs.save_models(raw, AS_OF, scratch_path(s, "layers"))
+
+
+def layers(s, d):
+    """Revenue per plan of the stored marts, joined with the staging view they come from."""
+    models = _stored_models(s, d)
+    facts = models["fct_subscriptions"].select("subscription_id", "total_paid_usd", "duration_months")
+    return models["stg_subscriptions"].join(facts, "subscription_id").select("subscription_id", "status", "total_paid_usd", "duration_months")
+
+
+def catalog(s, d):
+    """Which tables a report finds, and how many rows each of them has."""
+    _stored_models(s, d)
+    names = ["raw.raw_payments", "stg_payments", "marts.fct_subscriptions", "marts.dim_customers", "marts.no_such_table"]
+    found = look_up(s, names)
+    rows = [s.table(n).select(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n in names if s.catalog.tableExists(n)]
+    return found.join(reduce(DataFrame.unionByName, rows), "name", "left")
 
 
 QUERIES = {
@@ -118,24 +173,24 @@ QUERIES = {
     "sub_stg_payments": payments,
     "sub_latest_subscription": lambda s, d: subs.latest_subscription(subscriptions(s, d)),
     "sub_dim_customers": dim_customers,
-    "sub_payment_agg": lambda s, d: _rounded(subs.payment_totals(payments(s, d)), "total_paid_usd"),
-    "sub_fct_subscriptions": lambda s, d: _rounded(fct_subscriptions(s, d), "total_paid_usd"),
+    "sub_payment_agg": lambda s, d: subs.payment_totals(payments(s, d)),
+    "sub_fct_subscriptions": lambda s, d: fct_subscriptions(s, d),
     "sub_month_spine": lambda s, d: month_spine(subscriptions(s, d), "start_date", AS_OF),
     "sub_fct_mrr": mrr,
-    "sub_mrr_delta": lambda s, d: _rounded(
-        _rounded(subs.mrr_delta(mrr(s, d)), "latest_mrr", "previous_mrr"), "delta_pct", scale=6
-    ),
+    "sub_mrr_delta": lambda s, d: subs.mrr_delta(mrr(s, d)),
     "sub_mrr_pivot": lambda s, d: subs.mrr_pivot(mrr(s, d), PLANS),
     "sub_top_plan": lambda s, d: subs.top_plan(mrr(s, d)),
     "sub_customer_kpis": lambda s, d: subs.customer_kpis(dim_customers(s, d)),
     "sub_plan_mix": lambda s, d: subs.plan_mix(dim_customers(s, d)),
-    "sub_revenue_by_plan": lambda s, d: _rounded(subs.revenue_by_plan(fct_subscriptions(s, d)), "collected_usd"),
-    "sub_paid_summary": lambda s, d: _rounded(subs.paid_summary(fct_subscriptions(s, d)), "paid_usd"),
+    "sub_revenue_by_plan": lambda s, d: subs.revenue_by_plan(fct_subscriptions(s, d)),
+    "sub_paid_summary": lambda s, d: subs.paid_summary(fct_subscriptions(s, d)),
     "sub_churn_rate": lambda s, d: subs.churn_rate(subscriptions(s, d), AS_OF),
-    "sub_customer_ltv": lambda s, d: _rounded(
-        subs.customer_ltv(subscriptions(s, d), payments(s, d)), "lifetime_value_usd"
-    ),
+    "sub_customer_ltv": lambda s, d: subs.customer_ltv(subscriptions(s, d), payments(s, d)),
     "sub_scd2": lambda s, d: subs.plan_history(subscriptions(s, d)),
+    "sub_mrr_increment": mrr_increment,
+    "sub_scd2_increment": scd2_increment,
+    "sub_layers": layers,
+    "sub_catalog": catalog,
     "sub_model_tests": model_tests,
 }
 
@@ -239,10 +294,10 @@ ORACLE = {
     "sub_month_spine": _MODELS + "SELECT * FROM months",
     "sub_fct_mrr": _MODELS + "SELECT * FROM fct_mrr ORDER BY 1, 2",
     "sub_mrr_delta": _MODELS + """
-, totals AS (SELECT month_start, round(sum(mrr_usd), 2) AS mrr FROM fct_mrr GROUP BY 1),
+, totals AS (SELECT month_start, CAST(sum(CAST(mrr_usd AS DECIMAL(18, 2))) AS DOUBLE) AS mrr FROM fct_mrr GROUP BY 1),
 paired AS (SELECT *, lag(mrr) OVER (ORDER BY month_start) AS previous FROM totals)
 SELECT month_start AS latest_month, mrr AS latest_mrr, coalesce(previous, 0) AS previous_mrr,
-  round(coalesce((mrr - previous) / nullif(previous, 0) * 100, 0), 6) AS delta_pct
+  coalesce((mrr - previous) / nullif(previous, 0) * 100, 0) AS delta_pct
 FROM paired ORDER BY month_start DESC LIMIT 1""",
     "sub_mrr_pivot": _MODELS + f"SELECT month_start, {_PIVOT} FROM fct_mrr GROUP BY 1",
     "sub_top_plan": _MODELS + """
@@ -291,3 +346,12 @@ FROM changes""",
         for name, failing in _TESTS
     ),
 }
+ORACLE["sub_mrr_increment"] = ORACLE["sub_fct_mrr"]
+ORACLE["sub_scd2_increment"] = ORACLE["sub_scd2"]
+ORACLE["sub_layers"] = _MODELS + "SELECT subscription_id, status, total_paid_usd, duration_months FROM fct_subscriptions"
+ORACLE["sub_catalog"] = _MODELS + """
+SELECT 'raw.raw_payments' AS name, true AS found, CAST(5 AS INTEGER) AS columns, count(*) AS rows FROM lineitem
+UNION ALL SELECT 'stg_payments', true, 5, count(*) FROM stg_payments
+UNION ALL SELECT 'marts.fct_subscriptions', true, 11, count(*) FROM fct_subscriptions
+UNION ALL SELECT 'marts.dim_customers', true, 9, count(*) FROM dim_customers
+UNION ALL SELECT 'marts.no_such_table', false, NULL, NULL"""
