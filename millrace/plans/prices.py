@@ -18,14 +18,12 @@ from millrace import schemas
 from millrace.functions import change_direction, percent_change
 from millrace.operators.rows import keep_latest
 from millrace.operators.trailing import trailing_metrics
-from millrace.session import own_scratch
+from millrace.session import own_scratch, write_once
 from millrace.sources.files import flatten_price_payload, price_payload_rejects, restrict_to_keys
 from millrace.sources.warehouse import Change, Warehouse
 
 KEY, TIME, PRICE = "coin_id", "fetched_at_utc", "price_usd"
 EPOCH = datetime(1970, 1, 1)
-JOB = "price-increment"
-STATE_BUCKETS = 16
 
 # Keys processed when a run names none.
 DEFAULT_KEYS = ["bitcoin", "ethereum", "solana"]
@@ -142,28 +140,45 @@ def load_landed(warehouse: Warehouse, landed: DataFrame) -> list[Change]:
     return [load_snapshots(warehouse, flatten_price_payload(landed)), *rejected]
 
 
-def run_increment(warehouse: Warehouse, keys: Sequence[str] | None = None) -> int:
+def read_state(warehouse: Warehouse, keys: DataFrame | None = None) -> DataFrame:
+    """The state of every key, or of those wanted: increments append theirs, and marks only grow, so the newest counts."""
+    state = restrict_to_keys(warehouse.read("price_state", STATE), KEY, keys, []) if keys is not None else warehouse.read("price_state", STATE)
+    return keep_latest(state, [KEY], ["last_processed_utc"])
+
+
+def _read_to(warehouse: Warehouse) -> DataFrame:
+    """Up to which version the rows of each key have been read."""
+    return warehouse.read("price_progress", schemas.PRICE_PROGRESS).groupBy(KEY).agg(F.max("read_to").alias("read_to"))
+
+
+def run_increment(warehouse: Warehouse, keys: Sequence[str] | DataFrame | None = None) -> int:
     """Process all keys in one job and publish fact, state and run together. Without new rows nothing is written.
 
-    For every wanted key it is remembered up to which version its rows have been read, whether it had any or not. A run
-    reads the directories added since the lowest of these, so a key that is idle, or that never appears, costs nothing.
-    Rows at or below the mark of their key are left out, and counted in the run.
+    ``keys`` is a list or, for any number of them, a frame with a column of keys. For every wanted key it is remembered up to
+    which version its rows have been read, whether it had any or not. A run opens each directory added since the lowest of
+    these once, so a key that is idle, or that never appears, costs nothing. Rows at or below the mark of their key are left
+    out, and counted in the run.
     """
-    wanted = list(keys or DEFAULT_KEYS)
-    version, done = warehouse.version(), warehouse.progress(JOB)
-    after = min(done.get(key, 0) for key in wanted)
-    if not warehouse.added("raw_price_snapshot", after):
-        return version
-    with own_scratch(warehouse.spark):
-        state = restrict_to_keys(warehouse.read("price_state", STATE), KEY, wanted, wanted)
-        # A key read further than others was does not meet its rows again.
-        read = {step: [k for k in wanted if done.get(k, 0) == step] for step in {done.get(k, 0) for k in wanted}}
+    spark = warehouse.spark
+    if not isinstance(keys, DataFrame):
+        keys = spark.createDataFrame([(key,) for key in keys or DEFAULT_KEYS], StructType([schemas.RAW_PRICES[KEY]]))
+    with own_scratch(spark):
+        version = warehouse.version()
+        wanted = keys.select(KEY).filter(F.col(KEY).isNotNull()).distinct().join(_read_to(warehouse), KEY, "left")
+        wanted = write_once(wanted.select(KEY, F.coalesce("read_to", F.lit(0).cast("long")).alias("read_to")), "price-keys")
+        steps = sorted(r.read_to for r in wanted.select("read_to").distinct().collect())  # versions, at most
+        since = [warehouse.added("raw_price_snapshot", step) for step in steps]
+        if not since or not since[0]:
+            return version
         raw = None
-        for step, same in read.items():
-            rows = restrict_to_keys(warehouse.read("raw_price_snapshot", schemas.RAW_PRICES, after=step), KEY, same, same)
+        for step, dirs, later in zip(steps, since, [*since[1:], []], strict=True):
+            # What came between two steps is new to the keys that have been read to the first of them, or less far.
+            rows = warehouse.open([d for d in dirs if d not in set(later)], schemas.RAW_PRICES)
+            rows = rows.join(wanted.filter(F.col("read_to") <= step), KEY, "left_semi")
             raw = rows if raw is None else raw.unionByName(rows)
-        changes = _advance(warehouse, raw, state)
-        return warehouse.commit(*changes, progress={JOB: dict.fromkeys(wanted, version)})
+        changes = _advance(warehouse, raw, read_state(warehouse, wanted))
+        progress = wanted.select(KEY, F.lit(version).cast("long").alias("read_to"))
+        return warehouse.commit(*changes, warehouse.append("price_progress", progress))
 
 
 def process_arrivals(warehouse: Warehouse, snapshots: DataFrame, batch: tuple[str, int]) -> int:
@@ -173,24 +188,29 @@ def process_arrivals(warehouse: Warehouse, snapshots: DataFrame, batch: tuple[st
     """
     with own_scratch(warehouse.spark):
         loaded = load_snapshots(warehouse, snapshots)
-        state = warehouse.read("price_state", STATE)
-        return warehouse.commit(loaded, *_advance(warehouse, loaded.rows, state), batch=batch)
+        arrived = loaded.rows.select(KEY).distinct()
+        return warehouse.commit(loaded, *_advance(warehouse, loaded.rows, read_state(warehouse, arrived)), batch=batch)
 
 
 def _advance(warehouse: Warehouse, raw: DataFrame, state: DataFrame) -> list[Change]:
-    """Rows beyond a mark are new by definition, so the fact is appended to; the state lies in buckets of keys."""
+    """Rows beyond a mark are new by definition, so the fact is appended to, and so is the state of the keys that move."""
+    state = write_once(state, "price-state")
     fact = warehouse.append("fact_price_hourly", next_increment(raw, state).select(*schemas.FACT_PRICES.names), day_of())
-    late = late_rows(raw, state).select(F.lit(0).alias("new"))
-    run = fact.rows.select(F.lit(1).alias("new")).unionAll(late).agg(
-        F.count_if(F.col("new") == 1).alias("processed"), F.count_if(F.col("new") == 0).alias("late")
+    processed, arrived = fact.rows.count(), raw.count()
+    if not arrived:
+        return []
+    run = warehouse.spark.range(1).select(
+        F.current_timestamp().alias("run_at_utc"), F.lit(processed).cast("long").alias("processed"), F.lit(arrived - processed).cast("long").alias("late")
     )
-    run = run.withColumn("run_at_utc", F.current_timestamp()).filter("processed + late > 0")
-    changes = [] if run.isEmpty() else [warehouse.append("price_run_log", run.select(*schemas.PRICE_RUNS.names))]
+    changes = [warehouse.append("price_run_log", run.select(*schemas.PRICE_RUNS.names))]
     if not fact.parts:
         return changes
-    bucket = F.pmod(F.xxhash64(KEY), F.lit(STATE_BUCKETS)).cast("string")
-    after = state_after(fact.rows, state).select(*STATE.names)
-    return [fact, warehouse.upsert("price_state", after, [KEY], ["last_processed_utc"], bucket), *changes]
+    return [fact, warehouse.append("price_state", state_after(fact.rows, state).select(*STATE.names)), *changes]
+
+
+def compact_state(warehouse: Warehouse) -> int:
+    """Rewrite state and progress with one row per key, after many increments."""
+    return warehouse.commit(warehouse.replace("price_state", read_state(warehouse)), warehouse.replace("price_progress", _read_to(warehouse)))
 
 
 # Reports ---------------------------------------------------------------------------------------------------------

@@ -99,3 +99,5 @@ PLAN_DAYS = _table("customer_id BIGINT, start_date DATE, plan_type STRING, subsc
 PLAN_OPEN = _table("customer_id BIGINT, plan_type STRING, valid_from DATE, last_day DATE, n BIGINT")
 PLAN_CLOSED = _table("customer_id BIGINT, plan_type STRING, valid_from DATE, valid_to DATE, n BIGINT")
 PLAN_RESETS = _table("customer_id BIGINT, n BIGINT")
+
+PRICE_PROGRESS = _table("coin_id STRING, read_to BIGINT")

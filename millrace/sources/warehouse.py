@@ -157,6 +157,10 @@ class Warehouse:
 
     # Reading ------------------------------------------------------------------------------------------------------
 
+    def open(self, dirs: Sequence[str], schema: StructType) -> DataFrame:
+        """The rows of some of the directories that ``added`` names."""
+        return self._open(dirs, schema)
+
     def _open(self, dirs: Sequence[str], schema: StructType) -> DataFrame:
         if not dirs:
             return empty_table(self.spark, schema)

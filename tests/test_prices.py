@@ -31,7 +31,7 @@ def fact(warehouse, *columns):
 
 
 def marks(warehouse):
-    return dict(rows(warehouse.read("price_state", prices.STATE), "coin_id", "last_processed_utc"))
+    return dict(rows(prices.read_state(warehouse), "coin_id", "last_processed_utc"))
 
 
 def load_and_run(warehouse, df, keys=KEYS):
@@ -81,6 +81,17 @@ def test_a_run_reads_only_directories_added_since_the_last(spark, warehouse, mon
     assert len(fact(warehouse)) == 5 and marks(warehouse) == {"bitcoin": at(72), "solana": at(0)}
 
 
+def test_keys_may_be_a_frame_and_state_is_compacted(spark, warehouse):
+    keys = spark.createDataFrame([("bitcoin", 1), ("bitcoin", 2), (None, 3), ("solana", 4)], "coin_id string, n int")
+    for day in range(3):
+        load_and_run(warehouse, snapshots(spark, ("bitcoin", 1.0 + day, day), ("solana", 2.0, day)), keys if day else ["bitcoin"])
+    assert marks(warehouse) == {"bitcoin": at(2), "solana": at(2)} and len(fact(warehouse)) == 6
+    before = rows(prices.read_state(warehouse))
+    prices.compact_state(warehouse)
+    assert rows(prices.read_state(warehouse)) == rows(warehouse.read("price_state", prices.STATE)) == before
+    assert prices.run_increment(warehouse, keys) == warehouse.version() and len(fact(warehouse)) == 6
+
+
 def test_late_rows_are_counted(spark, warehouse):
     load_and_run(warehouse, snapshots(spark, ("bitcoin", 1.0, 5)))
     load_and_run(warehouse, snapshots(spark, ("bitcoin", 2.0, 3), ("bitcoin", 3.0, 4)))
@@ -152,7 +163,7 @@ def test_increments_cut_anywhere_equal_one_run(spark, values, cuts, ranges):
 def test_state_can_be_rebuilt_from_the_fact(spark, warehouse):
     load_and_run(warehouse, snapshots(spark, ("bitcoin", 1.0, 0), ("bitcoin", 2.0, 1), ("bitcoin", 3.0, 2), ("solana", 4.0, 0)))
     rebuilt = prices.state_after(warehouse.read("fact_price_hourly", schemas.FACT_PRICES))
-    assert rows(rebuilt) == rows(warehouse.read("price_state", prices.STATE)) == [
+    assert rows(rebuilt) == rows(prices.read_state(warehouse)) == [
         ("bitcoin", at(2), 3.0, at(1), 2.0), ("solana", at(0), 4.0, None, None)
     ]
 

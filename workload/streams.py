@@ -80,7 +80,7 @@ def price_stream(spark, sf):
 
 def price_stream_state(spark, sf):
     """The state that five batches have upserted, key by key."""
-    state = _price_warehouse(spark, sf).read("price_state", prices.STATE)
+    state = prices.read_state(_price_warehouse(spark, sf))
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("last_processed_utc", "previous_utc")}
     return state.withColumns(times | {"coin_id": F.col("coin_id").cast("bigint")})
 
