@@ -17,6 +17,7 @@ from millrace.functions import as_month, cents_to_dollars, months_crossed, perce
 from millrace.functions.money import exact_sum
 from millrace.operators.quality import model_report, relationships, run_tests
 from millrace.operators.rows import compute_once, frequency, keep_latest, top_k
+from millrace.session import write_once
 from millrace.sources.warehouse import save_layer
 
 # Fixed values.
@@ -353,8 +354,9 @@ def save_models(raw: dict[str, DataFrame], as_of: date, location: str | None = N
 
 
 def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    """The declarative tests of all models: violations per test. Each model is read once, and once per parent test."""
-    m = models
+    """The declarative tests of all models: violations per test. Each model is computed and stored once, then read once, and
+    once per parent test."""
+    m = {name: write_once(df, f"model-{name}") for name, df in models.items()}
     reports = [
         model_report(m["stg_customers"], "stg_customers", "customer_id", ["customer_id", "email"]),
         model_report(

@@ -69,25 +69,35 @@ def _size_fits(size: Column) -> Column:
     return size.isNull() | (size == "-") | size.try_cast("bigint").isNotNull()
 
 
-def _offset_seconds(offset: Column) -> Column:
-    """Seconds east of UTC of ``+hhmm``, ``+hhmmss`` or the same with colons; white space stands for no part."""
-    digits = F.rpad(F.replace(F.substring(offset, 2, 9), F.lit(":"), F.lit("")), 6, "0")
-    part = lambda at: F.substring(digits, at, 2).cast("int")
-    return F.when(offset.startswith("-"), -1).otherwise(1) * (part(1) * 3600 + part(3) * 60 + part(5))
+def _offset(offset: Column) -> tuple[Column, Column]:
+    """Seconds east of UTC of ``+hhmm``, ``+hhmmss`` or the same with colons, and the offset written with colons.
+
+    The two usual forms, of five and six characters, are read off directly; the general way takes many more steps.
+    """
+    size, sign = F.length(offset), F.when(offset.startswith("-"), -1).otherwise(1)
+    usual = size <= 6
+    minutes = F.substring(offset, -2, 2)
+    digits = F.replace(F.substring(offset, 2, 9), F.lit(":"), F.lit(""))
+    part = lambda at: F.substring(F.rpad(digits, 6, "0"), at, 2).cast("int")
+    pairs = [F.nullif(F.substring(digits, at, 2), F.lit("")) for at in (1, 3, 5)]
+    seconds = F.when(usual, F.substring(offset, 2, 2).cast("int") * 3600 + minutes.cast("int") * 60).otherwise(
+        part(1) * 3600 + part(3) * 60 + part(5)
+    )
+    written = F.when(size == 6, offset).when(size == 5, F.concat(F.substring(offset, 1, 3), F.lit(":"), minutes))
+    return sign * seconds, written.otherwise(F.concat(F.substring(offset, 1, 1), F.concat_ws(":", *pairs)))
 
 
 def _events(lines: DataFrame, part: dict[str, Column]) -> DataFrame:
     written = F.when(part["offset"] == "Z", "+00:00").otherwise(part["offset"])
-    digits = F.replace(F.substring(written, 2, 9), F.lit(":"), F.lit(""))
-    pairs = [F.nullif(F.substring(digits, at, 2), F.lit("")) for at in (1, 3, 5)]
-    offset = F.when(written.isNotNull(), F.concat(F.substring(written, 1, 1), F.concat_ws(":", *pairs)))
+    seconds, offset = _offset(written)
+    offset = F.when(written.isNotNull(), offset)
     local = F.concat_ws(" ", F.concat_ws("-", part["year"], part["month"], part["day"]), part["time"])
     complete = F.lit(True)
     for name in ("ip", "method", "path", "month", "offset"):
         complete = complete & part[name].isNotNull()
     times = F.struct(
         # Spark's own parser stops at 18 hours, so the instant is the local time, read as UTC, less the offset.
-        F.timestamp_seconds(F.when(complete, F.unix_seconds(F.concat(local, F.lit("Z")).try_cast("timestamp")) - _offset_seconds(written))).alias(
+        F.timestamp_seconds(F.when(complete, F.unix_seconds(F.concat(local, F.lit("Z")).try_cast("timestamp")) - seconds)).alias(
             "event_time"
         ),
         F.when(complete, local).try_cast("timestamp_ntz").alias("event_time_local"),
