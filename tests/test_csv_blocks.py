@@ -42,7 +42,7 @@ def test_cuts_in_every_position(spark, cut, tmp_path, end):
     path.write_bytes(AWKWARD.replace("\n", end).encode())
     wanted = whole(spark, str(path))
     assert len(wanted) == 10 and any("\n" in (r[1] or "") for r in wanted)
-    for size in [*range(3, 25, 3), 31, 57, 1000]:
+    for size in (1, 7, 1000):  # with blocks of one byte there is a cut in every position
         cut(size)
         assert in_blocks(spark, str(path)) == wanted, size
 
@@ -55,7 +55,7 @@ def test_random_files_of_many_records(spark, cut, tmp_path):
         quoted = [",".join('"' + f.replace('"', '""') + '"' if set(f) & set('",\n') or r.random() < 0.2 else f for f in row) for row in rows]
         (tmp_path / f"{number}.csv").write_text("\n".join(["a,b,c", *quoted]))
     wanted = sorted(whole(spark, str(tmp_path)), key=str)
-    for size in (64, 997, 10_000_000):
+    for size in (97, 10_000_000):
         cut(size)
         assert sorted(in_blocks(spark, str(tmp_path)), key=str) == wanted
 
