@@ -9,7 +9,9 @@ truncation points and budget questions are read off without encoding anything ag
 counts beside the text; ``fitting_prefix`` and ``tokens_from`` answer from the stored ones alone.
 
 A task runs the program once for each distinct segment and keeps its prefix counts, in a table that is emptied when it holds
-``CACHE_SEGMENTS``. Every new segment's count is then held against the library's; a difference fails the job.
+``CACHE_SEGMENTS``. The program goes through many segments side by side, one prefix length at a time; only segments longer
+than ``CACHED_LENGTH`` are gone through one by one. Every new segment's count is then held against the library's; a
+difference fails the job.
 
 Defined cases: a null text counts as empty: no bytes, no tokens; repeated rows are counted one by one; an empty table
 gives an empty result; a computed column replaces one of the same name.
@@ -18,8 +20,10 @@ gives an empty result; a computed column replaces one of the same name.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +32,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from .batches import with_text_columns
+from .batches import mix, range_hashes, with_text_columns
 
 LIMIT = 4096
-CACHE_SEGMENTS = 300_000
+CACHE_SEGMENTS = 500_000
 #: Segments longer than this are encoded each time: they seldom recur and would fill the table.
 CACHED_LENGTH = 64
+#: Characters of the segments that go through the program side by side.
+CHUNK_CHARACTERS = 1 << 16
+#: Pairs of pieces a task remembers: a table of 2 to this power, in which a pair replaces another one of its place.
+PAIR_BITS = 22
+_FILTER_BITS = 20
 
 _MARK = "▁"
 _SEGMENT = re.compile(f"[ {_MARK}]+[^ {_MARK}]*")
 
 
+def _hashes(words: list[str]) -> np.ndarray:
+    ends = np.cumsum([len(w.encode()) for w in words])
+    return range_hashes(np.frombuffer("".join(words).encode(), dtype=np.uint8), np.append(0, ends[:-1]), ends)
+
+
 class PrefixCounter:
     """Token counts of texts and all their prefixes for one sentencepiece model file."""
 
@@ -52,10 +66,18 @@ class PrefixCounter:
         if self.library.encode("a b  c", out_type=str)[0] != f"{_MARK}a" or self.library.decode(self.library.encode("a b  c")) != "a b  c":
             raise ValueError("the model changes texts before it encodes them")
         control = (self.library.is_control, self.library.is_unknown, self.library.is_byte, self.library.is_unused)
-        self.pieces = {p for i, p in enumerate(pieces) if not any(kind(i) for kind in control)}
+        self.pieces = {p: i for i, p in enumerate(pieces) if not any(kind(i) for kind in control)}
         self.longest = max(map(len, self.pieces))
-        self.known: dict[str, np.ndarray] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, bytes] = {}  # 32-bit counts
+        self.totals: dict[str, int] = {}
+        self._followers: dict[tuple[str, str], bool] = {}
+        # pieces in the order of their hashes; piece k of the list has number k + 1, as 0 stands for none
+        hashes = {p: h for p, h in zip(self.pieces, _hashes(list(self.pieces)), strict=True)}
+        self._names = sorted(self.pieces, key=hashes.__getitem__)
+        self._hashes = np.array([hashes[p] for p in self._names], dtype=np.uint64)
+        self._maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self._maybe[self._hashes >> np.uint64(64 - _FILTER_BITS)] = True
+        self._pairs = np.zeros(1 << PAIR_BITS, dtype=np.uint64)
 
     @staticmethod
     def segments(text: str) -> list[str]:
@@ -67,21 +89,29 @@ class PrefixCounter:
         found = self.library.encode([s[1:] for s in segments], num_threads=1)
         return [len(ids) if len(s) > 1 else 1 for s, ids in zip(segments, found, strict=True)]
 
-    def inside(self, segments: list[str]) -> list[np.ndarray]:
-        """Token counts of the prefixes of 1, 2, ... characters of each segment."""
-        known = self.known
-        found = list(map(known.get, segments))
-        fresh = list({s for s, n in zip(segments, found, strict=True) if n is None})
-        if fresh:
-            new = {s: self._inside(s) for s in fresh}
-            for s, n in zip(fresh, self._encoded(fresh), strict=True):
-                if new[s][-1] != n:
-                    raise ValueError(f"{s!r} has {n} tokens, not {new[s][-1]}: this model's pieces do not follow from pairs")
-            found = [new[s] if n is None else n for s, n in zip(segments, found, strict=True)]
-            if len(known) > CACHE_SEGMENTS:
-                known.clear()
-            known.update((s, n) for s, n in new.items() if len(s) <= CACHED_LENGTH)
-        return found
+    def learn(self, segments: set[str]) -> list[str]:
+        """Have ``known`` hold the token counts of the prefixes of 1, 2, ... characters of each segment, ``totals`` the last.
+
+        Returns the long segments, which should not stay there.
+        """
+        if len(self.known) > CACHE_SEGMENTS:
+            self.known.clear()
+            self.totals.clear()
+        fresh = sorted(segments.difference(self.known), key=len)
+        if not fresh:
+            return []
+        short = bisect_right(fresh, CACHED_LENGTH, key=len)
+        counts = [*self._side_by_side(fresh[:short]), *map(self._inside, fresh[short:])]
+        ends = np.cumsum([len(s) for s in fresh])
+        every = np.concatenate(counts)
+        totals = every[ends - 1].tolist()
+        for segment, own, n in zip(fresh, totals, self._encoded(fresh), strict=True):
+            if own != n:
+                raise ValueError(f"{segment!r} has {n} tokens, not {own}: this model's pieces do not follow from pairs")
+        stored, cuts = every.tobytes(), (every.itemsize * ends).tolist()
+        self.known.update(zip(fresh, map(stored.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+        self.totals.update(zip(fresh, totals, strict=True))
+        return fresh[short:]
 
     def count(self, text: str) -> int:
         return int(self.prefix_counts(text)[-1])
@@ -96,34 +126,47 @@ class PrefixCounter:
         A text's first segment begins with a space that the library adds, so its first count is that of no character.
         """
         parts = [self.segments(t) for t in texts]
-        inside = iter(self.inside([s for p in parts for s in p]))
+        long = self.learn(set(chain.from_iterable(parts)))
         prefixes, totals, cuts = [], [], []
         for text, segments in zip(texts, parts, strict=True):
-            own = [next(inside) for _ in segments]
-            ends = np.cumsum([0, *(n[-1] for n in own)])
+            ends = np.cumsum([0, *map(self.totals.__getitem__, segments)])
             total = int(ends[-1])
             counts = None
             if every or total > limit:
-                counts = np.concatenate([n + before for n, before in zip(own, ends, strict=False)]) if own else np.zeros(1, dtype=np.int64)
+                own = list(map(self.known.__getitem__, segments))
+                inside = np.frombuffer(b"".join(own), dtype=np.int32)
+                counts = inside + np.repeat(ends[:-1], np.fromiter(map(len, own), np.int64, len(own)) // inside.itemsize)
+                counts = counts if own else np.zeros(1, dtype=np.int64)
                 counts[0] = 0
             prefixes.append(counts)
             totals.append(total)
             cuts.append(len(text) if total <= limit else int(np.flatnonzero(counts <= limit)[-1]))
+        for s in long:
+            del self.known[s], self.totals[s]
         return prefixes, np.array(totals, dtype=np.int64), np.array(cuts, dtype=np.int64)
 
+    def _are_encodings(self, pairs: list[tuple[str, str]]) -> list[bool]:
+        """Whether the pieces of each pair side by side are the encoding of their text; the left one may be empty.
+
+        Text that does not begin with a space is put behind a line break, which joins with nothing, as it is not at the
+        start of a text: what the library then gives begins with the space it adds and the line break.
+        """
+        texts = ["".join(pair).replace(_MARK, " ") for pair in pairs]
+        inner = [t[0] != " " for t in texts]
+        found = self.library.encode(["\n" + t if i else t[1:] for t, i in zip(texts, inner, strict=True)], num_threads=1)
+        ids = self.pieces
+        return [
+            t == " " or (f[2:] if i else f) == ([ids[a], ids[b]] if a else [ids[b]])
+            for (a, b), t, i, f in zip(pairs, texts, inner, found, strict=True)
+        ]
+
     def _follows(self, left: str, right: str) -> bool:
-        """Whether the pieces side by side are the encoding of their text; ``left`` may be empty."""
         key = left, right
-        if key not in self._pairs:
-            if len(self._pairs) > CACHE_SEGMENTS:
-                self._pairs.clear()
-            both, wanted = (left + right).replace(_MARK, " "), [p for p in key if p]
-            if both[0] == " ":
-                found = self.library.encode(both[1:], out_type=str) if len(both) > 1 else wanted
-            else:  # behind a line break, which joins with nothing, it is not at the start of a text
-                found = self.library.encode("\n" + both, out_type=str)[2:]
-            self._pairs[key] = found == wanted
-        return self._pairs[key]
+        if key not in self._followers:
+            if len(self._followers) > CACHE_SEGMENTS:
+                self._followers.clear()
+            self._followers[key] = self._are_encodings([key])[0]
+        return self._followers[key]
 
     def _inside(self, segment: str) -> np.ndarray:
         """Token counts of the prefixes of 1, 2, ... characters of a segment."""
@@ -139,6 +182,74 @@ class PrefixCounter:
                 count[end], last[end] = count[end - 1] + len(text[end - 1].encode()), ""
         return np.array(count[1:], dtype=np.int32)
 
+    def _side_by_side(self, segments: list[str]) -> Iterator[np.ndarray]:
+        """What ``_inside`` gives for the segments, which come in order of length, one behind the other."""
+        ends = np.cumsum([len(s) for s in segments])
+        begin = 0
+        while begin < len(segments):
+            reach = (ends[begin - 1] if begin else 0) + CHUNK_CHARACTERS
+            end = max(begin + 1, int(np.searchsorted(ends, reach, side="right")))
+            yield self._chunk(segments[begin:end])
+            begin = end
+
+    def _chunk(self, segments: list[str]) -> np.ndarray:
+        lengths = np.array([len(s) for s in segments])
+        starts = np.cumsum(lengths) - lengths
+        data = np.frombuffer("".join(segments).replace(" ", _MARK).encode(), dtype=np.uint8)
+        at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        place = np.arange(lengths.sum()) - np.repeat(starts, lengths)
+        sizes = range(1, min(self.longest, int(lengths[-1])) + 1)
+        where = [np.flatnonzero(place >= size - 1) for size in sizes]
+        begins = np.concatenate([w - size + 1 for size, w in zip(sizes, where, strict=True)])
+        numbers = self._numbers(range_hashes(data, at[begins], at[np.concatenate(where) + 1]))
+        piece = np.zeros((len(sizes) + 1, len(place)), dtype=np.int64)  # the number of the piece of each size that ends here
+        for size, w, found in zip(sizes, where, np.split(numbers, np.cumsum([len(w) for w in where])[:-1]), strict=True):
+            piece[size, w] = found
+        count, last = np.zeros(len(place), dtype=np.int32), np.zeros(len(place), dtype=np.int64)
+        for length in range(1, int(lengths[-1]) + 1):
+            open_ = starts[np.searchsorted(lengths, length) :] + length - 1
+            for size in range(min(self.longest, length), 0, -1):
+                right = piece[size][open_]
+                has = np.flatnonzero(right)
+                if not len(has):
+                    continue
+                ends, right = open_[has], right[has]
+                before = ends - size
+                fits = self._follow(last[before] if size < length else np.zeros_like(right), right)
+                ends, before = ends[fits], before[fits]
+                last[ends] = right[fits]
+                count[ends] = 1 + (count[before] if size < length else 0)
+                open_ = np.delete(open_, has[fits])
+                if not len(open_):
+                    break
+            count[open_] = at[open_ + 1] - at[open_] + (count[open_ - 1] if length > 1 else 0)
+        return count
+
+    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces that have these hashes, 0 for no piece."""
+        out = np.zeros(len(hashes), dtype=np.int64)
+        maybe = np.flatnonzero(self._maybe[hashes >> np.uint64(64 - _FILTER_BITS)])
+        wanted = hashes[maybe]
+        found = np.minimum(np.searchsorted(self._hashes, wanted), len(self._hashes) - 1)
+        out[maybe] = np.where(self._hashes[found] == wanted, found + 1, 0)
+        return out
+
+    def _follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_follows`` for numbers of pieces, 0 for an empty left one."""
+        key = (left << 31 | right).astype(np.uint64)
+        place = mix(key) >> np.uint64(64 - PAIR_BITS)
+        held = self._pairs[place]
+        fits = (held & np.uint64(1)).astype(bool)
+        new = np.flatnonzero(held >> np.uint64(1) != key)
+        if len(new):
+            _, one, back = np.unique(key[new], return_index=True, return_inverse=True)
+            one = new[one]
+            pairs = [(self._names[a - 1] if a else "", self._names[b - 1]) for a, b in zip(left[one].tolist(), right[one].tolist(), strict=True)]
+            answers = np.array(self._are_encodings(pairs))
+            self._pairs[place[one]] = key[one] << np.uint64(1) | answers.astype(np.uint64)
+            fits[new] = answers[back]
+        return fits
+
     def longest_within(self, text: str, limit: int) -> int:
         """Characters of the longest prefix of at most ``limit`` tokens."""
         return int(self.of_texts([text], limit, every=False)[2][0])

@@ -51,6 +51,20 @@ def test_token_columns(spark, counter, monkeypatch):
     assert token_counts.count_tokens(table(spark, []), piece_model).count() == 0
 
 
+def test_segments_side_by_side(counter, monkeypatch):
+    """As one by one, in chunks of any size and with a table of pairs in which most pairs share a place."""
+    rnd = random.Random(5)
+    segments = [" " * rnd.randint(1, 4) + "".join(rnd.choices("aeinrstö的語😀\n\t01-", k=rnd.randint(0, 70))) for _ in range(400)]
+    wanted = [counter._inside(s).tobytes() for s in segments]
+    monkeypatch.setattr(token_counts, "PAIR_BITS", 6)
+    for characters in (1, 100, 1 << 16):
+        monkeypatch.setattr(token_counts, "CHUNK_CHARACTERS", characters)
+        other = token_counts.PrefixCounter(piece_model())
+        long = other.learn(set(segments))
+        assert [other.known[s] for s in segments] == wanted
+        assert set(long) == {s for s in segments if len(s) > token_counts.CACHED_LENGTH}
+
+
 def test_stored_prefix_counts_answer_budget_questions(spark, counter):
     rows = [(i, t, "en", "a", 0) for i, t in enumerate([*ODD, None, *[(r[1] or "")[:150] for r in awkward()[:12]]])]
     stored = token_counts.with_prefix_counts(clashing(table(spark, rows)), piece_model, keep=["doc_id"])
