@@ -14,8 +14,8 @@ the counts of counts are known. Shorter ones, at most the square of the alphabet
 one pass over the documents. If there are more, each is a pass that writes the bits of its characters, and the bits of all
 shards are added up by document.
 
-The language with the lowest cross-entropy per character wins. Two things are calibrated on labelled documents the models
-have not counted: a logistic curve that turns the lead over the second language into the probability of being right, and
+The language with the lowest cross-entropy per character wins. Two things are calibrated on all labelled documents set
+aside for it, which the models have not counted, by sums and counts over them: a logistic curve that turns the lead over the second language into the probability of being right, and
 for each language the cross-entropy beyond which a document is rejected as none of the languages.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0 and rejected; so is everything if there are
@@ -29,6 +29,7 @@ import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from ..session import write_once
 from .batches import Texts, mix, slices, tidy, with_text_columns
@@ -43,8 +45,6 @@ from .batches import Texts, mix, slices, tidy, with_text_columns
 ORDER = 5
 #: N-grams of the longest order times languages in one shard, on average; a shard's arrays have about 8 bytes for each.
 SHARD_CELLS = 2_000_000
-#: Labelled documents that the calibration reads at most, chosen by a hash of their text.
-CALIBRATION_ROWS = 20_000
 #: Share of the labelled documents that the cross-entropy limit of a language lets pass, and the slack it gets, in bits.
 PASS_SHARE, SLACK = 0.999, 1.0
 #: Letters that share the probability left for unseen ones.
@@ -455,38 +455,61 @@ def train(docs: DataFrame, counted: Column, calibrating: Column, text: str = "te
     models = fit(labelled.filter(counted).select(*columns), shard_cells)
     if not models.languages:
         return models
-    known = labelled.filter(calibrating)
-    share = CALIBRATION_ROWS / max(1, known.count())
-    chosen = F.lit(True) if share >= 1 else F.pmod(F.xxhash64(text, F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-    judged = _judged(known.filter(chosen).select(*columns), models, "text", ["lang"]).toArrow().to_pandas()
-    return _calibrate(models, judged)
-
-
-def _calibrate(models: Models, judged) -> Models:
-    judged = judged[judged["_best"] >= 0]
-    if len(judged):
-        right = (judged["_best"].map(dict(enumerate(models.languages))) == judged["lang"]).to_numpy()
-        x = _evidence(judged["_lead"].to_numpy(), judged["_letters"].to_numpy())
-        models.slope, models.offset = _logistic(x, right)
-        for i in range(len(models.languages)):
-            mine = judged[(judged["_best"] == i) & right]
-            if len(mine):
-                excess = mine["_bits"] - 4 / np.sqrt(mine["_letters"])
-                models.limits[i] = float(np.quantile(excess, PASS_SHARE)) + SLACK
+    judged = _judged(labelled.filter(calibrating).select(*columns), models, "text", ["lang"])
+    return _calibrate(models, write_once(judged, "calibration"))
+
+
+def _calibrate(models: Models, judged: DataFrame) -> Models:
+    letters = F.sqrt(F.greatest("_letters", F.lit(1)))  # as in _evidence and Judge.limit
+    named = F.array(*map(F.lit, models.languages))[F.col("_best").cast("int")]
+    cases = judged.filter("_best >= 0").select(
+        "_best", (named == F.col("lang")).alias("right"), (F.col("_lead") * letters).alias("x"), (F.col("_bits") - 4 / letters).alias("excess")
+    )
+    if cases.isEmpty():
+        return models
+    models.slope, models.offset = _logistic(cases)
+    for row in _quantiles(cases.filter("right"), "_best", "excess", PASS_SHARE).collect():  # a row for each language
+        models.limits[row["_best"]] = row.value + SLACK
     return models
 
 
-def _logistic(x: np.ndarray, right: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve; a right and a wrong case at lead 0 keep both finite."""
-    x = np.concatenate([x, [0.0, 0.0]])
-    y = np.concatenate([right, [True, False]]).astype(float)
-    weights, design = np.zeros(2), np.stack([x, np.ones(len(x))], axis=1)
+def _quantiles(rows: DataFrame, key: str, value: str, share: float) -> DataFrame:
+    """``key, value``: the exact quantile of each key, interpolated between two neighbours. Counts of narrow bins say which
+    bins hold the two, and only the values of these are put in order."""
+    binned = rows.select(key, F.col(value).alias("_v"), F.floor(F.col(value) * 1024).alias("_bin"))
+    to_bin = Window.partitionBy(key).orderBy("_bin")
+    bins = binned.groupBy(key, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    bins = bins.withColumns({"_upto": F.sum("_n").over(to_bin), "_all": F.sum("_n").over(Window.partitionBy(key))})
+    bins = bins.withColumn("_at", (F.col("_all") - 1) * F.lit(share)).withColumn("_low", F.floor("_at"))
+    bins = bins.withColumn("_high", F.least(F.col("_low") + 1, F.col("_all") - 1)).withColumn("_before", F.col("_upto") - F.col("_n"))
+    hit = bins.filter("_before <= _high AND _upto > _low").select(key, "_bin", "_before", "_at", "_low", "_high")
+    found = binned.join(F.broadcast(hit), [key, "_bin"])  # two bins of a key at most
+    found = found.groupBy(key, "_bin", "_before", "_at", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    found = found.withColumn("_upto", F.col("_before") + F.sum("_n").over(Window.partitionBy(key, "_bin").orderBy("_v")))
+    low, high = (F.max(F.when((F.col("_upto") - F.col("_n") <= F.col(c)) & (F.col("_upto") > F.col(c)), F.col("_v"))) for c in ("_low", "_high"))
+    ends = found.groupBy(key).agg(low.alias("_a"), high.alias("_b"), F.max(F.col("_at") - F.col("_low")).alias("_part"))
+    return ends.select(key, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"))
+
+
+def _logistic(cases: DataFrame) -> tuple[float, float]:
+    """Slope and offset of a logistic curve, by Newton steps, each from five sums over ``x`` and ``right``; a right and a wrong
+    case at lead 0 keep both finite."""
+    slope, offset = 0.0, 0.0
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        spread = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-6, 1e-6])
-        step = np.linalg.solve(spread, design.T @ (y - p) - 1e-6 * weights)
-        weights += np.clip(step, -5, 5)
-    return max(float(weights[0]), 0.0), float(weights[1])
+        p = 1 / (1 + F.exp(-F.greatest(F.least(F.col("x") * slope + offset, F.lit(30.0)), F.lit(-30.0))))
+        rest, weight = F.col("right").cast("int") - p, p * (1 - p)
+        terms = [F.col("x") * rest, rest, F.col("x") * F.col("x") * weight, F.col("x") * weight, weight]
+        # A row for each task; added here, as the order in which tasks end would change the last digits.
+        parts = cases.groupBy(F.spark_partition_id()).agg(*[F.sum(t).alias(f"_{i}") for i, t in enumerate(terms)]).collect()
+        xr, r, xxw, xw, w = (fsum(part[f"_{i}"] for part in parts) for i in range(len(terms)))
+        at_zero = 1 / (1 + np.exp(-np.clip(offset, -30, 30)))
+        r, w = r + 1 - 2 * at_zero, w + 2 * at_zero * (1 - at_zero)
+        spread = np.array([[xxw + 1e-6, xw], [xw, w + 1e-6]])
+        step = np.clip(np.linalg.solve(spread, np.array([xr - 1e-6 * slope, r - 1e-6 * offset])), -5, 5)
+        slope, offset = slope + float(step[0]), offset + float(step[1])
+        if np.abs(step).max() < 1e-12:
+            break
+    return max(slope, 0.0), offset
 
 
 _JUDGED = StructType(

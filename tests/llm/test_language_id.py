@@ -151,3 +151,36 @@ def test_one_language_only(spark):
     for r in language_id.identify(docs, models).collect():
         named[r.lang_pred] += 1
     assert set(named) == {"en", "und"} and named["und"] == 4
+
+
+def plain_logistic(x, right):
+    x, y = np.concatenate([x, [0.0, 0.0]]), np.concatenate([right, [True, False]]).astype(float)
+    weights, design = np.zeros(2), np.stack([x, np.ones(len(x))], axis=1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
+        spread = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-6, 1e-6])
+        weights += np.clip(np.linalg.solve(spread, design.T @ (y - p) - 1e-6 * weights), -5, 5)
+    return weights
+
+
+def test_all_labelled_rows_calibrate(spark):
+    r, short = random.Random(3), ["th", "ing", "er", "que", "eau", "oi"]
+    rows = speech() + [(1001 + 2 * i, " ".join(r.choices(short, k=r.randrange(1, 9))), r.choice(["en", "fr"]), "a", 0) for i in range(24_000)]
+    docs = spark.createDataFrame(rows, DOCUMENTS).repartition(6)
+    models = language_id.train(docs, F.col("doc_id") % 2 == 0, F.col("doc_id") % 2 == 1)
+    judged = language_id._judged(docs.filter("doc_id % 2 = 1"), models, "text", ["lang"]).toPandas()
+    assert len(judged) > 24_000
+    right = (judged["_best"].map(dict(enumerate(models.languages))) == judged["lang"]).to_numpy()
+    root = np.sqrt(judged["_letters"].to_numpy())
+    np.testing.assert_allclose([models.slope, models.offset], plain_logistic(judged["_lead"].to_numpy() * root, right), rtol=1e-8)
+    for i in range(len(models.languages)):
+        excess = (judged["_bits"] - 4 / root)[(judged["_best"] == i) & right]
+        assert models.limits[i] == pytest.approx(np.quantile(excess, language_id.PASS_SHARE) + language_id.SLACK, rel=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1001, 3000])
+def test_quantiles_are_exact(spark, n):
+    r = random.Random(n)
+    values = [(k, r.choice([r.gauss(0, 3), 1.25])) for k in (0, 1) for _ in range(n)]
+    got = language_id._quantiles(spark.createDataFrame(values, "k long, v double"), "k", "v", 0.999).collect()
+    assert {x.k: pytest.approx(x.value, rel=1e-12) for x in got} == {k: np.quantile([v for i, v in values if i == k], 0.999) for k in (0, 1)}
