@@ -18,6 +18,8 @@ from workload import table
 
 # Stands in for the ingest order of a file.
 SEQ = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
+# Order lines in a landed file of the block reader, of some 130 bytes each: several blocks a file.
+LINES_PER_FILE = 2_000_000
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,9 +212,10 @@ def scan_csv(spark, sf):
 
 
 def scan_csv_blocks(spark, sf):
-    """Written as two files, each of which is read by as many tasks as it has blocks."""
+    """Written as two files or more of bounded size, each of which is read by as many tasks as it has blocks."""
     path = scratch_path(spark, "csv")
-    _landed_csv(spark, sf).repartition(2).write.option("header", True).option("escape", '"').csv(path)
+    files = max(2, -(-table(spark, sf, "lineitem").count() // LINES_PER_FILE))
+    _landed_csv(spark, sf).repartition(files).write.option("header", True).option("escape", '"').csv(path)
     return read_sales_csv(spark, path, parallel=True).drop("seq")
 
 
