@@ -12,3 +12,14 @@ def one(spark, value, kind, *functions):
 
     df = spark.createDataFrame([(value,)], f"v {kind}")
     return df.select(*[f(F.col("v")).alias(str(i)) for i, f in enumerate(functions)]).first()[0]
+
+
+def shuffled(df):
+    """Schemas of what a plan shuffles, as text."""
+
+    def walk(node):
+        inner = node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else None
+        children = [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+        return ([node.schema().catalogString()] if node.nodeName() == "Exchange" else []) + [s for c in children for s in walk(c)]
+
+    return walk(df._jdf.queryExecution().executedPlan())

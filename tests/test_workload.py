@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from tests.helpers import shuffled
 from workload import sales
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,3 +20,15 @@ def test_landed_files_of_the_block_reader_are_bounded(spark, tmp_path, monkeypat
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     assert len(list((tmp_path / "csv").glob("*.csv"))) == -(-lines // 200) > 2
     assert got.count() == lines
+
+
+def test_lines_are_shuffled_by_part_order_and_order_id_only(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        lines = [s for s in shuffled(sales.cleaned(spark, SF_DIR)) if "l_linenumber" in s]
+    finally:
+        spark.conf.set(key, before)
+    assert len(lines) == 3
+    assert not any("c_name" in s for s in lines)
