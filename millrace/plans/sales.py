@@ -49,27 +49,37 @@ def first_orders(raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> Data
 
 def typed(raw: DataFrame) -> DataFrame:
     """Dates, defaults and numbers. Values that cannot be converted become null for the gate to find."""
-    quantity = whole_number(F.col("quantity"), default="1")
-    price = real_number(strip_all(F.col("unit_price")))
+    return numbered(converted(raw))
+
+
+def converted(raw: DataFrame) -> DataFrame:
+    """All of it but the order id and the amount that follows from other columns."""
     return raw.withColumns(
         {
-            "order_id": whole_number(F.col("order_id")),
             "order_date": parse_mixed_date(F.col("order_date")),
             "customer_name": default_if_blank(F.col("customer_name"), "Unknown Customer"),
-            "quantity": quantity,
-            "unit_price": price,
-            "total_amount": quantity * price,
+            "quantity": whole_number(F.col("quantity"), default="1"),
+            "unit_price": real_number(strip_all(F.col("unit_price"))),
         }
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"order_id": whole_number(F.col("order_id")), "total_amount": F.col("quantity") * F.col("unit_price")})
+
+
 def clean_sales(raw: DataFrame, seq: Sequence[Column | str] = ("seq",)) -> DataFrame:
     """The whole cleaning step; keeps the ingest-order columns for the dimensions.
 
-    Repeated orders are recognised by their raw id, which cleaning does not touch, so they go first and only the
-    remaining rows are cleaned.
+    Repeated orders are recognised by their raw id. Dates and numbers are narrower than their text, so rows are cleaned before
+    the shuffle that brings repeated ones together; ids, and amounts that follow from other columns, come after it. What the
+    order takes from columns that are cleaned is kept as it arrived.
     """
-    return raw.transform(first_orders, seq).transform(clean_text).transform(typed)
+    kept = {c for c in raw.columns if c not in CLEAN_COLUMNS or c == "order_id"}
+    arrived = {f"_seq{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(seq) if not isinstance(c, str) or c not in kept}
+    order = [f"_seq{i}" if f"_seq{i}" in arrived else c for i, c in enumerate(seq)]
+    narrow = raw.withColumns(arrived) if arrived else raw
+    return narrow.transform(clean_text).transform(converted).transform(first_orders, order).drop(*arrived).transform(numbered)
 
 
 def sales_gate(clean: DataFrame) -> DataFrame:
@@ -144,7 +154,7 @@ def load_star(warehouse: Warehouse, raw: DataFrame, seq: Sequence[Column | str]
     Keys are hashed; that no two natural keys share one is part of the gate. ``dense`` numbers them instead.
     """
     with own_scratch(warehouse.spark):
-        clean = write_once(clean_sales(raw, seq), "clean-sales")
+        clean = write_once(clean_sales(raw, seq), "clean-sales", compression="zstd")
         enforce(sales_gate(clean))
         customers = warehouse.replace("dim_customer", dim_customer(clean, seq, dense))
         products = warehouse.replace("dim_product", dim_product(clean, seq, dense))

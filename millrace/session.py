@@ -84,15 +84,16 @@ def own_scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, _written.pop())
 
 
-def write_once(df: DataFrame, label: str) -> DataFrame:
+def write_once(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the scratch area and return the written table.
 
     Used where several results derive from one expensive frame. Unlike a cache the written table outlives lost
     executors, and unlike ``checkpoint`` it stays columnar, so every reader still prunes columns and pushes filters.
+    ``options`` are those of the Parquet writer.
     """
     path = scratch_path(df.sparkSession, label)
     _written.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from millrace import schemas
 from millrace.operators.quality import DataQualityError
 from millrace.plans import sales
 from millrace.sources.files import MissingColumn, read_sales_csv
-from tests.helpers import rows
+from tests.helpers import rows, shuffled
 
 HEADER = "order_id,order_date,customer_name,customer_email,product_name,category,quantity,unit_price,city\n"
 # Two customers, one unnamed at first; two shirts at different prices; an order sent twice.
@@ -163,3 +163,18 @@ def test_reload_replaces_the_star(spark, warehouse, raw, tmp_path):
     load(warehouse, raw)
     later = load(warehouse, raw.filter(F.col("order_id") == "11"))
     assert rows(later["fact"], "order_id") == [(11,)] and later["customers"].count() == 1
+
+
+def test_rows_are_shuffled_with_dates_and_numbers_not_their_text(spark, raw):
+    (schema,) = shuffled(sales.clean_sales(raw))
+    assert "order_id:string,order_date:date" in schema and "quantity:bigint" in schema and "unit_price:double" in schema
+    assert "total_amount" not in schema
+
+
+def test_the_order_may_take_raw_columns_that_cleaning_changes(spark):
+    names = HEADER.strip().split(",")
+    lines = [("1", day, " A", "a@x", "p", "c", quantity, "2", "city") for day, quantity in (("2024-01-02", "5"), ("03/01/2024", "10"), ("2024-01-01", "9"))]
+    raw = spark.createDataFrame(lines, [*names])
+    first = [sales.clean_sales(raw, seq).first() for seq in (["order_date"], ["quantity"], [F.col("quantity").cast("int")])]
+    assert [(r.order_date.day, r.quantity) for r in first] == [(3, 10), (3, 10), (2, 5)]
+    assert first[0].asDict().keys() == {*names, "total_amount"}

@@ -152,7 +152,7 @@ def dedupe_count(spark, sf):
 
 def star(spark, sf):
     """The whole path: dirty rows, cleaning, dimensions with dense ids, fact."""
-    clean = write_once(cleaned(spark, sf), "clean-sales")
+    clean = write_once(cleaned(spark, sf), "clean-sales", compression="zstd")
     return sales.fact_sales(clean, sales.dim_customer(clean, SEQ, dense=True), sales.dim_product(clean, SEQ, dense=True))
 
 
