@@ -32,3 +32,14 @@ def test_lines_are_shuffled_by_part_order_and_order_id_only(spark):
         spark.conf.set(key, before)
     assert len(lines) == 3
     assert not any("c_name" in s for s in lines)
+
+
+def test_the_failed_gate_joins_its_rows_once(spark, monkeypatch):
+    joined = []
+    real = sales.raw_sales
+    monkeypatch.setattr(sales, "raw_sales", lambda *a: joined.append(1) or real(*a))
+    landed = []
+    write = sales.write_once
+    monkeypatch.setattr(sales, "write_once", lambda df, label, **o: landed.append(label) or write(df, label, **o))
+    assert sales.failed_gate(spark, SF_DIR).count() > 100
+    assert (len(joined), landed) == (1, ["raw-sales"])

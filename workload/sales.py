@@ -178,7 +178,7 @@ def hashed_star(spark, sf):
 def failed_gate(spark, sf):
     """A load with one bad line after a good one of half the lines: what was published stays as it was."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    raw = raw_sales(spark, sf)
+    raw = write_once(raw_sales(spark, sf), "raw-sales", compression="zstd")  # landed once, loaded twice
     sales.load_star(warehouse, raw.filter(F.col("l_orderkey") % 2 == 0), SEQ)
     broken = raw.withColumn("unit_price", F.when(F.col("l_orderkey") % 1000 != 7, F.col("unit_price")).otherwise("none"))
     try:
