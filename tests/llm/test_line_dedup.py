@@ -3,8 +3,10 @@ from __future__ import annotations
 from collections import Counter
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import line_dedup
 from millrace.llm.batches import Texts
@@ -153,6 +155,83 @@ def test_a_passage_inside_a_line_goes_word_by_word(spark):
     assert got == {1: f"start a1 {passage}  b1 tail\n\nlast line c1", 2: "start a2 b2 tail\n\nlast line c2"}
 
 
+def near_copies(seed):
+    """Texts of the same words, in which some are changed, so that runs of 50 words are shared in all lengths."""
+    import random
+
+    r = random.Random(seed)
+    source = [f"s{i}" for i in range(600)]
+    rows = []
+    for i in range(40):
+        a = r.randrange(300)
+        words = [w if r.random() > 0.02 else f"{w}x{r.randrange(3)}" for w in source[a : a + r.randrange(40, 300)]]
+        rows.append((i, "".join(w + r.choice([" ", " ", " ", "\n"] if i % 2 else [" "]) for w in words), "en", "a", 0))
+    return [*rows, (60, "same " * 90, "en", "a", 0), rows[3], (None, rows[4][1], "en", "a", 0), (61, None, "en", "a", 0)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_runs_in_near_copies_equal_brute_force(spark, seed):
+    rows = near_copies(seed)
+    docs = table(spark, rows)
+    got = line_dedup.dedup_lines(docs, gram_words=10**6, window_words=10**6, passage_words=50, counts=True).collect()
+    wanted = words_left(rows, 50)
+    assert Counter((r.doc_id, tuple(SPACED.findall(r.text or ""))) for r in got) == Counter((r[0], tuple(wanted[r[0], r[1]])) for r in rows)
+    assert sum(0 < len(wanted[r[0], r[1]]) < len(SPACED.findall(r[1] or "")) for r in rows) > 10
+
+
+def test_python_sees_whole_texts_for_the_marks_and_the_cuts_only(spark, monkeypatch):
+    seen, inner = [], line_dedup.with_text_columns
+
+    def noted(df, *args, **kwargs):
+        seen.append(df)
+        return inner(df, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "with_text_columns", noted)
+    rows = near_copies(3) + [(i, " ".join(f"d{i}w{j}" for j in range(60)), "en", "a", 0) for i in range(100, 140)]
+    line_dedup.dedup_lines(table(spark, rows), passage_words=50).collect()
+    assert [df.count() for df in seen if df.filter("text LIKE 'd1%'").count()] == [len(rows)] * 2
+
+
+def test_few_runs_of_near_copies_are_compared_one_by_one():
+    words = [f"w{i}" for i in range(20000)]
+    edited = [w + "x" if i % 40 == 39 and i % 120 != 39 else w for i, w in enumerate(words)]
+    found, of = [], {}
+    for text in (words, edited):
+        lines = line_dedup.Lines(Texts.of(pa.array([" ".join(text)])))
+        runs = line_dedup.Runs(lines.of_words, lines.sums, 50, 25)
+        low, last, place = runs.spans()
+        begin, at, cores = runs.zones(low, last, place)
+        ends = np.append(at[1:], len(begin))
+        assert begin.tolist() == runs.begin.tolist()
+        found.append((runs, low, last, place, begin[at], begin[ends - 1], cores))
+    for k, sides in ((0, [(f[0], f[1], f[2], f[0].grams(f[3])) for f in found]), (1, [(f[0], f[4], f[5], f[6]) for f in found])):
+        by_key = {}
+        for runs, low, last, keys in sides:
+            for key, h, n in zip(keys.tolist(), runs.sums.hashes(low, last + 50).tolist(), (last - low + 1).tolist(), strict=True):
+                by_key.setdefault(key, {})[h] = n
+        of[k] = sum(sum(spans.values()) for spans in by_key.values() if len(spans) > 1)
+    assert 0 < of[1] < of[0] / 2
+
+
+def test_slices_of_which_nothing_goes(spark):
+    rows = [(i, " ".join(f"{i}w{j}" for j in range(60000)), "en", "a", 0) for i in range(4)]
+    got = line_dedup.dedup_lines(table(spark, rows).coalesce(1), counts=True, passage_words=50).collect()
+    assert sorted((r.doc_id, r.text, r.n_deleted) for r in got) == [(i, text, 0) for i, text, *_ in rows]
+
+
+def test_lines_with_words_are_counted_like_those_that_are_cut():
+    texts = Texts.of(pa.array([r[1] for r in awkward(4)] + [None, "", "\n", " \n\n", "a", "a\n", "\na\n \nb"]))
+    assert line_dedup.line_counts(texts).tolist() == np.diff(line_dedup.Lines(texts).first).tolist()
+    assert line_dedup.line_counts(Texts.of(pa.array([], pa.string()))).tolist() == []
+
+
+def test_the_map_of_keys_keeps_all_that_match_and_few_others(spark):
+    rows = spark.range(20000).select(F.struct(F.col("id"), F.lit("x").alias("t")).alias("doc"))
+    few = rows.filter("doc.id % 40 = 0")
+    kept = {r.doc.id for r in line_dedup.likely(rows, few, "doc").collect()}
+    assert {i for i in range(0, 20000, 40)} <= kept and len(kept) < 520
+
+
 def test_a_run_goes_though_its_lines_stand_alone_in_earlier_documents(spark):
     lines = [" ".join(f"{x}{j}" for j in range(25)) for x in "ab"]
     rows = [(i, f"{line}\nq{i}", "en", "a", 0) for i, line in enumerate(lines)]
